@@ -10,10 +10,16 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
+from usagelens.functions.labels import pseudonym
+from usagelens.operators import decode as D
+from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
 from usagelens.operators.filters import UsageFilters, date_bounds, filter_options
 from usagelens.operators.rollups import UsagePage
 from usagelens.plans import oracle
-from usagelens.sources.standin import standin_tables
+from usagelens.sources.standin import read_table, standin_tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -71,15 +77,81 @@ def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_bounds(standin_tables(spark, sf_dir).api_requests)
 
 
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in facts written out as log-batch JSON lines (in memory, lazily)."""
+    return envelope_lines(pack_envelopes(encode_facts(standin_tables(spark, sf_dir))))
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decode_lines(_log_lines(spark, sf_dir))
+
+
+def _decoded_fact(table: str) -> Builder:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return D.fact_table(_decoded(spark, sf_dir), table)
+
+    return build
+
+
+def _event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: events per body, most frequent first."""
+    d = _decoded(spark, sf_dir)
+    return d.groupBy("body").agg(F.count(F.lit(1)).alias("events")).orderBy(F.desc("events"), "body")
+
+
+def _total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15: summed cost over all API-request events."""
+    d = _decoded(spark, sf_dir).where(F.col("body") == "claude_code.api_request")
+    return d.agg(F.round(F.sum(F.col("cost_usd").try_cast("decimal(20,10)")), 2).cast("double").alias("total_cost"))
+
+
+def _envelope_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope_days(pack_envelopes(encode_facts(standin_tables(spark, sf_dir))))
+
+
+def _safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5-D8 over whole columns: numbers and times through their text forms."""
+    ev = read_table(spark, sf_dir, "events")
+    text = F.col("value").cast("string")
+    return ev.select(
+        "event_id",
+        safe_int(text).alias("value_int"),
+        safe_float(text).alias("value_float"),
+        safe_int(F.get_json_object("props", "$.k")).alias("k_int"),
+        parse_event_ts(format_event_ts("ts")).alias("ts_ms"),
+        safe_bool((F.col("value") > 50).cast("string")).alias("flag"),
+    )
+
+
+def _user_pseudonym(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = standin_tables(spark, sf_dir).employees
+    return e.select("email", pseudonym("email").alias("user_id"))
+
+
+EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
+    "filter_options": (_filter_options, oracle.filter_options),
+    "date_bounds": (_date_bounds, oracle.date_bounds),
+    "facts_requests": (_decoded_fact("api_requests"), lambda: oracle.decoded_fact("api_requests")),
+    "facts_prompts": (_decoded_fact("user_prompts"), lambda: oracle.decoded_fact("user_prompts")),
+    "facts_tools": (_decoded_fact("tool_events"), lambda: oracle.decoded_fact("tool_events")),
+    "facts_errors": (_decoded_fact("api_errors"), lambda: oracle.decoded_fact("api_errors")),
+    "ingest_counts": (lambda s, d: D.load_counts(_log_lines(s, d)), oracle.ingest_counts),
+    "route_counts": (lambda s, d: D.route_counts(_decoded(s, d)), oracle.route_counts),
+    "event_counts": (_event_counts, oracle.event_counts),
+    "total_cost": (_total_cost, oracle.total_cost),
+    "envelope_pack": (_envelope_pack, oracle.envelope_pack),
+    "safe_casts": (_safe_casts, oracle.safe_casts),
+    "user_pseudonym": (_user_pseudonym, oracle.user_pseudonym),
+}
+
+
 def queries() -> dict[str, Builder]:
     out: dict[str, Builder] = {name: _page_builder(m, f) for name, (m, f) in PAGE_QUERIES.items()}
-    out["filter_options"] = _filter_options
-    out["date_bounds"] = _date_bounds
+    out.update({name: b for name, (b, _) in EXTRA.items()})
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: getattr(oracle, m)(f) for name, (m, f) in PAGE_QUERIES.items()}
-    out["filter_options"] = oracle.filter_options()
-    out["date_bounds"] = oracle.date_bounds()
+    out.update({name: sql() for name, (_, sql) in EXTRA.items()})
     return out

@@ -239,3 +239,69 @@ FROM api_requests""")
 
 def user_pseudonym() -> str:
     return with_views("SELECT email, sha256(email) AS user_id FROM employees")
+
+
+# -- decode round trip (facts -> envelopes -> text -> decode) ---------------
+FACT_COLUMNS = {
+    "api_requests": "event_id, session_id, user_email, {ts}, model, cost_usd, input_tokens, output_tokens, "
+                    "cache_read_tokens, cache_creation_tokens, duration_ms, os_type, terminal_type, client_version",
+    "user_prompts": "event_id, session_id, user_email, {ts}, prompt_length",
+    "tool_events": "event_id, session_id, user_email, {ts}, event_type, tool_name, decision, success, duration_ms",
+    "api_errors": "event_id, session_id, user_email, {ts}, model, error_message, status_code, attempt, duration_ms",
+}
+MS_TS = "date_trunc('millisecond', \"timestamp\") AS \"timestamp\""
+
+
+def decoded_fact(table: str) -> str:
+    return with_views(f"SELECT {FACT_COLUMNS[table].format(ts=MS_TS)} FROM {table}")
+
+
+_KIND_COUNTS = """
+SELECT 'api_request' AS kind, 'claude_code.api_request' AS body, COUNT(*) AS n FROM api_requests
+UNION ALL SELECT 'user_prompt', 'claude_code.user_prompt', COUNT(*) FROM user_prompts
+UNION ALL SELECT 'tool_decision', 'claude_code.tool_decision', COUNT(*) FROM tool_events WHERE event_type = 'decision'
+UNION ALL SELECT 'tool_result', 'claude_code.tool_result', COUNT(*) FROM tool_events WHERE event_type = 'result'
+UNION ALL SELECT 'api_error', 'claude_code.api_error', COUNT(*) FROM api_errors"""
+
+
+def route_counts() -> str:
+    return with_views("SELECT kind, n AS events FROM kc WHERE n > 0", f"kc AS ({_KIND_COUNTS})")
+
+
+def event_counts() -> str:
+    return with_views("SELECT body, n AS events FROM kc WHERE n > 0 ORDER BY events DESC, body",
+                      f"kc AS ({_KIND_COUNTS})")
+
+
+def ingest_counts() -> str:
+    return with_views("""
+SELECT 'api_requests' AS counter, COUNT(*) AS n FROM api_requests
+UNION ALL SELECT 'user_prompts', COUNT(*) FROM user_prompts
+UNION ALL SELECT 'tool_events', COUNT(*) FROM tool_events
+UNION ALL SELECT 'api_errors', COUNT(*) FROM api_errors
+UNION ALL SELECT 'skipped', CAST(0 AS BIGINT)
+UNION ALL SELECT 'total_events', (SELECT COUNT(*) FROM api_requests) + (SELECT COUNT(*) FROM user_prompts)
+                                + (SELECT COUNT(*) FROM tool_events) + (SELECT COUNT(*) FROM api_errors)
+UNION ALL SELECT 'malformed_lines', CAST(0 AS BIGINT)""")
+
+
+def total_cost() -> str:
+    return with_views(f"SELECT {money('cost_usd')} AS total_cost FROM api_requests")
+
+
+def envelope_pack() -> str:
+    return with_views("""
+SELECT CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month, CAST(day(t) AS INTEGER) AS day,
+       COUNT(*) AS events, MIN(epoch_ms(date_trunc('millisecond', t))) AS first_ms,
+       MAX(epoch_ms(date_trunc('millisecond', t))) AS last_ms
+FROM alle GROUP BY 1, 2, 3""", """alle AS (
+  SELECT "timestamp" AS t FROM api_requests UNION ALL SELECT "timestamp" FROM user_prompts
+  UNION ALL SELECT "timestamp" FROM tool_events UNION ALL SELECT "timestamp" FROM api_errors)""")
+
+
+def safe_casts() -> str:
+    return """
+SELECT event_id, CAST(trunc(value) AS INTEGER) AS value_int, value AS value_float,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int,
+       date_trunc('millisecond', ts) AS ts_ms, value > 50 AS flag
+FROM events"""
