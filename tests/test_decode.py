@@ -1,0 +1,132 @@
+"""D1-D17 on the hand-made lines of FIXTURES §4.1-4.2."""
+
+import json
+
+from usagelens.operators import decode as D
+
+REQ = "claude_code.api_request"
+
+
+def msg(body=REQ, attributes=None, **extra):
+    m = {"body": body}
+    if attributes is not None:
+        m["attributes"] = attributes
+    m.update(extra)
+    return json.dumps(m)
+
+
+def envelope(*events):
+    return json.dumps({"logEvents": list(events)})
+
+
+def lines_df(spark, lines):
+    return spark.createDataFrame([(x,) for x in lines], "value string")
+
+
+def counts(spark, lines):
+    return {r.counter: r.n for r in D.load_counts(lines_df(spark, lines)).collect()}
+
+
+def test_envelope_lines(spark):
+    good = envelope({"id": "1", "message": msg(attributes={"user.email": "a"})})
+    lines = [
+        "", "   ", "  " + good + "  ",            # blank lines ignored; padded good line loads
+        "not json", '{"logEvents": [',           # malformed
+        '{"logEvents":[]} xyz', '{"a":1},{"a":2}',  # malformed (trailing junk, two objects)
+        '[{"logEvents":[]}]',                    # not an object: quarantined
+        "{}", '{"logEvents":null}',              # no events
+    ]
+    c = counts(spark, lines)
+    assert c["malformed_lines"] == 5
+    assert c["total_events"] == 1
+    assert c["api_requests"] == 1
+    assert c["skipped"] == 0
+
+
+def test_inner_events_and_invariant(spark):
+    ev = [
+        {"id": "1", "message": "not json"},                      # skipped
+        {"id": "2"},                                             # no message: skipped
+        {"id": "3", "message": "5"},                             # not an object: skipped
+        {"id": "4", "message": "[1]"},                           # skipped
+        {"id": "5", "message": 5},                               # number: skipped
+        {"id": "6", "message": msg(body="other")},               # unknown body: skipped
+        {"id": "7", "message": json.dumps({"attributes": {}})},  # no body: skipped
+        {"id": "8", "message": {"body": REQ, "attributes": {"model": "m"}}},  # object message: decoded
+        {"id": "9", "message": msg("claude_code.user_prompt", {"prompt_length": "12"})},
+        {"id": "10", "message": msg("claude_code.tool_decision", {"tool_name": "Read", "decision": "accept"})},
+        {"id": "11", "message": msg("claude_code.tool_result", {"tool_name": "Read", "success": "True"})},
+        {"id": "12", "message": msg("claude_code.api_error", {"error": "boom", "attempt": "2"})},
+    ]
+    c = counts(spark, [envelope(*ev)])
+    assert c["skipped"] == 7
+    assert (c["api_requests"], c["user_prompts"], c["tool_events"], c["api_errors"]) == (1, 1, 2, 1)
+    assert c["api_requests"] + c["user_prompts"] + c["tool_events"] + c["api_errors"] + c["skipped"] \
+        == c["total_events"] == 12
+
+
+def decoded_rows(spark, events):
+    d = D.decode_lines(lines_df(spark, [envelope(*events)]))
+    return d.collect()
+
+
+def test_defaults_absent_vs_null(spark):
+    rows = decoded_rows(spark, [
+        {"id": "1", "message": msg(attributes={"model": None, "user.email": "a@x"})},
+        {"message": msg(attributes={})},
+        {"id": None, "message": msg()},  # attributes absent
+        {"id": "4", "message": msg(attributes=None)},
+        {"id": "5", "message": msg(attributes=7)},
+    ])
+    r = rows[0]
+    assert r.model is None                      # present JSON null stays NULL
+    assert r.session_id == "" and r.user_email == "a@x"
+    assert r.cost_usd == 0.0 and r.input_tokens == 0 and r.duration_ms == 0
+    assert r.timestamp is None
+    assert rows[1].event_id == "" and rows[1].model == ""
+    assert rows[2].event_id == "None" and rows[2].model == "" and rows[2].session_id == ""
+    for r in rows[3:]:
+        assert r.kind == "api_request" and r.model == "" and r.cost_usd == 0.0
+
+
+def test_tool_rows(spark):
+    rows = decoded_rows(spark, [
+        {"id": "1", "message": msg("claude_code.tool_decision", {"tool_name": "Bash", "decision": "reject",
+                                                                  "duration_ms": "5", "success": "true"})},
+        {"id": "2", "message": msg("claude_code.tool_result", {"tool_name": "Bash", "decision": "x",
+                                                                "duration_ms": "12.9", "success": "yes"})},
+        {"id": "3", "message": msg("claude_code.tool_result", {"tool_name": "Bash"})},
+    ])
+    dec, res, res2 = rows
+    assert (dec.event_type, dec.decision, dec.success, dec.duration_ms) == ("decision", "reject", None, None)
+    assert (res.event_type, res.decision, res.success, res.duration_ms) == ("result", None, False, 12)
+    assert res2.success is False and res2.duration_ms == 0
+
+
+def test_fields_and_duplicates(spark):
+    m = msg(REQ, {"event.timestamp": "2026-01-31T12:00:00.123Z", "session.id": "s", "user.email": "u",
+                  "terminal.type": "t", "model": "claude-x", "cost_usd": "0.25", "input_tokens": "10",
+                  "output_tokens": "3.9", "cache_read_tokens": "1e2", "cache_creation_tokens": "x",
+                  "duration_ms": "77"}, resource={"os.type": "linux"}, scope={"version": "1.2"})
+    rows = decoded_rows(spark, [{"id": "9" * 57, "message": m}, {"id": "9" * 57, "message": m}])
+    assert len(rows) == 2                                  # duplicates both kept
+    r = rows[0]
+    assert r.event_id == "9" * 57
+    assert (r.session_id, r.user_email, r.terminal_type, r.os_type, r.client_version) == ("s", "u", "t", "linux", "1.2")
+    assert (r.cost_usd, r.input_tokens, r.output_tokens, r.cache_read_tokens, r.cache_creation_tokens,
+            r.duration_ms) == (0.25, 10, 3, 100, 0, 77)
+    assert r.timestamp.isoformat() == "2026-01-31T12:00:00.123000"
+    f = D.fact_table(D.decode_lines(lines_df(spark, [envelope({"id": "1", "message": m})])), "api_requests")
+    assert len(f.columns) == 14
+
+
+def test_repeated_key_last_wins(spark):
+    text = '{"body": "claude_code.api_request", "attributes": {"model": "a", "model": "b"}}'
+    rows = decoded_rows(spark, [{"id": "1", "message": text}])
+    assert rows[0].model == "b"
+
+
+def test_decode_has_no_shuffle_and_no_python(spark):
+    d = D.decode_lines(lines_df(spark, [envelope({"id": "1", "message": msg()})]))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan

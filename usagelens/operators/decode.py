@@ -37,6 +37,12 @@ def ensure_semantics(spark) -> None:
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
 
 
+def last_wins(m: Column) -> Column:
+    """A parsed JSON object as a map where a repeated key holds its last value
+    (``from_json`` keeps every copy; rebuilding the map applies LAST_WIN)."""
+    return F.map_from_entries(F.map_entries(m))
+
+
 def _one_object(text: Column, ddl: str) -> tuple[Column, Column]:
     """Parse ``text`` as exactly one JSON value of the given element type.
 
@@ -70,7 +76,7 @@ def log_events(parsed: DataFrame) -> DataFrame:
 
 def telemetry(events: DataFrame) -> DataFrame:
     """D3: parse each log event's message; adds ``message_ok`` and ``event``."""
-    msg = F.element_at(F.col("log_event"), F.lit("message"))
+    msg = F.element_at(last_wins(F.col("log_event")), F.lit("message"))
     ok, ev = _one_object(msg, MESSAGE_DDL)
     return events.select("*", F.coalesce(ok, F.lit(False)).alias("message_ok"), ev.alias("event"))
 
@@ -87,10 +93,10 @@ def decode(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     and the ``keep`` columns of the input."""
     t = telemetry(events)
     empty = F.create_map().cast("map<string,string>")
-    attrs = F.coalesce(F.col("event.attributes"), empty)
-    resource = F.coalesce(F.col("event.resource"), empty)
-    scope = F.coalesce(F.col("event.scope"), empty)
-    le = F.col("log_event")
+    attrs = last_wins(F.coalesce(F.col("event.attributes"), empty))
+    resource = last_wins(F.coalesce(F.col("event.resource"), empty))
+    scope = last_wins(F.coalesce(F.col("event.scope"), empty))
+    le = last_wins(F.col("log_event"))
     kind = _kind(F.col("message_ok"), F.col("event.body"))
     a = lambda key: F.element_at(attrs, F.lit(key))  # noqa: E731  (NULL when absent)
 

@@ -55,6 +55,12 @@ def broadcast_allowed(employees: DataFrame, source_key: str = "", limit_bytes: i
     return size <= limit_bytes
 
 
+def forget_size(source_key: str) -> None:
+    """Drop the cached size of a source whose dimension changed."""
+    for key in [k for k in _SIZE_CACHE if k[1] == source_key]:
+        del _SIZE_CACHE[key]
+
+
 @dataclass(frozen=True)
 class StarJoin:
     """The joined rows of one query: grain columns, additive parts, employee columns."""
