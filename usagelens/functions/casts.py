@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # and the pieces of the "%Y-%m-%dT%H:%M:%S.%fZ" format as strptime matches them
 # (field widths, a leading blank allowed in the day, letters matched case-blind).
 _NUMBER = r"[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)"
-_SPECIAL = r"(?i)[+-]?(inf|infinity|nan)"
+_SPECIAL = r"[+-]?(?i:inf|infinity|nan)"
 _TS_PATTERN = (
     r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
     r"[Tt](2[0-3]|[01]\d|\d):([0-5]\d|\d):([0-5]\d|\d)\.(\d{1,6})[Zz]$"
@@ -34,17 +34,19 @@ def lookup(m: Column | str, key: str, default: str | None = "") -> Column:
 
 
 def safe_float(c: Column | str, default: float = 0.0) -> Column:
-    """``float(x)`` with a default for text Python rejects (``12d``, ``0x10``, empty, NULL)."""
-    t = strip_ws(c)
-    ok = t.rlike(f"^{_NUMBER}$") | t.rlike(f"^{_SPECIAL}$")
-    return F.coalesce(F.when(ok, t.try_cast("double")), F.lit(default).cast("double"))
+    """``float(x)`` with a default for text Python rejects (``12d``, ``0x10``, empty, NULL).
+
+    One regex gates the text (surrounding whitespace allowed); Spark's cast trims it."""
+    c = _col(c)
+    ok = c.rlike(rf"^\s*({_NUMBER}|{_SPECIAL})\s*$")
+    return F.coalesce(F.when(ok, c.try_cast("double")), F.lit(default).cast("double"))
 
 
 def safe_int(c: Column | str, default: int = 0) -> Column:
     """``int(float(x))``: truncates toward zero; NaN, infinity, non-numbers and values
     beyond 32 bits give the default."""
-    t = strip_ws(c)
-    as_double = F.when(t.rlike(f"^{_NUMBER}$"), t.try_cast("double"))
+    c = _col(c)
+    as_double = F.when(c.rlike(rf"^\s*{_NUMBER}\s*$"), c.try_cast("double"))
     return F.coalesce(as_double.try_cast("int"), F.lit(default).cast("int"))
 
 
@@ -55,16 +57,18 @@ def safe_bool(c: Column | str) -> Column:
 
 def parse_event_ts(c: Column | str) -> Column:
     """``strptime(x, '%Y-%m-%dT%H:%M:%S.%fZ')`` as TIMESTAMP_NTZ, NULL when it fails
-    (wrong shape, impossible date such as Feb 30, missing fraction, offset suffix)."""
+    (wrong shape, impossible date such as Feb 30, missing fraction, offset suffix).
+
+    One regex checks the shape; the seven fields then come from one split."""
     c = _col(c)
-    part = lambda i: F.regexp_extract(c, _TS_PATTERN, i)
-    matched = c.rlike(_TS_PATTERN)
-    seconds = F.concat(part(6), F.lit("."), part(7)).cast("decimal(8,6)")
+    parts = F.split(c, "[-Tt:.Zz]")
+    part = lambda i: F.trim(parts.getItem(i))
+    seconds = F.concat(part(5), F.lit("."), part(6)).cast("decimal(8,6)")
     ts = F.try_make_timestamp_ntz(
-        part(1).cast("int"), part(2).cast("int"), F.trim(part(3)).cast("int"),
-        part(4).cast("int"), part(5).cast("int"), seconds,
+        part(0).cast("int"), part(1).cast("int"), part(2).cast("int"),
+        part(3).cast("int"), part(4).cast("int"), seconds,
     )
-    return F.when(matched, ts)
+    return F.when(c.rlike(_TS_PATTERN), ts)
 
 
 def format_event_ts(c: Column | str) -> Column:

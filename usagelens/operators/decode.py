@@ -75,10 +75,19 @@ def log_events(parsed: DataFrame) -> DataFrame:
 
 
 def telemetry(events: DataFrame) -> DataFrame:
-    """D3: parse each log event's message; adds ``message_ok`` and ``event``."""
-    msg = F.element_at(last_wins(F.col("log_event")), F.lit("message"))
-    ok, ev = _one_object(msg, MESSAGE_DDL)
-    return events.select("*", F.coalesce(ok, F.lit(False)).alias("message_ok"), ev.alias("event"))
+    """D3: parse each log event's message; adds ``message_ok`` and ``event``.
+
+    Kept as separate projections so that the parsed value is computed once per row
+    and then read by the many field expressions (Catalyst does not merge a
+    projection whose costly results are used more than once)."""
+    msg = F.element_at(F.col("log_event"), F.lit("message"))
+    arr = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
+    staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", arr)
+    ok = F.col("_msg").isNotNull() & (F.size("_msg") == 1) & F.col("_msg").getItem(0).isNotNull()
+    return staged.select(
+        *[c for c in events.columns], F.coalesce(ok, F.lit(False)).alias("message_ok"),
+        F.col("_msg").getItem(0).alias("event"),
+    )
 
 
 def _kind(ok: Column, body: Column) -> Column:
@@ -91,13 +100,17 @@ def decode(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     Columns: ``kind``, ``body``, every fact column (NULL where the kind has none),
     and the ``keep`` columns of the input."""
-    t = telemetry(events)
     empty = F.create_map().cast("map<string,string>")
-    attrs = last_wins(F.coalesce(F.col("event.attributes"), empty))
-    resource = last_wins(F.coalesce(F.col("event.resource"), empty))
-    scope = last_wins(F.coalesce(F.col("event.scope"), empty))
-    le = last_wins(F.col("log_event"))
-    kind = _kind(F.col("message_ok"), F.col("event.body"))
+    t = telemetry(events).select(
+        *keep,
+        F.col("log_event").alias("le"),
+        _kind(F.col("message_ok"), F.col("event.body")).alias("kind"),
+        F.col("event.body").alias("body"),
+        last_wins(F.coalesce(F.col("event.attributes"), empty)).alias("attrs"),
+        last_wins(F.coalesce(F.col("event.resource"), empty)).alias("resource"),
+        last_wins(F.coalesce(F.col("event.scope"), empty)).alias("scope"),
+    )
+    attrs, resource, scope, le, kind = (F.col(c) for c in ("attrs", "resource", "scope", "le", "kind"))
     a = lambda key: F.element_at(attrs, F.lit(key))  # noqa: E731  (NULL when absent)
 
     def only(kinds: list[str], value: Column) -> Column:
@@ -130,7 +143,7 @@ def decode(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "attempt": only(err, safe_int(a("attempt"))),
     }
     cols = [values[f.name].cast(f.dataType).alias(f.name) for f in DECODED.fields]
-    return t.select(*keep, kind.alias("kind"), F.col("event.body").alias("body"), *cols)
+    return t.select(*keep, "kind", "body", *cols)
 
 
 def fact_table(decoded: DataFrame, table: str) -> DataFrame:

@@ -129,8 +129,12 @@ def load_telemetry(spark: SparkSession, root: str, paths: str | Sequence[str], l
 
 
 def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """One fact table with its ``event_date`` (for pruning) and ``load_id``."""
-    all_facts = spark.read.schema(STORED_FACTS).option("basePath", facts_path(root)).parquet(facts_path(root))
+    """S5 + S6: one fact table with its ``event_date`` (for pruning) and ``load_id``;
+    an empty table of the declared schema when nothing was loaded yet."""
+    if _path_exists(spark, facts_path(root)):
+        all_facts = spark.read.schema(STORED_FACTS).option("basePath", facts_path(root)).parquet(facts_path(root))
+    else:
+        all_facts = spark.createDataFrame([], STORED_FACTS)
     cols = [f.name for f in FACT_SCHEMAS[table].fields]
     return all_facts.where(F.col("table") == table).select(*cols, "event_date", "load_id")
 
