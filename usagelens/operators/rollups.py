@@ -107,18 +107,21 @@ class UsagePage:
         return join_employees(facts, emp, list(grain), parts, employee_columns, self.broadcast).frame
 
     # -- Q1 ------------------------------------------------------------------
-    def kpi(self) -> DataFrame:
+    def kpi(self, approx_distinct: bool = False) -> DataFrame:
+        """Q1. ``approx_distinct`` counts sessions and users with HyperLogLog++
+        (about 2% error, fixed memory) instead of exact distinct counts."""
         j = self.joined(
             "api_requests", {"session_id": F.col("session_id")},
             {"n": p_n(), "cost": cost(), "cost_n": p_cost_n(), "tokens": tokens()},
         )
+        distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
         return j.agg(
-            F.count_distinct("session_id").alias("total_sessions"),
+            distinct("session_id").alias("total_sessions"),
             F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_api_calls"),
             money(F.sum("cost")).alias("total_cost"),
             exact_avg(F.sum("cost"), F.sum("cost_n"), 4).alias("avg_cost_per_call"),
             F.sum("tokens").alias("total_tokens"),
-            F.count_distinct("user_email").alias("active_users"),
+            distinct("user_email").alias("active_users"),
         )
 
     # -- Q2 ------------------------------------------------------------------
@@ -170,16 +173,22 @@ class UsagePage:
         ).orderBy("day_order")
 
     # -- Q8 ------------------------------------------------------------------
-    def tokens_by_level(self) -> DataFrame:
+    def tokens_by_level(self, level_order: str = "text") -> DataFrame:
+        """Q8. Levels sort as text (L1, L10, L2) as on the page; ``level_order=
+        "numeric"`` sorts by the number after the letter instead."""
         j = self.joined(
             "api_requests", {},
             {"tokens": tokens(), "tokens_n": p_tokens_n(), "cost": cost(), "cost_n": p_cost_n()},
             ["level"],
         )
-        return j.groupBy("level").agg(
+        out = j.groupBy("level").agg(
             F.round(F.sum("tokens") / F.sum("tokens_n"), 0).alias("avg_tokens"),
             exact_avg(F.sum("cost"), F.sum("cost_n"), 5).alias("avg_cost"),
-        ).orderBy(F.col("level").asc_nulls_last())
+        )
+        if level_order == "numeric":
+            num = F.regexp_extract("level", r"(\d+)", 1).try_cast("int")
+            return out.orderBy(num.asc_nulls_last(), F.col("level").asc_nulls_last())
+        return out.orderBy(F.col("level").asc_nulls_last())
 
     # -- Q9 ------------------------------------------------------------------
     def tool_success(self, top: int = 12) -> DataFrame:
@@ -216,6 +225,12 @@ class UsagePage:
             "label_total", "label", "model"
         )
 
+    def model_short_names(self, prefix: str | None = None) -> DataFrame:
+        """The distinct models of the API requests with their display names."""
+        m = self.tables.api_requests.select("model").distinct()
+        short = model_short_name("model") if prefix is None else model_short_name("model", prefix)
+        return m.withColumn("model_short", short).orderBy(F.col("model").asc_nulls_last())
+
     # -- Q11 -----------------------------------------------------------------
     def cost_by_location(self) -> DataFrame:
         j = self.joined("api_requests", {}, {"n": p_n(), "cost": cost()}, ["location"])

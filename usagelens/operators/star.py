@@ -91,5 +91,8 @@ def join_employees(
         joined = narrow.join(F.broadcast(dim), narrow.user_email == dim.email, "inner")
     else:
         pre = facts.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in parts.items()])
-        joined = pre.join(dim, pre.user_email == dim.email, "inner")
+        # Our measure said the dimension is too big to ship: keep Spark's planner
+        # from broadcasting it on a smaller estimate. Sort-merge needs no hash table
+        # of the dimension side, and AQE splits a skewed partition.
+        joined = pre.join(dim.hint("merge"), pre.user_email == dim.email, "inner")
     return StarJoin(joined.select(*keys, *parts.keys(), *emp_cols), broadcast)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
-from usagelens.functions.labels import pseudonym
+from usagelens.functions.labels import model_short_name, pseudonym
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
 from usagelens.operators.filters import UsageFilters, date_bounds, filter_options
@@ -123,6 +123,12 @@ def _safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _model_short_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = standin_tables(spark, sf_dir)
+    m = t.api_requests.select("model").distinct()
+    return m.select("model", model_short_name("model").alias("model_short"))
+
+
 def _user_pseudonym(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = standin_tables(spark, sf_dir).employees
     return e.select("email", pseudonym("email").alias("user_id"))
@@ -142,6 +148,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "envelope_pack": (_envelope_pack, oracle.envelope_pack),
     "safe_casts": (_safe_casts, oracle.safe_casts),
     "user_pseudonym": (_user_pseudonym, oracle.user_pseudonym),
+    "model_short_name": (_model_short_name, oracle.model_short_name),
 }
 
 

@@ -305,3 +305,9 @@ SELECT event_id, CAST(trunc(value) AS INTEGER) AS value_int, value AS value_floa
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int,
        date_trunc('millisecond', ts) AS ts_ms, value > 50 AS flag
 FROM events"""
+
+
+def model_short_name() -> str:
+    return with_views("""
+SELECT model, regexp_replace(replace(model, 'claude-', ''), '-2025\\d+', '', 'g') AS model_short
+FROM (SELECT DISTINCT model FROM api_requests) m""")
