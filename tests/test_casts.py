@@ -70,3 +70,30 @@ def test_casts_stay_in_the_jvm(spark, expr):
     df = spark.createDataFrame([("1",)], "x string").select(getattr(U, expr)(F.col("x")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_format_event_ts(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(2024, 3, 10, 2, 30, 0),),
+            (dt.datetime(2024, 1, 1, 0, 0, 7, 100000),), (None,)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    from usagelens.functions import format_event_ts
+
+    got = [r.s for r in df.select(format_event_ts("t").alias("s")).collect()]
+    assert got == ["2024-01-01T00:00:07.179Z", "2024-03-10T02:30:00.000Z", "2024-01-01T00:00:07.100Z", None]
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    from conftest import SF_SMALL
+    from usagelens.plans import catalog
+
+    q = catalog.queries()
+    names = ["kpi_filtered", "hour_dow", "facts_requests", "safe_casts"]
+    base = {n: sorted(map(tuple, q[n](spark, SF_SMALL).collect())) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in names:
+            assert sorted(map(tuple, q[n](spark, SF_SMALL).collect())) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -72,8 +72,13 @@ def parse_event_ts(c: Column | str) -> Column:
 
 
 def format_event_ts(c: Column | str) -> Column:
-    """Event time as the writer prints it: ISO text with milliseconds and ``Z``."""
-    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """Event time as the writer prints it: ISO text with milliseconds (truncated) and
+    ``Z``. Built from the zone-less text form, so no session time zone is involved."""
+    text = _col(c).cast("timestamp_ntz").cast("string")   # yyyy-MM-dd HH:mm:ss[.f...]
+    whole = F.regexp_extract(text, r"^([^.]*)", 1)
+    frac = F.regexp_extract(text, r"\.(\d+)$", 1)
+    ms = F.substring(F.rpad(frac, 3, "0"), 1, 3)
+    return F.concat(F.replace(whole, F.lit(" "), F.lit("T")), F.lit("."), ms, F.lit("Z"))
 
 
 def _col(c: Column | str) -> Column:

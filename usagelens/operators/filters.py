@@ -31,6 +31,11 @@ def _pick(col: Column, values: Sequence[str] | None) -> Column:
     return col.isin(list(values))
 
 
+def _midnight(d: dt.date) -> Column:
+    """Zone-less midnight of a day, from text (no session time zone involved)."""
+    return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def _as_date(d: DateLike) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
@@ -69,12 +74,11 @@ class UsageFilters:
             raise ValueError("date range unresolved: call with_page_dates() first")
         start, end = _as_date(self.start), _as_date(self.end)
         ts = F.col(column)
-        lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
+        lo = _midnight(start)
         if self.end_day == "midnight":
-            pred = ts.between(lo, F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz"))
+            pred = ts.between(lo, _midnight(end))
         else:
-            hi = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
-            pred = (ts >= lo) & (ts < hi)
+            pred = (ts >= lo) & (ts < _midnight(end + dt.timedelta(days=1)))
         if "event_date" in df.columns:
             pred = pred & F.col("event_date").between(F.lit(start), F.lit(end))
         return pred
