@@ -145,3 +145,23 @@ def test_leaderboard_ties_are_deterministic(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns == ["day", "api_calls", "daily_cost"]
+
+
+REQUEST_ROLLUPS = ["kpi", "model_usage", "cost_by_practice", "cost_share", "daily_usage", "hour_dow",
+                   "usage_heatmap", "tokens_by_level", "cost_by_location", "top_engineers"]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_shared_base_gives_the_same_page(spark, broadcast):
+    t = standin_tables(spark, SF_SMALL)
+    plain = UsagePage(t, broadcast=broadcast)
+    shared = UsagePage(t, broadcast=broadcast).share()
+    try:
+        for m in REQUEST_ROLLUPS:
+            a = sorted(map(tuple, getattr(plain, m)().collect()))
+            b = sorted(map(tuple, getattr(shared, m)().collect()))
+            assert a == b, m
+        p = shared.kpi()._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in p
+    finally:
+        shared.unshare()

@@ -90,3 +90,20 @@ def test_replayed_batch_overwrites_its_own_output(spark, scratch):
     store.write_facts(decoded, root, "s-8", files_per_day=2)
     n = decoded.where(F.col("kind") == "api_request").count()
     assert store.read_facts(spark, root, "api_requests").count() == 2 * n
+
+
+def test_malformed_lines_are_quarantined_in_the_same_load(spark, scratch):
+    import json
+
+    good = json.dumps({"logEvents": [{"id": "1", "message": json.dumps(
+        {"body": "claude_code.api_request", "attributes": {"event.timestamp": "2026-01-31T12:00:00.123Z"}})},
+        {"id": "2", "message": "bad"}]})
+    os.makedirs(f"{scratch}/q")
+    with open(f"{scratch}/q/x.jsonl", "w") as f:
+        f.write("\n".join([good, "not json", "", '{"logEvents": []}', '{"a":1} junk']) + "\n")
+    rep = store.load_telemetry(spark, f"{scratch}/qdb", f"{scratch}/q", max_records_per_file=1000)
+    c = rep.counts
+    assert (c["api_requests"], c["skipped"], c["total_events"], c["malformed_lines"]) == (1, 1, 2, 2)
+    q = sorted(r.line for r in store.read_quarantine(spark, f"{scratch}/qdb").collect())
+    assert q == ['not json', '{"a":1} junk']
+    assert store.read_facts(spark, f"{scratch}/qdb", "api_requests").count() == 1

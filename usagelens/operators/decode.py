@@ -157,25 +157,34 @@ def decode_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return decode(log_events(parse_lines(lines, column)))
 
 
-def load_counts(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Rows per fact table, skipped events, all events and malformed lines, in
-    one pass over the input, as ``(counter, n)`` rows. Invariant: the four table
-    counts plus ``skipped`` equal ``total_events``.
-
-    ``posexplode_outer`` keeps one placeholder row (NULL position) for a malformed
-    line or an envelope without events, so one aggregate sees both levels."""
+def decode_with_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Decoded events plus one placeholder row per malformed line or envelope
+    without events (``posexplode_outer``), keeping ``line``, ``envelope_ok`` and
+    ``pos`` (NULL on placeholders), so line- and event-level work share one pass."""
     parsed = parse_lines(lines, column)
     rows = parsed.select(
-        "envelope_ok",
+        "line", "envelope_ok",
         F.posexplode_outer(F.when(F.col("envelope_ok"), F.col("envelope.logEvents"))).alias("pos", "log_event"),
     )
-    d = decode(rows, keep=("envelope_ok", "pos"))
+    return decode(rows, keep=("line", "envelope_ok", "pos"))
+
+
+def count_columns() -> dict[str, Column]:
+    """D17 counters over ``decode_with_lines`` rows."""
     is_event = F.col("pos").isNotNull()
     counters = {t: F.count_if(is_event & F.col("kind").isin(k)) for t, k in TABLE_KINDS.items()}
     counters["skipped"] = F.count_if(is_event & (F.col("kind") == SKIPPED))
     counters["total_events"] = F.count_if(is_event)
     counters["malformed_lines"] = F.count_if(~F.col("envelope_ok"))
-    wide = d.agg(*[c.alias(n) for n, c in counters.items()])
+    return counters
+
+
+def load_counts(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Rows per fact table, skipped events, all events and malformed lines, in
+    one pass over the input, as ``(counter, n)`` rows. Invariant: the four table
+    counts plus ``skipped`` equal ``total_events``."""
+    counters = count_columns()
+    wide = decode_with_lines(lines, column).agg(*[c.alias(n) for n, c in counters.items()])
     return wide.unpivot([], list(counters), "counter", "n")
 
 

@@ -82,6 +82,45 @@ class UsagePage:
         if broadcast is None:
             broadcast = broadcast_allowed(tables.employees, tables.source_key, broadcast_limit_bytes)
         self.broadcast = broadcast
+        self._base: DataFrame | None = None
+
+    # -- one scan for the whole page -----------------------------------------
+    BASE_GRAIN = ("session_id", "model", "day", "hour")
+    BASE_PARTS = ("n", "cost", "cost_n", "tokens", "tokens_n")
+
+    def share(self) -> "UsagePage":
+        """Scan and filter the API requests once for every request rollup of the page.
+
+        The facts are aggregated to ``(user_email, session_id, model, day, hour)``
+        with additive parts and persisted; each rollup then reads that (much
+        smaller) frame instead of the fact table. Exact: every rollup's grain is
+        a function of this grain and every part is a sum. ``unshare()`` frees it."""
+        if self._base is None:
+            f = self.filters
+            facts = self.tables.api_requests
+            facts = facts.where(f.time_predicate(facts) & f.model_predicate())
+            parts = {"n": p_n(), "cost": cost(), "cost_n": p_cost_n(), "tokens": tokens(), "tokens_n": p_tokens_n()}
+            self._base = (
+                facts.groupBy("user_email", "session_id", "model",
+                              F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("hour"))
+                .agg(*[F.sum(c).alias(n) for n, c in parts.items()])
+                .persist()
+            )
+        return self
+
+    def unshare(self) -> None:
+        if self._base is not None:
+            self._base.unpersist()
+            self._base = None
+
+    def _from_base(self, grain: Mapping[str, Column], parts: Mapping[str, Column]):
+        derived = {"dow": F.dayofweek("day")}
+        g = {name: derived.get(name, F.col(name)) for name in grain}
+        unknown = [n for n in grain if n not in self.BASE_GRAIN and n not in derived]
+        unknown += [n for n in parts if n not in self.BASE_PARTS]
+        if unknown:
+            raise ValueError(f"not derivable from the shared base: {unknown}")
+        return self._base, g, {n: F.col(n) for n in parts}
 
     # -- the shared join -----------------------------------------------------
     def joined(
@@ -94,13 +133,16 @@ class UsagePage:
         extra: Column | None = None,
     ) -> DataFrame:
         f = self.filters
-        facts = self.tables.fact(fact)
-        pred = f.time_predicate(facts)
-        if model_filter:
-            pred = pred & f.model_predicate()
-        if extra is not None:
-            pred = extra & pred
-        facts = facts.where(pred)
+        if self._base is not None and fact == "api_requests" and model_filter and extra is None:
+            facts, grain, parts = self._from_base(grain, parts)
+        else:
+            facts = self.tables.fact(fact)
+            pred = f.time_predicate(facts)
+            if model_filter:
+                pred = pred & f.model_predicate()
+            if extra is not None:
+                pred = extra & pred
+            facts = facts.where(pred)
         if grain:
             facts = facts.withColumns(dict(grain))
         emp = self.tables.employees.where(f.employee_predicate())

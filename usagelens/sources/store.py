@@ -32,9 +32,12 @@ from usagelens.sources.telemetry import read_log_lines
 from usagelens.tables import UsageTables
 
 PARTITIONS = ["table", "event_date", "load_id"]
+MALFORMED = "malformed"
+QUARANTINE = "_quarantine"
 STORED_FACTS = T.StructType(
     list(DECODED.fields)
-    + [T.StructField("table", T.StringType()), T.StructField("event_date", T.DateType()),
+    + [T.StructField("line", T.StringType()),
+       T.StructField("table", T.StringType()), T.StructField("event_date", T.DateType()),
        T.StructField("load_id", T.StringType())]
 )
 
@@ -51,25 +54,32 @@ def _table_of_kind():
     return F.element_at(F.create_map(*[F.lit(x) for kv in KIND_TABLE.items() for x in kv]), F.col("kind"))
 
 
-def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int | None = None) -> None:
+def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int | None = None,
+                max_records_per_file: int | None = None) -> None:
     """Append routed rows (skipped events are not stored) under ``load_id``.
 
-    By default the write is narrow: each task writes one file per table and day it
-    holds (few, since log files are roughly time-ordered). With ``files_per_day``
-    rows are first shuffled on (table, day, salt) with a salt in
-    ``[0, files_per_day)``, so a busy day is spread over that many tasks instead of
-    landing in one."""
+    Rows of kind ``malformed`` (with a ``line`` column) go to the quarantine folder
+    ``table=_quarantine``. By default the write is narrow: each task writes one file
+    per table and day it holds (few, since log files are roughly time-ordered).
+    With ``files_per_day`` rows are first shuffled on (table, day, salt) with a salt
+    in ``[0, files_per_day)``, so a busy day is spread over that many tasks instead
+    of landing in one; ``max_records_per_file`` caps file size."""
+    line = F.col("line") if "line" in decoded.columns else F.lit(None).cast("string")
+    table = F.when(F.col("kind") == MALFORMED, F.lit(QUARANTINE)).otherwise(_table_of_kind())
     rows = decoded.where(F.col("kind") != D.SKIPPED).select(
         *[F.col(f.name) for f in DECODED.fields],
-        _table_of_kind().alias("table"),
+        line.alias("line"),
+        table.alias("table"),
         F.to_date("timestamp").alias("event_date"),
         F.lit(load_id).alias("load_id"),
     )
     if files_per_day:
-        salt = F.pmod(F.xxhash64("event_id", "timestamp"), F.lit(files_per_day))
+        salt = F.pmod(F.xxhash64("event_id", "timestamp", "line"), F.lit(files_per_day))
         rows = rows.repartition("table", "event_date", salt)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS).parquet(facts_path(root)))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy(*PARTITIONS).parquet(facts_path(root))
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -110,31 +120,46 @@ class LoadReport:
     load_id: str
 
 
-def load_telemetry(spark: SparkSession, root: str, paths: str | Sequence[str], load_id: str | None = None) -> LoadReport:
-    """S1-S4 + D1-D17 in one job: read lines, decode, write the four tables, and
-    count rows per table, skipped events and malformed lines on the way
-    (``Observation``; no second pass)."""
+def load_telemetry(spark: SparkSession, root: str, paths: str | Sequence[str], load_id: str | None = None,
+                   **write_options) -> LoadReport:
+    """S1-S4 + D1-D17 in one job: read lines, decode, write the four tables and the
+    quarantined lines, and count rows per table, skipped events and malformed lines
+    on the way (``Observation``; no second pass).
+
+    ``posexplode_outer`` keeps one row for a malformed line (and for an envelope
+    without events, which is then dropped), so lines and events share one pass."""
     load_id = load_id or f"batch-{uuid.uuid4().hex[:12]}"
-    lines_obs, events_obs = Observation("lines"), Observation("events")
-    parsed = D.parse_lines(read_log_lines(spark, paths)).observe(
-        lines_obs, F.count_if(~F.col("envelope_ok")).alias("malformed_lines")
+    obs = Observation("load")
+    decoded = D.decode_with_lines(read_log_lines(spark, paths))
+    counters = [c.alias(n) for n, c in D.count_columns().items()]
+    write_facts(stored_rows(decoded.observe(obs, *counters)), root, load_id, **write_options)
+    return LoadReport({k: int(v) for k, v in obs.get.items()}, load_id)
+
+
+def stored_rows(decoded: DataFrame) -> DataFrame:
+    """``decode_with_lines`` rows -> events and quarantined lines for ``write_facts``."""
+    return decoded.where(F.col("pos").isNotNull() | ~F.col("envelope_ok")).select(
+        F.when(F.col("envelope_ok"), F.col("kind")).otherwise(F.lit(MALFORMED)).alias("kind"),
+        F.when(~F.col("envelope_ok"), F.col("line")).alias("line"),
+        *[f.name for f in DECODED.fields],
     )
-    decoded = D.decode(D.log_events(parsed))
-    counters = [F.count_if(F.col("kind").isin(k)).alias(t) for t, k in D.TABLE_KINDS.items()]
-    counters += [F.count_if(F.col("kind") == D.SKIPPED).alias("skipped"), F.count(F.lit(1)).alias("total_events")]
-    write_facts(decoded.observe(events_obs, *counters), root, load_id)
-    counts = {**{k: int(v) for k, v in events_obs.get.items()},
-              **{k: int(v) for k, v in lines_obs.get.items()}}
-    return LoadReport(counts, load_id)
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The malformed lines of every load (``line``, ``load_id``)."""
+    return _all_facts(spark, root).where(F.col("table") == QUARANTINE).select("line", "load_id")
+
+
+def _all_facts(spark: SparkSession, root: str) -> DataFrame:
+    if _path_exists(spark, facts_path(root)):
+        return spark.read.schema(STORED_FACTS).option("basePath", facts_path(root)).parquet(facts_path(root))
+    return spark.createDataFrame([], STORED_FACTS)
 
 
 def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
     """S5 + S6: one fact table with its ``event_date`` (for pruning) and ``load_id``;
     an empty table of the declared schema when nothing was loaded yet."""
-    if _path_exists(spark, facts_path(root)):
-        all_facts = spark.read.schema(STORED_FACTS).option("basePath", facts_path(root)).parquet(facts_path(root))
-    else:
-        all_facts = spark.createDataFrame([], STORED_FACTS)
+    all_facts = _all_facts(spark, root)
     cols = [f.name for f in FACT_SCHEMAS[table].fields]
     return all_facts.where(F.col("table") == table).select(*cols, "event_date", "load_id")
 

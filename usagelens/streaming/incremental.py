@@ -14,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from usagelens.operators import decode as D
 from usagelens.session import checkpoint_dir
-from usagelens.sources.store import write_facts
+from usagelens.operators import decode as D
+from usagelens.sources.store import stored_rows, write_facts
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -38,7 +38,7 @@ def start_incremental_load(
         .option("recursiveFileLookup", "true")
         .load(source_dir)
     )
-    decoded = D.decode_lines(lines)
+    decoded = stored_rows(D.decode_with_lines(lines))   # events and quarantined lines
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_facts(batch, root, load_id=f"{name}-{batch_id}")
