@@ -102,10 +102,12 @@ def pack_envelopes(events: DataFrame, size: int = DEFAULT_SIZE, partitions: int
     ``events`` has ``event_time``, ``log_id``, ``message``. Result columns:
     ``year``, ``month``, ``day`` (of the first event), ``logEvents``
     (array of ``{id, timestamp, message}`` in time order)."""
-    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count the range exchange uses the session's partition
+    # number and AQE may merge neighbouring ranges (still contiguous in time).
+    by_range = (events.repartitionByRange(partitions, "event_time", "log_id") if partitions
+                else events.repartitionByRange("event_time", "log_id"))
     ordered = (
-        events.repartitionByRange(n, "event_time", "log_id")
-        .sortWithinPartitions("event_time", "log_id")
+        by_range.sortWithinPartitions("event_time", "log_id")
         .withColumn("_pos", F.monotonically_increasing_id())
     )
     keyed = ordered.select(

@@ -109,7 +109,7 @@ def append_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[s
     staged = spark.read.schema(EMPLOYEES).parquet(stage)
     n = staged.count()
     if n:
-        staged.coalesce(1).write.mode("append").parquet(employees_path(root))
+        staged.write.mode("append").parquet(employees_path(root))
         forget_size(f"stored:{root.rstrip('/')}")
     return n
 
