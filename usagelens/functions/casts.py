@@ -39,7 +39,10 @@ def safe_float(c: Column | str, default: float = 0.0) -> Column:
     One regex gates the text (surrounding whitespace allowed); Spark's cast trims it."""
     c = _col(c)
     ok = c.rlike(rf"^\s*({_NUMBER}|{_SPECIAL})\s*$")
-    return F.coalesce(F.when(ok, c.try_cast("double")), F.lit(default).cast("double"))
+    # Spark's cast knows "nan" but not a signed one; Python takes "+nan" / "-nan".
+    nan = c.rlike(r"^\s*[+-]?(?i:nan)\s*$")
+    value = F.when(nan, F.lit(float("nan"))).when(ok, c.try_cast("double"))
+    return F.coalesce(value, F.lit(default).cast("double"))
 
 
 def safe_int(c: Column | str, default: int = 0) -> Column:
