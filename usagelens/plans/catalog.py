@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
-from usagelens.functions.labels import model_short_name, pseudonym
+from usagelens.functions.labels import error_label, model_short_name, pseudonym
+from usagelens.session import scratch_path
+from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
 from usagelens.operators.filters import UsageFilters, date_bounds, filter_options
@@ -123,6 +125,32 @@ def _safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every decoded event with its routing kind and common fields."""
+    d = _decoded(spark, sf_dir)
+    return d.select("kind", "event_id", "session_id", "user_email", "timestamp")
+
+
+def _employee_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 -> S2 -> S3: the employee dimension written as two CSV folders (first with
+    blanks around every value, then a conflicting copy of every email) and loaded
+    back with first-row-wins in the stated path order."""
+    emp = standin_tables(spark, sf_dir).employees
+    padded = emp.select(*[F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias(c) for c in emp.columns])
+    conflicting = emp.select("email", *[F.concat(F.col(c), F.lit("-later")).alias(c)
+                                        for c in emp.columns if c != "email"])
+    first, later = scratch_path(spark, "employees-a"), scratch_path(spark, "employees-b")
+    write_employee_csv(padded, first)
+    write_employee_csv(conflicting, later)
+    return load_employee_csv(spark, [first, later])
+
+
+def _error_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10 with the bar label: first 45 characters plus '...'."""
+    top = UsagePage(standin_tables(spark, sf_dir)).top_errors()
+    return top.withColumn("label", error_label("error_message"))
+
+
 def _model_short_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = standin_tables(spark, sf_dir)
     m = t.api_requests.select("model").distinct()
@@ -149,6 +177,9 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "safe_casts": (_safe_casts, oracle.safe_casts),
     "user_pseudonym": (_user_pseudonym, oracle.user_pseudonym),
     "model_short_name": (_model_short_name, oracle.model_short_name),
+    "decode_roundtrip": (_decode_roundtrip, oracle.decode_roundtrip),
+    "employee_dim": (_employee_dim, oracle.employee_dim),
+    "error_labels": (_error_labels, lambda: oracle.error_labels(DEFAULT)),
 }
 
 

@@ -311,3 +311,22 @@ def model_short_name() -> str:
     return with_views("""
 SELECT model, regexp_replace(replace(model, 'claude-', ''), '-2025\\d+', '', 'g') AS model_short
 FROM (SELECT DISTINCT model FROM api_requests) m""")
+
+
+def decode_roundtrip() -> str:
+    cols = f"event_id, session_id, user_email, {MS_TS}"
+    return with_views(f"""
+SELECT 'api_request' AS kind, {cols} FROM api_requests
+UNION ALL SELECT 'user_prompt', {cols} FROM user_prompts
+UNION ALL SELECT CASE WHEN event_type = 'decision' THEN 'tool_decision' ELSE 'tool_result' END, {cols}
+          FROM tool_events
+UNION ALL SELECT 'api_error', {cols} FROM api_errors""")
+
+
+def employee_dim() -> str:
+    return with_views("SELECT email, full_name, practice, level, location FROM employees")
+
+
+def error_labels(f: UsageFilters, top: int = 10) -> str:
+    return with_views("SELECT model, error_message, occurrences, left(error_message, 45) || '...' AS label FROM te",
+                      f"te AS ({_top_errors(f, top)})")
