@@ -106,8 +106,10 @@ def pack_envelopes(events: DataFrame, size: int = DEFAULT_SIZE, partitions: int
     # number and AQE may merge neighbouring ranges (still contiguous in time).
     by_range = (events.repartitionByRange(partitions, "event_time", "log_id") if partitions
                 else events.repartitionByRange("event_time", "log_id"))
+    # A total order (the message breaks ties between repeated ids), so row numbers
+    # are the same if a lost task is recomputed.
     ordered = (
-        by_range.sortWithinPartitions("event_time", "log_id")
+        by_range.sortWithinPartitions("event_time", "log_id", "message")
         .withColumn("_pos", F.monotonically_increasing_id())
     )
     keyed = ordered.select(
