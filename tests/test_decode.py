@@ -130,3 +130,13 @@ def test_decode_has_no_shuffle_and_no_python(spark):
     d = D.decode_lines(lines_df(spark, [envelope({"id": "1", "message": msg()})]))
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_json_true_success_and_numbers_as_json(spark):
+    rows = decoded_rows(spark, [
+        {"id": 1, "message": json.dumps({"body": "claude_code.tool_result",
+                                         "attributes": {"success": True, "duration_ms": 12.5}})},
+        {"id": 2, "message": json.dumps({"body": REQ, "attributes": {"cost_usd": 0.5, "input_tokens": 7}})},
+    ])
+    assert (rows[0].event_id, rows[0].success, rows[0].duration_ms) == ("1", True, 12)
+    assert (rows[1].cost_usd, rows[1].input_tokens) == (0.5, 7)
