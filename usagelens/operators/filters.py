@@ -88,7 +88,7 @@ class UsageFilters:
         """Fill an unset start/end from ``date_bounds`` (one row), as the page does."""
         if self.start is not None and self.end is not None:
             return self
-        row = bounds.first()
+        row = bounds.collect()[0]   # an ungrouped aggregate: exactly one row
         return replace(
             self,
             start=self.start if self.start is not None else row["min_date"],

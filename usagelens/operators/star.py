@@ -36,7 +36,7 @@ def dimension_bytes(employees: DataFrame) -> int:
     """Exact payload size of the dimension: one aggregate job, no rows to the driver."""
     cols = [c for c, t in employees.dtypes if t == "string"]
     payload = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in cols), F.lit(0).cast("long"))
-    row = employees.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
+    row = employees.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).collect()[0]
     return int(row["b"] or 0) + int(row["n"]) * _ROW_OVERHEAD
 
 

@@ -7,8 +7,23 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def spread(scan: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Round-robin the rows of a raw scan over at least ``min_tasks`` tasks (default:
+    the cluster's cores) when the input yields fewer splits, e.g. one unsplittable
+    compressed file or a file with a single row group. Input that already splits
+    widely is returned unchanged, so large inputs pay no extra shuffle.
+
+    Only for plain scans (no exchange below): counting partitions plans the input."""
+    want = min_tasks or scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= want:
+        return scan
+    return scan.repartition(want)
+
+
+def read_log_lines(spark: SparkSession, paths: str | Sequence[str], spread_input: bool = True) -> DataFrame:
     """One row per line (column ``value``); files are split across tasks, and
-    compressed files are read by their codec. Folders are read recursively."""
+    compressed files are read by their codec. Folders are read recursively. A few
+    large unsplittable files are spread over the cluster before decoding."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("recursiveFileLookup", "true").text(paths)
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    return spread(lines) if spread_input else lines
