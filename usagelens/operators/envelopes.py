@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.functions.casts import format_event_ts
 from usagelens.tables import UsageTables
@@ -54,15 +55,17 @@ def _common() -> dict[str, Column]:
 
 def encode_facts(tables: UsageTables) -> DataFrame:
     """Fact rows as telemetry events: ``(event_time, log_id, body, message)``, where
-    ``message`` is the event's JSON text. Numbers travel as text, as the writer
-    sends them; decoding the result gives the facts back at millisecond precision."""
+    ``message`` is the event as a struct (``body``, ``attributes``, ``scope``,
+    ``resource``); ``pack_envelopes`` renders it as JSON text after its range
+    shuffle, so the sampling pass of that shuffle stays cheap. Numbers travel as
+    text, as the writer sends them; decoding the result gives the facts back at
+    millisecond precision."""
     empty = F.create_map().cast("map<string,string>")
 
     def event(df: DataFrame, body: Column, attrs: dict[str, Column], extra_nullable: dict[str, Column],
               resource: Column, scope: Column) -> DataFrame:
         a = F.map_concat(_attr_map({**_common(), **attrs}), _attr_map(extra_nullable, drop_nulls=True))
-        msg = F.to_json(F.struct(body.alias("body"), a.alias("attributes"),
-                                 scope.alias("scope"), resource.alias("resource")))
+        msg = F.struct(body.alias("body"), a.alias("attributes"), scope.alias("scope"), resource.alias("resource"))
         return df.select(F.col("timestamp").alias("event_time"), F.col("event_id").alias("log_id"),
                          body.alias("body"), msg.alias("message"))
 
@@ -99,15 +102,17 @@ def encode_facts(tables: UsageTables) -> DataFrame:
 def pack_envelopes(events: DataFrame, size: int = DEFAULT_SIZE, partitions: int | None = None) -> DataFrame:
     """Envelopes of at most ``size`` consecutive events of one day.
 
-    ``events`` has ``event_time``, ``log_id``, ``message``. Result columns:
-    ``year``, ``month``, ``day`` (of the first event), ``logEvents``
-    (array of ``{id, timestamp, message}`` in time order)."""
+    ``events`` has ``event_time``, ``log_id``, ``message`` (JSON text, or a struct
+    rendered here). Result columns: ``year``, ``month``, ``day`` (of the first
+    event), ``logEvents`` (array of ``{id, timestamp, message}`` in time order)."""
     # Without an explicit count the range exchange uses the session's partition
     # number and AQE may merge neighbouring ranges (still contiguous in time).
     by_range = (events.repartitionByRange(partitions, "event_time", "log_id") if partitions
                 else events.repartitionByRange("event_time", "log_id"))
-    # A total order (the message breaks ties between repeated ids), so row numbers
-    # are the same if a lost task is recomputed.
+    if not isinstance(events.schema["message"].dataType, T.StringType):
+        by_range = by_range.withColumn("message", F.to_json("message"))
+    # A total order (the message text breaks ties between repeated ids), so row
+    # numbers are the same if a lost task is recomputed.
     ordered = (
         by_range.sortWithinPartitions("event_time", "log_id", "message")
         .withColumn("_pos", F.monotonically_increasing_id())
