@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
 from usagelens.functions.labels import error_label, model_short_name, pseudonym
-from usagelens.session import scratch_path
+from usagelens.session import checkpoint_dir, scratch_path
 from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
@@ -101,8 +101,16 @@ def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in facts written out as log-batch JSON lines (in memory, lazily)."""
-    return _defined(spark, sf_dir, "lines", lambda: envelope_lines(pack_envelopes(encode_facts(_tables(spark, sf_dir)))))
+    """The stand-in facts written out as log-batch JSON lines, staged once per session
+    with a reliable checkpoint in the shared checkpoint folder: the round-trip queries
+    decode these lines instead of re-packing the facts each time, and a lost executor
+    re-reads them instead of recomputing the pack."""
+    def make() -> DataFrame:
+        checkpoint_dir(spark)
+        lines = envelope_lines(pack_envelopes(encode_facts(_tables(spark, sf_dir)))).select("value")
+        return lines.checkpoint(eager=True)
+
+    return _defined(spark, sf_dir, "lines", make)
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
