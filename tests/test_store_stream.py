@@ -107,3 +107,27 @@ def test_malformed_lines_are_quarantined_in_the_same_load(spark, scratch):
     q = sorted(r.line for r in store.read_quarantine(spark, f"{scratch}/qdb").collect())
     assert q == ['not json', '{"a":1} junk']
     assert store.read_facts(spark, f"{scratch}/qdb", "api_requests").count() == 1
+
+
+def _files_per_folder(root):
+    counts = {}
+    for d, _, fs in os.walk(root):
+        n = sum(1 for f in fs if f.endswith(".parquet"))
+        if n:
+            counts[d] = n
+    return counts
+
+
+def test_rebalanced_write_gives_one_file_per_table_day(spark, scratch):
+    """Input files mix days; the default layout still writes one file per (table,
+    day) at this size, and the narrow layout stores the same rows."""
+    logs_and_csv(spark, scratch)
+    store.load_telemetry(spark, f"{scratch}/rb", f"{scratch}/logs")
+    store.load_telemetry(spark, f"{scratch}/nw", f"{scratch}/logs", layout="narrow")
+    per_folder = _files_per_folder(f"{scratch}/rb")
+    assert per_folder and set(per_folder.values()) == {1}
+    assert sum(_files_per_folder(f"{scratch}/nw").values()) >= len(per_folder)
+    for t in ("api_requests", "tool_events"):
+        a = store.read_facts(spark, f"{scratch}/rb", t).drop("load_id")
+        b = store.read_facts(spark, f"{scratch}/nw", t).drop("load_id")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t

@@ -55,15 +55,23 @@ def _table_of_kind():
 
 
 def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int | None = None,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None, layout: str = "rebalance") -> None:
     """Append routed rows (skipped events are not stored) under ``load_id``.
 
     Rows of kind ``malformed`` (with a ``line`` column) go to the quarantine folder
-    ``table=_quarantine``. By default the write is narrow: each task writes one file
-    per table and day it holds (few, since log files are roughly time-ordered).
-    With ``files_per_day`` rows are first shuffled on (table, day, salt) with a salt
-    in ``[0, files_per_day)``, so a busy day is spread over that many tasks instead
-    of landing in one; ``max_records_per_file`` caps file size."""
+    ``table=_quarantine``. How rows reach the files (``layout``):
+
+    * ``"rebalance"`` (default): one shuffle on (table, day) with Spark's REBALANCE
+      hint; AQE cuts a busy day into several tasks of about
+      ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merges quiet days,
+      so files have a steady size whatever the input's file layout or skew.
+    * ``"narrow"``: no shuffle; each task writes one file per table and day it
+      holds. Only for large, time-ordered input files, where a task spans few days.
+
+    ``files_per_day`` (overrides ``layout``) shuffles on (table, day, salt) with a
+    salt in ``[0, files_per_day)`` instead; ``max_records_per_file`` caps file size."""
+    if layout not in ("rebalance", "narrow"):
+        raise ValueError("layout must be 'rebalance' or 'narrow'")
     line = F.col("line") if "line" in decoded.columns else F.lit(None).cast("string")
     table = F.when(F.col("kind") == MALFORMED, F.lit(QUARANTINE)).otherwise(_table_of_kind())
     rows = decoded.where(F.col("kind") != D.SKIPPED).select(
@@ -76,6 +84,8 @@ def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int
     if files_per_day:
         salt = F.pmod(F.xxhash64("event_id", "timestamp", "line"), F.lit(files_per_day))
         rows = rows.repartition("table", "event_date", salt)
+    elif layout == "rebalance":
+        rows = rows.hint("rebalance", "table", "event_date")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
