@@ -80,3 +80,33 @@ def test_parse_event_ts_matches_strptime(spark):
         "x", parse_event_ts("x").alias("t")).collect()
     bad = [(r.x, r.t, py_ts(r.x)) for r in got if r.t != py_ts(r.x)]
     assert not bad, bad[:10]
+
+
+def canonical_ts_text():
+    """The writer's shape with any digits, so impossible fields (month 00 or 13+, day
+    00 or past the month's end, hour 24+, second 60+, year 0000) are drawn too."""
+    d = lambda n: "".join(RND.choice("0123456789") for _ in range(n))
+    year = RND.choice(["0000", "0001", "1999", "2024", "9999", d(4)])
+    month = RND.choice([f"{RND.randint(0, 19):02d}", f"{RND.randint(1, 12):02d}"])
+    day = RND.choice([f"{RND.randint(0, 39):02d}", f"{RND.randint(28, 31):02d}"])
+    return (f"{year}-{month}-{day}T{RND.randint(0, 29):02d}:{RND.randint(0, 69):02d}:"
+            f"{RND.randint(0, 69):02d}.{d(3)}Z")
+
+
+def test_parse_event_ts_writer_shape_matches_strptime(spark):
+    xs = [canonical_ts_text() for _ in range(5000)] + ["0000-01-01T00:00:00.000Z", "2024-02-29T23:59:59.999Z"]
+    got = spark.createDataFrame([(x,) for x in xs], "x string").select(
+        "x", parse_event_ts("x").alias("t")).collect()
+    bad = [(r.x, r.t, py_ts(r.x)) for r in got if r.t != py_ts(r.x)]
+    assert not bad, bad[:10]
+    assert sum(r.t is not None for r in got) > 500
+
+
+def test_strip_ws_matches_python_strip(spark):
+    from usagelens.functions import strip_ws
+
+    pool = [c for c in map(chr, range(0x3001)) if c.isspace()] + list("ab{}\" é€") + ["​", "﻿"]
+    xs = ["".join(RND.choice(pool) for _ in range(RND.randint(0, 8))) for _ in range(3000)]
+    got = spark.createDataFrame([(x,) for x in xs], "x string").select("x", strip_ws("x").alias("y")).collect()
+    bad = [(r.x, r.y) for r in got if r.y != r.x.strip()]
+    assert not bad, bad[:10]

@@ -18,18 +18,35 @@ _TS_PATTERN = (
     r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
     r"[Tt](2[0-3]|[01]\d|\d):([0-5]\d|\d):([0-5]\d|\d)\.(\d{1,6})[Zz]$"
 )
+# The writer's form with every digit shown as '#'.
+_TS_CANONICAL = "####-##-##T##:##:##.###Z"
+
+
+# The characters Python's str.isspace() accepts, which str.strip()
+# removes: U+0009-U+000D, U+001C-U+001F, U+0020, U+0085, U+00A0, U+1680,
+# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace of any kind."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: drop leading and trailing whitespace of any kind.
+
+    ``btrim`` with a character set walks in from both ends only (no regex over the
+    whole text, which matters for long log lines)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def lookup(m: Column | str, key: str, default: str | None = "") -> Column:
     """``d.get(key, default)`` on a string map: absent key -> default, JSON null -> NULL."""
     m = _col(m)
-    return F.when(F.map_contains_key(m, F.lit(key)), F.element_at(m, F.lit(key))).otherwise(
-        F.lit(default)
+    # One scan of the map for a present, non-NULL value; the key test only runs
+    # when the value is NULL (absent key or JSON null).
+    return F.coalesce(
+        F.element_at(m, F.lit(key)), F.when(~F.map_contains_key(m, F.lit(key)), F.lit(default))
     )
 
 
@@ -62,16 +79,25 @@ def parse_event_ts(c: Column | str) -> Column:
     """``strptime(x, '%Y-%m-%dT%H:%M:%S.%fZ')`` as TIMESTAMP_NTZ, NULL when it fails
     (wrong shape, impossible date such as Feb 30, missing fraction, offset suffix).
 
-    One regex checks the shape; the seven fields then come from one split."""
+    The writer's own form (``2026-01-31T12:00:00.123Z``: fixed field widths,
+    millisecond fraction) is told apart without a regex and read by Spark's cast,
+    which accepts and rejects the same dates as ``strptime`` for that shape (year 0
+    excepted, hence the guard). Any other text takes the general path: one regex
+    checks the shape and the seven fields come from one split."""
     c = _col(c)
+    canonical = (F.translate(c, "0123456789", "##########") == F.lit(_TS_CANONICAL)) & (
+        F.substring(c, 1, 4) != F.lit("0000")
+    )
     parts = F.split(c, "[-Tt:.Zz]")
     part = lambda i: F.trim(parts.getItem(i))
     seconds = F.concat(part(5), F.lit("."), part(6)).cast("decimal(8,6)")
+    year = part(0).cast("int")
     ts = F.try_make_timestamp_ntz(
-        part(0).cast("int"), part(1).cast("int"), part(2).cast("int"),
+        year, part(1).cast("int"), part(2).cast("int"),
         part(3).cast("int"), part(4).cast("int"), seconds,
     )
-    return F.when(c.rlike(_TS_PATTERN), ts)
+    general = F.when(c.rlike(_TS_PATTERN) & (year >= 1), ts)   # Python's datetime starts at year 1
+    return F.when(canonical, F.substring(c, 1, 23).try_cast("timestamp_ntz")).otherwise(general)
 
 
 def format_event_ts(c: Column | str) -> Column:
