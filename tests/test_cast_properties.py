@@ -110,3 +110,22 @@ def test_strip_ws_matches_python_strip(spark):
     got = spark.createDataFrame([(x,) for x in xs], "x string").select("x", strip_ws("x").alias("y")).collect()
     bad = [(r.x, r.y) for r in got if r.y != r.x.strip()]
     assert not bad, bad[:10]
+
+
+def test_plain_numerals_match_python(spark):
+    """Text in the forms the fast paths take: plain integers and decimals,
+    scientific forms, signs and leading zeros (which the fast path hands on)."""
+    ints = [str(RND.randint(-2**40, 2**40)) for _ in range(1500)] + ["0", "-0", "007", "+5", "2147483647", "2147483648"]
+    floats = [repr(RND.uniform(-1e6, 1e6)) for _ in range(1500)] + [repr(RND.random() * 10 ** RND.randint(-12, 12))
+                                                                   for _ in range(1500)]
+    floats += ["1.0E-4", "1.0e-4", "Infinity", "-Infinity", "NaN", "12.50", "0.1", "1e3"]
+    xs = ints + floats
+    got = spark.createDataFrame([(x,) for x in xs], "x string").select(
+        "x", safe_float("x").alias("f"), safe_int("x").alias("i")).collect()
+    bad = []
+    for r in got:
+        f = py_float(r.x)
+        same_f = (math.isnan(f) and r.f is not None and math.isnan(r.f)) or r.f == f
+        if not same_f or r.i != py_int(r.x):
+            bad.append((r.x, r.f, r.i, f, py_int(r.x)))
+    assert not bad, bad[:10]

@@ -55,19 +55,25 @@ def safe_float(c: Column | str, default: float = 0.0) -> Column:
 
     One regex gates the text (surrounding whitespace allowed); Spark's cast trims it."""
     c = _col(c)
+    d = c.try_cast("double")
     ok = c.rlike(rf"^\s*({_NUMBER}|{_SPECIAL})\s*$")
     # Spark's cast knows "nan" but not a signed one; Python takes "+nan" / "-nan".
     nan = c.rlike(r"^\s*[+-]?(?i:nan)\s*$")
-    value = F.when(nan, F.lit(float("nan"))).when(ok, c.try_cast("double"))
-    return F.coalesce(value, F.lit(default).cast("double"))
+    general = F.coalesce(F.when(nan, F.lit(float("nan"))).when(ok, d), F.lit(default).cast("double"))
+    # Text that is exactly Spark's own rendering of its value ("12.5", "1.0E-4") is
+    # a numeral Python reads to the same double: no regex needed.
+    return F.when(d.cast("string") == c, d).otherwise(general)
 
 
 def safe_int(c: Column | str, default: int = 0) -> Column:
     """``int(float(x))``: truncates toward zero; NaN, infinity, non-numbers and values
     beyond 32 bits give the default."""
     c = _col(c)
+    i = c.try_cast("int")
     as_double = F.when(c.rlike(rf"^\s*{_NUMBER}\s*$"), c.try_cast("double"))
-    return F.coalesce(as_double.try_cast("int"), F.lit(default).cast("int"))
+    general = F.coalesce(as_double.try_cast("int"), F.lit(default).cast("int"))
+    # Plain integer text ("1234", "-7": Spark's own rendering of the value) needs no regex.
+    return F.when(i.cast("string") == c, i).otherwise(general)
 
 
 def safe_bool(c: Column | str) -> Column:
