@@ -119,8 +119,9 @@ def _files_per_folder(root):
 
 
 def test_rebalanced_write_gives_one_file_per_table_day(spark, scratch):
-    """Input files mix days; the default layout still writes one file per (table,
-    day) at this size, and the narrow layout stores the same rows."""
+    """Read tasks mix days (Spark packs small input files together); the default
+    layout still writes one file per (table, day) at this size, and the narrow
+    layout stores the same rows."""
     logs_and_csv(spark, scratch)
     store.load_telemetry(spark, f"{scratch}/rb", f"{scratch}/logs")
     store.load_telemetry(spark, f"{scratch}/nw", f"{scratch}/logs", layout="narrow")

@@ -146,8 +146,13 @@ def envelope_lines(envelopes: DataFrame) -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """S7 sink: JSON lines, one folder per year/month/day."""
-    envelope_lines(envelopes).write.mode(mode).partitionBy("year", "month", "day").text(path)
+    """S7 sink: JSON lines, one folder per year/month/day.
+
+    The envelopes leave their grouping shuffle spread by envelope, so every task
+    holds some of every day; a REBALANCE on the day brings each day's lines to few
+    tasks (AQE splits a busy day by size), giving few files per day folder."""
+    lines = envelope_lines(envelopes).hint("rebalance", "year", "month", "day")
+    lines.write.mode(mode).partitionBy("year", "month", "day").text(path)
 
 
 def envelope_days(envelopes: DataFrame) -> DataFrame:
