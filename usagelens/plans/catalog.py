@@ -6,6 +6,7 @@ Every builder takes ``(spark, sf_dir)``, reads the driver's tables under
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
 from usagelens.functions.labels import error_label, model_short_name, pseudonym
-from usagelens.session import checkpoint_dir, scratch_path
+from usagelens.session import checkpoint_dir, scratch_path, stage_table
 from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
@@ -40,7 +41,15 @@ def _defined(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], obj
 
 
 def _tables(spark: SparkSession, sf_dir: str):
-    return _defined(spark, sf_dir, "tables", lambda: standin_tables(spark, sf_dir))
+    """The stand-in tables; the employee view (customer ⋈ nation ⋈ region) is written
+    once per session as a Parquet table in the shared folder, as a deployment keeps
+    its dimension stored (``store.append_employees``): each query then scans and
+    broadcasts one table instead of re-running the nested joins."""
+    def make():
+        t = standin_tables(spark, sf_dir)
+        return replace(t, employees=stage_table(t.employees, "standin-employees"))
+
+    return _defined(spark, sf_dir, "tables", make)
 
 
 def _page(spark: SparkSession, sf_dir: str, filters: UsageFilters) -> UsagePage:

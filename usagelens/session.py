@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query relies on for its semantics (not tuning): event times are
 # zone-less wall clock, so the session zone must not shift them.
@@ -65,3 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/usagelens-stage/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
+    back: later plans scan a plain table (column pruning, pushed filters) instead of
+    recomputing ``df``, and a lost executor re-reads files instead of recomputing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
