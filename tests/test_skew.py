@@ -57,3 +57,24 @@ def test_hot_user_collapses_before_the_join(spark):
     rows = joined.collect()
     assert len(rows) == 998                                   # one row per user reaches the join
     assert [r.n for r in rows if r.email == "hot"] == [N // 3]
+
+
+def test_copies_of_one_event_spread_over_range_partitions(spark):
+    """A third of all events are exact copies of one event: the range shuffle of
+    envelope packing still cuts them across tasks, and no copy is lost."""
+    from usagelens.operators.envelopes import pack_envelopes, range_ordered
+
+    ids = spark.range(N)
+    copy = F.col("id") % 3 == 0
+    events = ids.select(
+        F.when(copy, F.lit("2026-01-01 12:00:00")).otherwise(
+            F.concat(F.lit("2026-01-01 "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00")))
+        .cast("timestamp_ntz").alias("event_time"),
+        F.when(copy, F.lit("same")).otherwise(F.col("id").cast("string")).alias("log_id"),
+        F.when(copy, F.lit('{"body":"x"}')).otherwise(F.col("id").cast("string")).alias("message"),
+    ).repartition(6)
+    per_task = [r["count"] for r in range_ordered(events, 6)
+                .where(F.col("log_id") == "same").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == N // 3 and len(per_task) >= 2
+    env = pack_envelopes(events, size=10, partitions=6)
+    assert env.select(F.sum(F.size("logEvents"))).first()[0] == N

@@ -4,8 +4,9 @@ G1 order by event time, G2 pack consecutive events into envelopes of at most
 ``size`` events, G3 partition columns from the envelope's first event, G4 epoch
 milliseconds, S7 one JSON envelope per line.
 
-Packing never puts a whole day (or any unbounded group) into one task: events are
-range-partitioned on ``(event_time, log_id)`` and sorted within each partition;
+Packing never puts a whole day (or any unbounded group, even one of exact copies)
+into one task: events are range-partitioned on ``(event_time, log_id, copy number)``
+and sorted within each partition;
 ``monotonically_increasing_id`` then numbers rows in that order inside each
 partition, and an envelope is a run of ``size`` consecutive rows of one partition
 and one day. Envelopes therefore hold 1..size time-consecutive events of a single
@@ -99,24 +100,37 @@ def encode_facts(tables: UsageTables) -> DataFrame:
     return requests.unionByName(prompts).unionByName(tools).unionByName(errors)
 
 
-def pack_envelopes(events: DataFrame, size: int = DEFAULT_SIZE, partitions: int | None = None) -> DataFrame:
-    """Envelopes of at most ``size`` consecutive events of one day.
+def range_ordered(events: DataFrame, partitions: int | None = None) -> DataFrame:
+    """G1: events range-partitioned on time and sorted inside each partition, with
+    ``_pos`` numbering them in that order (``partition << 33 | row``).
 
-    ``events`` has ``event_time``, ``log_id``, ``message`` (JSON text, or a struct
-    rendered here). Result columns: ``year``, ``month``, ``day`` (of the first
-    event), ``logEvents`` (array of ``{id, timestamp, message}`` in time order)."""
+    The last range key ``_copy`` is a per-row number taken before the shuffle, so
+    the range bounds can cut even a group of exact copies of one event (the same
+    event sent many times) across tasks, however large it is. Copies are equal in
+    every column, so how they are cut cannot change any envelope's content, and the
+    number depends only on the input splits, so a recomputed task sees the same."""
+    tagged = events.withColumn("_copy", F.monotonically_increasing_id())
+    keys = ("event_time", "log_id", "_copy")
     # Without an explicit count the range exchange uses the session's partition
     # number and AQE may merge neighbouring ranges (still contiguous in time).
-    by_range = (events.repartitionByRange(partitions, "event_time", "log_id") if partitions
-                else events.repartitionByRange("event_time", "log_id"))
+    by_range = tagged.repartitionByRange(partitions, *keys) if partitions else tagged.repartitionByRange(*keys)
     if not isinstance(events.schema["message"].dataType, T.StringType):
         by_range = by_range.withColumn("message", F.to_json("message"))
-    # A total order (the message text breaks ties between repeated ids), so row
-    # numbers are the same if a lost task is recomputed.
-    ordered = (
+    # A total order up to exact copies (the message text breaks ties between
+    # repeated ids), so row numbers are the same if a lost task is recomputed.
+    return (
         by_range.sortWithinPartitions("event_time", "log_id", "message")
         .withColumn("_pos", F.monotonically_increasing_id())
     )
+
+
+def pack_envelopes(events: DataFrame, size: int = DEFAULT_SIZE, partitions: int | None = None) -> DataFrame:
+    """Envelopes of at most ``size`` consecutive events of one day.
+
+    ``events`` has ``event_time``, ``log_id``, ``message`` (JSON text, or a struct
+    rendered here). Result columns: ``year``, ``month``, ``day`` (of the first
+    event), ``logEvents`` (array of ``{id, timestamp, message}`` in time order)."""
+    ordered = range_ordered(events, partitions)
     keyed = ordered.select(
         F.shiftright("_pos", 33).alias("_part"),
         F.floor(F.col("_pos").bitwiseAND(F.lit(_LOW_BITS)) / size).alias("_run"),
