@@ -95,3 +95,13 @@ def test_results_do_not_depend_on_the_session_zone(spark):
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
     for n in names:
         assert sorted(map(tuple, q[n](other, SF_SMALL).collect())) == base[n], n
+
+
+def test_lookup_absent_null_and_missing_map(spark):
+    from usagelens.functions.casts import lookup
+
+    rows = [({"a": "1", "n": None},), ({},), (None,)]
+    df = spark.createDataFrame(rows, "m map<string,string>")
+    got = [tuple(r) for r in df.select(lookup("m", "a").alias("a"), lookup("m", "n").alias("n"),
+                                       lookup("m", "z").alias("z")).collect()]
+    assert got == [("1", None, ""), ("", "", ""), ("", "", "")]

@@ -46,7 +46,8 @@ def lookup(m: Column | str, key: str, default: str | None = "") -> Column:
     # One scan of the map for a present, non-NULL value; the key test only runs
     # when the value is NULL (absent key or JSON null).
     return F.coalesce(
-        F.element_at(m, F.lit(key)), F.when(~F.map_contains_key(m, F.lit(key)), F.lit(default))
+        F.element_at(m, F.lit(key)),
+        F.when(~F.coalesce(F.map_contains_key(m, F.lit(key)), F.lit(False)), F.lit(default)),
     )
 
 
