@@ -122,6 +122,31 @@ def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defined(spark, sf_dir, "lines", make)
 
 
+def _log_files(spark: SparkSession, sf_dir: str) -> str:
+    """The staged JSON lines as text files in the shared folder (once per session):
+    the input folder of the incremental load."""
+    def make() -> str:
+        path = scratch_path(spark, "log-files")
+        _log_lines(spark, sf_dir).write.text(path)
+        return path
+
+    return _defined(spark, sf_dir, "log-files", make)
+
+
+def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log files loaded by the file stream (``availableNow``, two files per
+    micro-batch, checkpoint in the shared folder) into a fresh store, then the same
+    stream restarted, which must add nothing; rows stored per fact table."""
+    from usagelens.sources.store import stored_counts
+    from usagelens.streaming.incremental import run_incremental_load
+
+    src = _log_files(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "stream-db"), scratch_path(spark, "stream-ckpt")
+    run_incremental_load(spark, src, root, checkpoint=ckpt, max_files_per_trigger=2)
+    run_incremental_load(spark, src, root, checkpoint=ckpt)
+    return stored_counts(spark, root)
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defined(spark, sf_dir, "decoded", lambda: D.decode_lines(_log_lines(spark, sf_dir)))
 
@@ -218,6 +243,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "decode_roundtrip": (_decode_roundtrip, oracle.decode_roundtrip),
     "employee_dim": (_employee_dim, oracle.employee_dim),
     "error_labels": (_error_labels, lambda: oracle.error_labels(DEFAULT)),
+    "stream_load": (_stream_load, oracle.stream_load),
 }
 
 

@@ -285,6 +285,14 @@ UNION ALL SELECT 'total_events', (SELECT COUNT(*) FROM api_requests) + (SELECT C
 UNION ALL SELECT 'malformed_lines', CAST(0 AS BIGINT)""")
 
 
+def stream_load() -> str:
+    return with_views("""
+SELECT 'api_requests' AS fact_table, COUNT(*) AS "rows" FROM api_requests
+UNION ALL SELECT 'user_prompts', COUNT(*) FROM user_prompts
+UNION ALL SELECT 'tool_events', COUNT(*) FROM tool_events
+UNION ALL SELECT 'api_errors', COUNT(*) FROM api_errors""")
+
+
 def total_cost() -> str:
     return with_views(f"SELECT {money('cost_usd')} AS total_cost FROM api_requests")
 

@@ -166,6 +166,13 @@ def _all_facts(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([], STORED_FACTS)
 
 
+def stored_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows stored per fact table (``fact_table``, ``rows``), over every load; one
+    aggregate over the partitioned folders (partial counts per task)."""
+    facts = _all_facts(spark, root).where(F.col("table") != QUARANTINE)
+    return facts.groupBy(F.col("table").alias("fact_table")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
     """S5 + S6: one fact table with its ``event_date`` (for pruning) and ``load_id``;
     an empty table of the declared schema when nothing was loaded yet."""
