@@ -147,6 +147,20 @@ def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_counts(spark, root)
 
 
+def _stored_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S6 end to end: the employee CSV and the log files loaded into a fresh store
+    (insert-or-ignore, one decode pass, rebalanced partitioned write), then daily
+    usage under a whole-days range over the stored tables, where the range also
+    prunes ``event_date`` folders."""
+    from usagelens.sources import store
+
+    root, csv = scratch_path(spark, "store"), scratch_path(spark, "employees-csv")
+    write_employee_csv(_tables(spark, sf_dir).employees, csv)
+    store.append_employees(spark, root, csv)
+    store.load_telemetry(spark, root, _log_files(spark, sf_dir))
+    return UsagePage(store.stored_tables(spark, root), WHOLE_DAYS).daily_usage()
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defined(spark, sf_dir, "decoded", lambda: D.decode_lines(_log_lines(spark, sf_dir)))
 
@@ -244,6 +258,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "employee_dim": (_employee_dim, oracle.employee_dim),
     "error_labels": (_error_labels, lambda: oracle.error_labels(DEFAULT)),
     "stream_load": (_stream_load, oracle.stream_load),
+    "stored_daily_usage": (_stored_daily_usage, lambda: oracle.daily_usage(WHOLE_DAYS)),
 }
 
 
