@@ -52,6 +52,11 @@ def _tables(spark: SparkSession, sf_dir: str):
     return _defined(spark, sf_dir, "tables", make)
 
 
+def tables(spark: SparkSession, sf_dir: str):
+    """The stand-in tables every registered query reads (dimension staged once per session)."""
+    return _tables(spark, sf_dir)
+
+
 def _page(spark: SparkSession, sf_dir: str, filters: UsageFilters) -> UsagePage:
     return _defined(spark, sf_dir, ("page", filters), lambda: UsagePage(_tables(spark, sf_dir), filters))
 
