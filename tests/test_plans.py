@@ -60,3 +60,17 @@ def test_no_python_in_any_registered_query(spark, name):
 def test_envelope_packing_has_no_window(spark):
     p = plan(catalog.queries()["envelope_pack"](spark, SF_SMALL))
     assert "rangepartitioning" in p and "Window" not in p
+
+
+def test_registered_store_query_prunes_days(spark):
+    """The page query over a freshly loaded store reads only the folders of its days."""
+    p = plan(catalog.queries()["stored_daily_usage"](spark, SF_SMALL))
+    scans = [ln for ln in p.splitlines() if "PartitionFilters" in ln]
+    assert any("event_date" in ln.split("PartitionFilters")[1].split("]")[0] for ln in scans)
+
+
+def test_registered_stream_load_restart_adds_nothing(spark):
+    rows = {r.fact_table: r.rows for r in catalog.queries()["stream_load"](spark, SF_SMALL).collect()}
+    t = catalog.tables(spark, SF_SMALL)
+    assert rows == {"api_requests": t.api_requests.count(), "user_prompts": t.user_prompts.count(),
+                    "tool_events": t.tool_events.count(), "api_errors": t.api_errors.count()}
