@@ -89,7 +89,7 @@ def test_results_do_not_depend_on_the_session_zone(spark):
     from usagelens.plans import catalog
 
     q = catalog.queries()
-    names = ["kpi_filtered", "hour_dow", "facts_requests", "safe_casts"]
+    names = ["kpi_filtered", "hour_dow", "facts_requests", "safe_casts", "envelope_pack", "stored_daily_usage"]
     base = {n: sorted(map(tuple, q[n](spark, SF_SMALL).collect())) for n in names}
     other = spark.newSession()          # own settings, plans built afresh
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
