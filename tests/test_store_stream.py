@@ -132,3 +132,37 @@ def test_rebalanced_write_gives_one_file_per_table_day(spark, scratch):
         a = store.read_facts(spark, f"{scratch}/rb", t).drop("load_id")
         b = store.read_facts(spark, f"{scratch}/nw", t).drop("load_id")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
+
+
+def test_one_gzip_file_is_spread_before_decoding(spark, scratch):
+    """All lines in one unsplittable gzip file: read in one task, then rebalanced
+    over several tasks for the decode; the load gives the same counts."""
+    import gzip
+
+    from usagelens.sources.telemetry import read_log_lines
+
+    logs_and_csv(spark, scratch)
+    text = [ln for d, _, fs in os.walk(f"{scratch}/logs") for f in sorted(fs) if f.startswith("part-")
+            for ln in open(os.path.join(d, f), encoding="utf-8")]
+    os.makedirs(f"{scratch}/gz")
+    with gzip.open(f"{scratch}/gz/all.json.gz", "wt", encoding="utf-8") as out:
+        out.writelines(text)
+    # Small target sizes so this small file is cut (AQE keeps partitions of at
+    # least minPartitionSize, 1 MB by default).
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "16k")
+    try:
+        raw = read_log_lines(spark, f"{scratch}/gz", spread_input=False)
+        spread = read_log_lines(spark, f"{scratch}/gz", spread_input="always")
+        def tasks(df):   # the line is carried, as in the decode (else the shuffle moves no bytes)
+            return len(df.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.length("value"))).collect())
+
+        assert tasks(raw) == 1 and tasks(spread) > 1
+        a = store.load_telemetry(spark, f"{scratch}/ga", f"{scratch}/gz", spread_input="always").counts
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    b = store.load_telemetry(spark, f"{scratch}/gb", f"{scratch}/logs").counts
+    assert a == b and a["total_events"] == 1000

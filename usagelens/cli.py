@@ -36,7 +36,7 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
         print(f"employees added: {added:,}")
     if a.telemetry:
         rep = store.load_telemetry(spark, a.root, a.telemetry, files_per_day=a.files_per_day,
-                                   layout=a.layout)
+                                   layout=a.layout, spread_input="always" if a.spread_input else True)
         for k in ("api_requests", "user_prompts", "tool_events", "api_errors", "skipped",
                   "total_events", "malformed_lines"):
             print(f"{k:16s}: {rep.counts[k]:>12,}")
@@ -72,6 +72,8 @@ def parser() -> argparse.ArgumentParser:
     ld.add_argument("--files-per-day", type=int, default=None)
     ld.add_argument("--layout", choices=["rebalance", "narrow"], default="rebalance",
                     help="shuffle rows to steady file sizes (default), or write where they are")
+    ld.add_argument("--spread-input", action="store_true",
+                    help="rebalance raw lines before decoding (one large gzip file holds much of the input)")
     pg = sub.add_parser("page", help="show the usage page")
     pg.add_argument("--root", required=True)
     for name in ("practice", "level", "location", "model"):

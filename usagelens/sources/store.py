@@ -131,16 +131,17 @@ class LoadReport:
 
 
 def load_telemetry(spark: SparkSession, root: str, paths: str | Sequence[str], load_id: str | None = None,
-                   **write_options) -> LoadReport:
+                   spread_input: bool | str = True, **write_options) -> LoadReport:
     """S1-S4 + D1-D17 in one job: read lines, decode, write the four tables and the
     quarantined lines, and count rows per table, skipped events and malformed lines
-    on the way (``Observation``; no second pass).
+    on the way (``Observation``; no second pass). ``spread_input`` as in
+    ``read_log_lines`` (``"always"`` for a large unsplittable file).
 
     ``posexplode_outer`` keeps one row for a malformed line (and for an envelope
     without events, which is then dropped), so lines and events share one pass."""
     load_id = load_id or f"batch-{uuid.uuid4().hex[:12]}"
     obs = Observation("load")
-    decoded = D.decode_with_lines(read_log_lines(spark, paths))
+    decoded = D.decode_with_lines(read_log_lines(spark, paths, spread_input))
     counters = [c.alias(n) for n, c in D.count_columns().items()]
     write_facts(stored_rows(decoded.observe(obs, *counters)), root, load_id, **write_options)
     return LoadReport({k: int(v) for k, v in obs.get.items()}, load_id)
