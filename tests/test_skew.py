@@ -78,3 +78,42 @@ def test_copies_of_one_event_spread_over_range_partitions(spark):
     assert sum(per_task) == N // 3 and len(per_task) >= 2
     env = pack_envelopes(events, size=10, partitions=6)
     assert env.select(F.sum(F.size("logEvents"))).first()[0] == N
+
+
+def test_hot_day_is_cut_into_several_files(spark, scratch):
+    """Most rows on one day: the rebalanced write cuts that day's table folder into
+    several files (tasks) instead of one, and keeps every row."""
+    import os
+
+    from conftest import SF_SMALL
+    from usagelens.operators import decode as D
+    from usagelens.operators.envelopes import encode_facts, pack_envelopes, write_envelopes
+    from usagelens.sources import store
+    from usagelens.sources.standin import standin_tables
+    from usagelens.sources.telemetry import read_log_lines
+
+    write_envelopes(pack_envelopes(encode_facts(standin_tables(spark, SF_SMALL))), f"{scratch}/logs")
+    decoded = D.decode_lines(read_log_lines(spark, f"{scratch}/logs"))
+    day = decoded.where(F.col("kind") == "api_request").agg(F.min(F.to_date("timestamp"))).first()[0]
+    # The busy day arrives from many input tasks, as it would from many files: AQE
+    # can cut a partition only between the outputs of different map tasks.
+    # Copies get their own event ids (identical rows would shrink to nothing in
+    # the compressed shuffle, which AQE measures).
+    hot = (decoded.where(F.to_date("timestamp") == F.lit(day))
+           .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(200))))
+           .withColumn("event_id", F.concat("event_id", F.lit("-"), F.sha2(F.col("_copy").cast("string"), 256)))
+           .drop("_copy").repartition(8))
+    rows = decoded.unionByName(hot)
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "8k")
+    try:
+        store.write_facts(rows, f"{scratch}/db", "hot")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    folder = f"{scratch}/db/facts/table=api_requests/event_date={day.isoformat()}/load_id=hot"
+    assert sum(f.endswith(".parquet") for f in os.listdir(folder)) > 1
+    want = rows.where(F.col("kind") == "api_request").count()
+    assert store.read_facts(spark, f"{scratch}/db", "api_requests").count() == want
