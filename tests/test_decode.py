@@ -140,3 +140,21 @@ def test_json_true_success_and_numbers_as_json(spark):
     ])
     assert (rows[0].event_id, rows[0].success, rows[0].duration_ms) == ("1", True, 12)
     assert (rows[1].cost_usd, rows[1].input_tokens) == (0.5, 7)
+
+
+def test_routing_filters_do_not_reparse_messages(spark):
+    """Filters on the routing kind (a fact table's rows; the skipped events left
+    out of the store) read the message parsed before the explode: no Filter in the
+    optimized plan holds a message parse of its own."""
+    from pyspark.sql import functions as F
+
+    from usagelens.sources.store import stored_rows
+
+    line = json.dumps({"logEvents": [{"id": "1", "message": json.dumps({"body": "claude_code.user_prompt"})}]})
+    lines = spark.createDataFrame([(line,)], "value string")
+    plans = [D.fact_table(D.decode_lines(lines), "user_prompts"),
+             stored_rows(D.decode_with_lines(lines)).where(F.col("kind") != D.SKIPPED)]
+    for df in plans:
+        filters = [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in ln]
+        assert filters and not any("StructField(body" in ln for ln in filters)
+        assert df.count() == 1

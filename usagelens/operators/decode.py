@@ -68,29 +68,52 @@ def malformed_lines(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("envelope_ok")).select("line")
 
 
+def parsed_events(log_events: Column) -> Column:
+    """An envelope's log events, each as ``struct(log_event, _msg)``: the event map
+    with repeated keys resolved, and its message parsed (bracketed, for the strict
+    one-object test).
+
+    Parsing inside the array, before the explode, is what keeps the message parse
+    to one per event: a later filter on the routing kind (a fact table's rows, the
+    skipped events left out of the store) cannot be pushed below the explode, so it
+    reads the parsed value instead of Catalyst inlining a fresh parse into it."""
+    def one(le: Column) -> Column:
+        msg = F.element_at(le, F.lit("message"))
+        parsed = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
+        return F.struct(le.alias("log_event"), parsed.alias("_msg"))
+
+    return F.transform(F.transform(log_events, last_wins), one)
+
+
 def log_events(parsed: DataFrame) -> DataFrame:
-    """One row per log event of every good envelope; a missing or NULL list
-    gives no rows.
+    """One row per log event of every good envelope (``log_event``, with the
+    parsed message in ``_msg``); a missing or NULL list gives no rows.
 
     No ``where(envelope_ok)`` first: Catalyst would push that filter below the
     parse and inline it, parsing each line again for the test; exploding NULL for
     a bad envelope drops it with the one parse."""
-    events = F.when(F.col("envelope_ok"), F.col("envelope.logEvents"))
-    return parsed.select(F.explode(events).alias("log_event"))
+    events = parsed_events(F.when(F.col("envelope_ok"), F.col("envelope.logEvents")))
+    return parsed.select(F.explode(events).alias("_ev")).select(
+        F.col("_ev.log_event").alias("log_event"), F.col("_ev._msg").alias("_msg"))
 
 
 def telemetry(events: DataFrame) -> DataFrame:
     """D3: parse each log event's message; adds ``message_ok`` and ``event``.
 
-    Kept as separate projections so that the parsed value is computed once per row
-    and then read by the many field expressions (Catalyst does not merge a
-    projection whose costly results are used more than once)."""
-    msg = F.element_at(F.col("log_event"), F.lit("message"))
-    arr = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
-    staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", arr)
+    Uses the message parsed before the explode (``_msg``, see ``parsed_events``)
+    when the rows carry it; otherwise parses here, in its own projection, so the
+    parsed value is computed once per row and then read by the many field
+    expressions (Catalyst does not merge a projection whose costly results are
+    used more than once)."""
+    if "_msg" in events.columns:
+        staged = events
+    else:
+        msg = F.element_at(F.col("log_event"), F.lit("message"))
+        arr = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
+        staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", arr)
     ok = F.col("_msg").isNotNull() & (F.size("_msg") == 1) & F.col("_msg").getItem(0).isNotNull()
     return staged.select(
-        *[c for c in events.columns], F.coalesce(ok, F.lit(False)).alias("message_ok"),
+        *[c for c in events.columns if c != "_msg"], F.coalesce(ok, F.lit(False)).alias("message_ok"),
         F.col("_msg").getItem(0).alias("event"),
     )
 
@@ -169,8 +192,10 @@ def decode_with_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     parsed = parse_lines(lines, column)
     rows = parsed.select(
         "line", "envelope_ok",
-        F.posexplode_outer(F.when(F.col("envelope_ok"), F.col("envelope.logEvents"))).alias("pos", "log_event"),
-    )
+        F.posexplode_outer(parsed_events(F.when(F.col("envelope_ok"), F.col("envelope.logEvents"))))
+        .alias("pos", "_ev"),
+    ).select("line", "envelope_ok", "pos", F.col("_ev.log_event").alias("log_event"),
+             F.col("_ev._msg").alias("_msg"))
     return decode(rows, keep=("line", "envelope_ok", "pos"))
 
 
