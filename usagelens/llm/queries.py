@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import packing, sharding
+from pyspark.sql import functions as F
+
+from usagelens.llm import packing, sharding, tokenfile, topk
 from usagelens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +22,26 @@ def queries() -> dict[str, Builder]:
     return {
         "op2_byte_shards": lambda s, d: sharding.byte_shards(_documents(s, d)),
         "op3_packing": lambda s, d: packing.pack_documents(_documents(s, d)),
+        "op9_exact_topk": lambda s, d: topk.top_k(table(s, d, "embeddings"), F.col("id") % 50 == 0, 5),
+        "op10_rans_tokens": lambda s, d: tokenfile.token_digests(_documents(s, d)),
     }
 
 
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_topk": TOP_K_SQL}
