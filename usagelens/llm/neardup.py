@@ -70,7 +70,7 @@ def _places() -> np.ndarray:
 PLACES = _places()
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     """Word -> 8 bytes of hash; keeps the first WORD_CACHE short words."""
 
     def __missing__(self, word: bytes) -> bytes:
@@ -80,10 +80,10 @@ class _WordHashes(dict):
         return got
 
 
-_HASHES = _WordHashes()
+_HASHES = WordHashes()
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
@@ -101,7 +101,7 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     acc = np.zeros(runs, np.uint64)
     for k in range(words):
         acc = acc * _U(0x9E3779B97F4A7C15) + h[k:k + runs]
-    return np.unique(_mix(acc))
+    return np.unique(mix(acc))
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -179,10 +179,10 @@ def signature_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator
 
 def band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bands = REGISTERS // ROWS
-    weights = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | _U(1)
+    weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | _U(1)
     for batch in batches:
         s = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, bands, ROWS).astype(np.uint64)
-        keys = _mix((s * weights).sum(axis=2, dtype=np.uint64) + _mix(np.arange(bands, dtype=np.uint64) + _U(101)))
+        keys = mix((s * weights).sum(axis=2, dtype=np.uint64) + mix(np.arange(bands, dtype=np.uint64) + _U(101)))
         node = np.repeat(batch.column(0).to_numpy(), bands)
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node)], names=["key", "node"])
 

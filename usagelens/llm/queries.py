@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from usagelens.llm import neardup, packing, sharding, tokenfile, topk
+from usagelens.llm import imatch, neardup, packing, quality, sharding, tokenfile, topk
 from usagelens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_documents(spark, sf_dir), words=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -25,9 +30,11 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Builder]:
     return {
+        "op1_nbsvm_quality": _quality,
         "op2_byte_shards": lambda s, d: sharding.byte_shards(_documents(s, d)),
         "op3_packing": lambda s, d: packing.pack_documents(_documents(s, d)),
         "op4_hyperminhash": _near_duplicates,
+        "op7_imatch": lambda s, d: imatch.fingerprints(_documents(s, d)),
         "op9_exact_topk": lambda s, d: topk.top_k(table(s, d, "embeddings"), F.col("id") % 50 == 0, 5),
         "op10_rans_tokens": lambda s, d: tokenfile.token_digests(_documents(s, d)),
     }
