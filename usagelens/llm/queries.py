@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from usagelens.llm import imatch, neardup, packing, quality, sharding, tokenfile, topk
+from usagelens.llm import imatch, mixing, neardup, packing, quality, sharding, tokenfile, topk
 from usagelens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,8 @@ def queries() -> dict[str, Builder]:
         "op2_byte_shards": lambda s, d: sharding.byte_shards(_documents(s, d)),
         "op3_packing": lambda s, d: packing.pack_documents(_documents(s, d)),
         "op4_hyperminhash": _near_duplicates,
+        "op6_mix": lambda s, d: mixing.mix(_documents(s, d)).select(
+            "doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards")),
         "op7_imatch": lambda s, d: imatch.fingerprints(_documents(s, d)),
         "op9_exact_topk": lambda s, d: topk.top_k(table(s, d, "embeddings"), F.col("id") % 50 == 0, 5),
         "op10_rans_tokens": lambda s, d: tokenfile.token_digests(_documents(s, d)),
