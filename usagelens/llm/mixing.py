@@ -125,13 +125,14 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = SEED, row: str | None = None) -> DataFrame:
     """doc_id, size, source, source_size, target, taken and ``draws``, one row per
     document: of every copy its shard, block, place (order by it inside the shard) and
-    words."""
+    words. ``row`` names a column that numbers the rows, to be returned as ``row``."""
+    number = F.col(row).cast("long") if row else F.lit(0).cast("long")
     keys = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                             word_count(F.col("text")).alias("size"))
-                 .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "mix-keys")
+                             word_count(F.col("text")).alias("size"), number.alias("row"))
+                 .groupBy("doc_id", "source", "size", "row").agg(F.count(F.lit(1)).alias("copies")), "mix-keys")
     per_source = keys.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"),
                                             F.count(F.lit(1)).alias("n_keys"))
     plan = targets(per_source).withColumn("take", F.round("target").cast("long"))
@@ -139,13 +140,14 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
         "no", F.col("source").alias("of"), "source_size", "target", "take", "ends",
         F.ceil(F.col("n_keys") / KEYS_PER_BUCKET).alias("n_buckets"))
 
-    h = F.xxhash64(F.lit(seed), "doc_id", "size")
+    h = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "row", "size")).otherwise(
+        F.xxhash64(F.lit(seed), "doc_id", "size"))
     dealt = (keys.join(plan.select("no", "of", "n_buckets"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
              .withColumn("h", h).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 20), F.col("n_buckets"))))
     sums = dealt.groupBy("no", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     earlier = W.partitionBy("no").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # a row a bucket
     bases = sums.select("no", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
-    inside = W.partitionBy("no", "bucket").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("no", "bucket").orderBy("h", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     laid = (dealt.withColumn("pre", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
             .join(bases, ["no", "bucket"])
             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
@@ -158,12 +160,12 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
         number = F.floor(at / F.lit(block))
         shard = F.size(F.filter("ends", lambda e: e <= number))
         return F.struct(F.lit(turn).alias("turn"), shard.alias("shard"), number.alias("block"),
-                        F.xxhash64(F.lit(seed), F.lit(turn), "doc_id", "size", "copy").alias("place"), words.alias("words"))
+                        F.xxhash64(F.lit(seed), F.lit(turn), "doc_id", "size", "row", "copy").alias("place"), words.alias("words"))
 
     draws = F.filter(F.array(*[drawn(t) for t in range(CAP)]), lambda d: d["words"] > 0)
     return laid.withColumn("draws", draws).select(
         "doc_id", "size", "source", "source_size", "target",
-        F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"), "draws")
+        F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"), "draws", *(["row"] if row else []))
 
 
 def mixed_shards(docs: DataFrame, **options) -> DataFrame:
@@ -171,3 +173,21 @@ def mixed_shards(docs: DataFrame, **options) -> DataFrame:
     first ``words`` words)."""
     return (mix(docs, **options).select("doc_id", "source", F.explode("draws").alias("d"))
             .select("d.shard", "d.place", "d.block", "doc_id", "source", "d.words"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row per copy. The copy that a
+    target cuts keeps its first words, joined by single blanks, and its n_chars (if there)
+    is its new length."""
+    row = "__mix_row"
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    draws = (mix(rows, row=row, **options).select(F.col("row").alias(row), F.col("size").alias("__mix_size"),
+                                                  F.explode("draws.words").alias("__mix_words")))
+    cut = F.col("__mix_words") < F.col("__mix_size")
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    short = F.concat_ws(" ", F.slice(words, 1, F.col("__mix_words").cast("int")))
+    out = rows.join(draws, row).withColumn("text", F.when(cut, short).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.char_length("text")).otherwise(F.col("n_chars")).cast(
+            docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

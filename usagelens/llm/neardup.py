@@ -44,6 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.llm.common import partitions_for, ship, stage, text_or_empty
 
@@ -293,7 +294,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, keeper, row: one row per document. ``kept``
+    """doc_id, n_shingles, component_id, kept, keeper, tkey: one row per document. ``kept``
     is doc_id = component_id; ``keeper`` marks exactly one row of every group."""
     spark = docs.sparkSession
     ship(spark)
@@ -343,27 +344,82 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                  .mapInArrow(lambda it: tile_batches(it, percent), "a long, b long"), "tile-links")
     whole = components(first.union(more))
 
-    grouped = (signed.select("row", "doc_id", "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
+    grouped = (signed.select("row", "doc_id", "n", "digest", "tkey").join(nodes.select("digest", "node"), "digest", "left")
                .join(whole, "node", "left")
-               .select("row", "doc_id", "n", F.coalesce("label", "node", "row").alias("label"),
+               .select("row", "doc_id", "n", "tkey", F.coalesce("label", "node", "row").alias("label"),
                        (F.col("n") == 0).alias("alone")))
-    grouped = grouped.select("row", "doc_id", "n", F.struct("alone", "label").alias("grp"))
+    grouped = grouped.select("row", "doc_id", "n", "tkey", F.struct("alone", "label").alias("grp"))
     heads = grouped.groupBy("grp").agg(F.min("doc_id").alias("component_id"),
                                        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head"))
     return (grouped.join(heads, "grp")
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-                    (F.col("row") == F.col("head.row")).alias("keeper"), "row"))
+                    (F.col("row") == F.col("head.row")).alias("keeper"), "tkey"))
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, members): packed sets of the wanted nodes, computed from their texts."""
-    at = F.pmod(F.xxhash64("tkey"), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps count from 1
-    marks = wanted.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+def _bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """BITMAP_BITS bits, whatever the corpus: the places of the keys (binary) are set."""
+    at = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps count from 1
+    marks = keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in marks.collect():  # BITMAP_BITS bits at most, whatever the corpus
+    for r in marks.collect():
         bits = np.frombuffer(r["bits"], np.uint8)
         bitmap[(r["bucket"] - 1) * len(bits):r["bucket"] * len(bits)] = bits
-    found = texts.mapInArrow(lambda it: set_batches(it, words, bitmap), "tkey binary, members binary")
+    return bitmap
+
+
+def _sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, members): packed sets of the wanted nodes, computed from their texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted, "tkey"))
+    found = texts.mapInArrow(lambda it: set_batches(it, words, shared.value), "tkey binary, members binary")
     return stage(found.dropDuplicates(["tkey"]).join(wanted, "tkey").select("node", "members"), "sets")
+
+
+_KEY, _HIT = "__dedup_key", "__dedup_hit"
+
+
+def row_key(doc_id: object, key: bytes) -> bytes:
+    return hashlib.blake2b(repr(doc_id).encode() + b" " + key, digest_size=16).digest()
+
+
+def decision_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, tkey, keeper) -> (key, keeper)."""
+    for batch in batches:
+        keys = [row_key(d, k) for d, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(2)], names=["key", "keeper"])
+
+
+def mark_batches(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray, hits: bool) -> Iterator[pa.RecordBatch]:
+    """The rows whose key is marked (with the key), or the others (as they are)."""
+    for batch in batches:
+        ids, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
+        keys = [row_key(d, text_key((t.as_py() or "").encode())) for d, t in zip(ids.to_pylist(), texts)]
+        at = [_slot(k) for k in keys]
+        hit = pa.array([bool(bitmap[a >> 3] >> (a & 7) & 1) == hits for a in at], pa.bool_())
+        if hits:
+            batch = pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())],
+                                               names=[*batch.schema.names, _KEY])
+        yield batch.filter(hit)
+
+
+def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each group, with its own columns: the one of smallest doc_id.
+
+    Most rows have nothing to do with a decision: those whose key isn't in a bitmap of the
+    keys with a dropped row pass at once, so only the rest of the texts is shuffled."""
+    spark = docs.sparkSession
+    found = near_duplicates(docs, words, percent).select("doc_id", "tkey", "keeper").mapInArrow(
+        decision_batches, "key binary, keeper boolean")
+    drop = stage(found.groupBy("key").agg(F.max("keeper").alias("some"), F.min("keeper").alias("all"))
+                 .where(~F.col("all")).select(F.col("key").alias(_KEY), "some"), "decisions")
+    shared = spark.sparkContext.broadcast(_bitmap(drop, _KEY))
+    typed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    free = typed.mapInArrow(lambda it: mark_batches(it, shared.value, False), typed.schema)
+    held = stage(typed.mapInArrow(lambda it: mark_batches(it, shared.value, True), T.StructType(
+        [*typed.schema.fields, T.StructField(_KEY, T.BinaryType())])), "marked")
+    decided = held.join(drop.withColumnRenamed("some", _HIT), _KEY, "left")
+    # Not dropped after all; and of rows alike in id and text, of which one stays, one.
+    other = decided.where(F.col(_HIT).isNull())
+    alike = decided.where(F.col(_HIT)).dropDuplicates([_KEY])
+    return free.unionByName(other.select(*typed.columns)).unionByName(alike.select(*typed.columns))

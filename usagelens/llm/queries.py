@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from usagelens.llm import imatch, mixing, neardup, packing, quality, sharding, tokenfile, topk
+from usagelens.llm import imatch, mixing, neardup, packing, quality, secret_scan, sharding, tokenfile, topk, warc
 from usagelens.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return secret_scan.findings(docs, secret_scan.train(docs))
+
+
 def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_documents(spark, sf_dir), words=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -34,9 +39,11 @@ def queries() -> dict[str, Builder]:
         "op2_byte_shards": lambda s, d: sharding.byte_shards(_documents(s, d)),
         "op3_packing": lambda s, d: packing.pack_documents(_documents(s, d)),
         "op4_hyperminhash": _near_duplicates,
+        "op5_secret_scan": _secrets,
         "op6_mix": lambda s, d: mixing.mix(_documents(s, d)).select(
             "doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards")),
         "op7_imatch": lambda s, d: imatch.fingerprints(_documents(s, d)),
+        "op8_warc_derivatives": lambda s, d: warc.derive(warc.responses(table(s, d, "pages"))),
         "op9_exact_topk": lambda s, d: topk.top_k(table(s, d, "embeddings"), F.col("id") % 50 == 0, 5),
         "op10_rans_tokens": lambda s, d: tokenfile.token_digests(_documents(s, d)),
     }
