@@ -12,7 +12,8 @@ INT_FLOAT = [
     ("12", 12, 12.0), ("12.7", 12, 12.7), ("-12.7", -12, -12.7), (" 12 ", 12, 12.0),
     ("1e3", 1000, 1000.0), ("nan", 0, float("nan")), ("inf", 0, float("inf")),
     ("", 0, 0.0), (None, 0, 0.0), ("abc", 0, 0.0), ("0x10", 0, 0.0), ("12d", 0, 0.0),
-    ("1_000", 0, 0.0), ("99999999999", 0, 99999999999.0), ("-0.5", 0, -0.5), (".5", 0, 0.5),
+    ("1_000", 1000, 1000.0), ("1__0", 0, 0.0), ("_1", 0, 0.0), ("99999999999", 99999999999, 99999999999.0),
+    ("1e30", 0, 1e30), ("9007199254740993", 9007199254740992, 9007199254740992.0), ("-0.5", 0, -0.5), (".5", 0, 0.5),
     ("+3.", 3, 3.0), ("-Infinity", 0, float("-inf")),
 ]
 

@@ -6,17 +6,17 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 from usagelens.operators.filters import UsageFilters
 from usagelens.operators.rollups import UsagePage
+from usagelens.plans import catalog
 from usagelens.schemas import EMPLOYEES, FACT_SCHEMAS
 from usagelens.sources.standin import standin_tables
 from usagelens.tables import UsageTables
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -43,11 +43,18 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
         print(f"load id         : {rep.load_id}")
 
 
+def show_all(frame) -> None:
+    """Every row, as tab-separated lines, fetched a partition at a time."""
+    print("\t".join(frame.columns))
+    for row in frame.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def cmd_page(spark: SparkSession, a: argparse.Namespace) -> None:
     tables = store.stored_tables(spark, a.root)
     if a.options:
-        filter_options(tables.employees, tables.api_requests).show(1000, truncate=False)
-        date_bounds(tables.api_requests).show()
+        show_all(filter_options(tables.employees, tables.api_requests))
+        show_all(date_bounds(tables.api_requests))
         return
     f = UsageFilters(practices=a.practice, levels=a.level, locations=a.location, models=a.model,
                      start=a.start, end=a.end, end_day="whole" if a.whole_end_day else "midnight")
@@ -57,7 +64,7 @@ def cmd_page(spark: SparkSession, a: argparse.Namespace) -> None:
     try:
         for name in a.only or PAGE:
             print(f"== {name}")
-            getattr(page, name)().show(100, truncate=False)
+            show_all(getattr(page, name)())
     finally:
         page.unshare()
 

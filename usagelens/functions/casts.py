@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text forms Python's float() accepts (without digit underscores),
+# The text forms Python's float() accepts (underscores between digits),
 # and the pieces of the "%Y-%m-%dT%H:%M:%S.%fZ" format as strptime matches them
 # (field widths, a leading blank allowed in the day, letters matched case-blind).
-_NUMBER = r"[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)"
+_DIGITS = r"\d(?:_?\d)*"
+_NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
 _SPECIAL = r"[+-]?(?i:inf|infinity|nan)"
 _TS_PATTERN = (
     r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
@@ -60,21 +61,23 @@ def safe_float(c: Column | str, default: float = 0.0) -> Column:
     ok = c.rlike(rf"^\s*({_NUMBER}|{_SPECIAL})\s*$")
     # Spark's cast knows "nan" but not a signed one; Python takes "+nan" / "-nan".
     nan = c.rlike(r"^\s*[+-]?(?i:nan)\s*$")
-    general = F.coalesce(F.when(nan, F.lit(float("nan"))).when(ok, d), F.lit(default).cast("double"))
+    number = F.translate(c, "_", "").try_cast("double")
+    general = F.coalesce(F.when(nan, F.lit(float("nan"))).when(ok, number), F.lit(default).cast("double"))
     # Text that is exactly Spark's own rendering of its value ("12.5", "1.0E-4") is
     # a numeral Python reads to the same double: no regex needed.
     return F.when(d.cast("string") == c, d).otherwise(general)
 
 
 def safe_int(c: Column | str, default: int = 0) -> Column:
-    """``int(float(x))``: truncates toward zero; NaN, infinity, non-numbers and values
-    beyond 32 bits give the default."""
+    """``int(float(x))`` as BIGINT: truncates toward zero; NaN, infinity, non-numbers and
+    values beyond 64 bits give the default."""
     c = _col(c)
-    i = c.try_cast("int")
-    as_double = F.when(c.rlike(rf"^\s*{_NUMBER}\s*$"), c.try_cast("double"))
-    general = F.coalesce(as_double.try_cast("int"), F.lit(default).cast("int"))
-    # Plain integer text ("1234", "-7": Spark's own rendering of the value) needs no regex.
-    return F.when(i.cast("string") == c, i).otherwise(general)
+    i = c.try_cast("bigint")
+    as_double = F.when(c.rlike(rf"^\s*{_NUMBER}\s*$"), F.translate(c, "_", "").try_cast("double"))
+    general = F.coalesce(as_double.try_cast("bigint"), F.lit(default).cast("bigint"))
+    # Plain integer text ("1234", "-7": Spark's own rendering of the value) needs no
+    # regex, as long as a double holds it exactly.
+    return F.when((i.cast("string") == c) & i.between(-(1 << 53), 1 << 53), i).otherwise(general)
 
 
 def safe_bool(c: Column | str) -> Column:

@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 # Fixed values the page uses: the vendor prefix dropped from model names, the date
 # suffix pattern dropped after it, the label cut for error messages and its marker,
-# and the weekday names for Spark's dayofweek numbers 1..7 (Sunday first), with the
-# row order of the heatmap (Monday first).
+# and the weekday names for Spark's dayofweek numbers 1..7 (Sunday first).
 MODEL_PREFIX = "claude-"
 MODEL_DATE_SUFFIX = r"-2025\d+"
 ERROR_LABEL_CHARS = 45
 ERROR_LABEL_MARK = "..."
 WEEKDAY_NAMES = {1: "Sun", 2: "Mon", 3: "Tue", 4: "Wed", 5: "Thu", 6: "Fri", 7: "Sat"}
-HEATMAP_DAY_ORDER = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
 
 def model_short_name(model: Column | str, prefix: str = MODEL_PREFIX) -> Column:

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import lookup, parse_event_ts, safe_bool, safe_float, safe_int, strip_ws
-from usagelens.schemas import DECODED, ENVELOPE_DDL, FACT_SCHEMAS, KIND_TABLE, MESSAGE_DDL
+from usagelens.schemas import (DECODED, ENVELOPE_DDL, FACT_SCHEMAS, KIND_TABLE, LOG_EVENT_DDL, MESSAGE_DDL,
+                               STRICT_JSON)
 
 # The event bodies the loader routes on, and their kinds.
 BODY_KIND = {
@@ -43,12 +44,15 @@ def last_wins(m: Column) -> Column:
     return F.map_from_entries(F.map_entries(m))
 
 
-def _one_object(text: Column, ddl: str) -> tuple[Column, Column]:
-    """Parse ``text`` as exactly one JSON value of the given element type.
+def _bracketed(text: Column, ddl: str) -> Column:
+    """``text`` as the only element of a JSON array: trailing junk or a second value
+    shows as a parse error or a second element."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), ddl, STRICT_JSON)
+
 
-    Wrapping in brackets makes trailing junk or a second object visible: the
-    bracketed text must be an array of exactly one non-NULL element."""
-    arr = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ddl)
+def _one_object(text: Column, ddl: str) -> tuple[Column, Column]:
+    """Parse ``text`` as exactly one JSON value of the given element type."""
+    arr = _bracketed(text, ddl)
     ok = arr.isNotNull() & (F.size(arr) == 1) & arr.getItem(0).isNotNull()
     return ok, arr.getItem(0)
 
@@ -63,26 +67,24 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return stripped.select("line", ok.alias("envelope_ok"), env.alias("envelope"))
 
 
-def malformed_lines(parsed: DataFrame) -> DataFrame:
-    """The quarantined lines (not one JSON object)."""
-    return parsed.where(~F.col("envelope_ok")).select("line")
-
-
 def parsed_events(log_events: Column) -> Column:
-    """An envelope's log events, each as ``struct(log_event, _msg)``: the event map
-    with repeated keys resolved, and its message parsed (bracketed, for the strict
-    one-object test).
+    """An envelope's log events (JSON texts), each as ``struct(log_event, _msg)``: the
+    event map with repeated keys resolved, and its message parsed (bracketed, for the
+    strict one-object test). Elements are parsed one by one: one that isn't an object
+    has a NULL map and message, and is a skipped event like any other bad one.
 
     Parsing inside the array, before the explode, is what keeps the message parse
     to one per event: a later filter on the routing kind (a fact table's rows, the
     skipped events left out of the store) cannot be pushed below the explode, so it
     reads the parsed value instead of Catalyst inlining a fresh parse into it."""
+    def element(text: Column) -> Column:
+        arr = _bracketed(text, LOG_EVENT_DDL)
+        return F.when(F.size(arr) == 1, last_wins(arr.getItem(0)))
+
     def one(le: Column) -> Column:
-        msg = F.element_at(le, F.lit("message"))
-        parsed = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
-        return F.struct(le.alias("log_event"), parsed.alias("_msg"))
+        return F.struct(le.alias("log_event"), _bracketed(F.element_at(le, F.lit("message")), MESSAGE_DDL).alias("_msg"))
 
-    return F.transform(F.transform(log_events, last_wins), one)
+    return F.transform(F.transform(log_events, element), one)
 
 
 def log_events(parsed: DataFrame) -> DataFrame:
@@ -109,7 +111,7 @@ def telemetry(events: DataFrame) -> DataFrame:
         staged = events
     else:
         msg = F.element_at(F.col("log_event"), F.lit("message"))
-        arr = F.from_json(F.concat(F.lit("["), msg, F.lit("]")), MESSAGE_DDL)
+        arr = _bracketed(msg, MESSAGE_DDL)
         staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", arr)
     ok = F.col("_msg").isNotNull() & (F.size("_msg") == 1) & F.col("_msg").getItem(0).isNotNull()
     return staged.select(
@@ -187,11 +189,12 @@ def decode_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def decode_with_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Decoded events plus one placeholder row per malformed line or envelope
-    without events (``posexplode_outer``), keeping ``line``, ``envelope_ok`` and
+    without events (``posexplode_outer``), keeping ``line`` (malformed ones), ``envelope_ok`` and
     ``pos`` (NULL on placeholders), so line- and event-level work share one pass."""
     parsed = parse_lines(lines, column)
+    # Only a malformed line is kept beyond here: a good one would ride on all its events.
     rows = parsed.select(
-        "line", "envelope_ok",
+        F.when(~F.col("envelope_ok"), F.col("line")).alias("line"), "envelope_ok",
         F.posexplode_outer(parsed_events(F.when(F.col("envelope_ok"), F.col("envelope.logEvents"))))
         .alias("pos", "_ev"),
     ).select("line", "envelope_ok", "pos", F.col("_ev.log_event").alias("log_event"),

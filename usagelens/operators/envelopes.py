@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.functions.casts import format_event_ts
+from usagelens.operators.decode import BODY_KIND
 from usagelens.tables import UsageTables
 
 # Constant log metadata of every envelope.
@@ -31,6 +32,7 @@ LOG_GROUP = "/claude-code/telemetry"
 LOG_STREAM = "otel-collector"
 SUBSCRIPTION_FILTERS = ["logs-to-s3"]
 DEFAULT_SIZE = 10
+BODY = {kind: body for body, kind in BODY_KIND.items()}
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row number
 
@@ -72,27 +74,27 @@ def encode_facts(tables: UsageTables) -> DataFrame:
 
     r = tables.api_requests
     requests = event(
-        r, F.lit("claude_code.api_request"),
+        r, F.lit(BODY["api_request"]),
         {"terminal.type": F.col("terminal_type"), "model": F.col("model"), "cost_usd": F.col("cost_usd"),
          "input_tokens": F.col("input_tokens"), "output_tokens": F.col("output_tokens"),
          "cache_read_tokens": F.col("cache_read_tokens"),
          "cache_creation_tokens": F.col("cache_creation_tokens"), "duration_ms": F.col("duration_ms")},
         {}, _attr_map({"os.type": F.col("os_type")}), _attr_map({"version": F.col("client_version")}),
     )
-    prompts = event(tables.user_prompts, F.lit("claude_code.user_prompt"),
+    prompts = event(tables.user_prompts, F.lit(BODY["user_prompt"]),
                     {"prompt_length": F.col("prompt_length")}, {}, empty, empty)
     t = tables.tool_events
     tools = event(
         t,
-        F.when(F.col("event_type") == "decision", F.lit("claude_code.tool_decision"))
-        .otherwise(F.lit("claude_code.tool_result")),
+        F.when(F.col("event_type") == "decision", F.lit(BODY["tool_decision"]))
+        .otherwise(F.lit(BODY["tool_result"])),
         {"tool_name": F.col("tool_name")},
         {"decision": F.col("decision"), "success": F.lower(F.col("success").cast("string")),
          "duration_ms": F.col("duration_ms")},
         empty, empty,
     )
     errors = event(
-        tables.api_errors, F.lit("claude_code.api_error"),
+        tables.api_errors, F.lit(BODY["api_error"]),
         {"model": F.col("model"), "error": F.col("error_message"), "status_code": F.col("status_code"),
          "attempt": F.col("attempt"), "duration_ms": F.col("duration_ms")},
         {}, empty, empty,

@@ -84,6 +84,11 @@ class UsageFilters:
         return pred
 
     # -- defaults -----------------------------------------------------------
+    def with_days(self, first: DateLike, last: DateLike) -> "UsageFilters":
+        """Fill an unset start/end with known days."""
+        return replace(self, start=self.start if self.start is not None else first,
+                       end=self.end if self.end is not None else last)
+
     def with_page_dates(self, bounds: DataFrame) -> "UsageFilters":
         """Fill an unset start/end from ``date_bounds`` (one row), as the page does."""
         if self.start is not None and self.end is not None:
@@ -111,15 +116,9 @@ def date_bounds(api_requests: DataFrame) -> DataFrame:
 def filter_options(employees: DataFrame, api_requests: DataFrame) -> DataFrame:
     """the option lists of the four pickers as (option, value) rows, each sorted.
 
-    Each list is a distinct over one column (a partial aggregate per task, then a
-    shuffle of at most one row per value and task)."""
-    parts = [
-        employees.select(F.lit("practice").alias("option"), F.col("practice").alias("value")),
-        employees.select(F.lit("level").alias("option"), F.col("level").alias("value")),
-        employees.select(F.lit("location").alias("option"), F.col("location").alias("value")),
-        api_requests.select(F.lit("model").alias("option"), F.col("model").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct().orderBy("option", F.col("value").asc_nulls_last())
+    The three employee lists come from one pass over the dimension; the distinct is a
+    partial aggregate per task, then a shuffle of at most one row per value and task."""
+    picks = F.inline(F.array(*[F.struct(F.lit(c).alias("option"), F.col(c).alias("value"))
+                               for c in ("practice", "level", "location")]))
+    models = api_requests.select(F.lit("model").alias("option"), F.col("model").alias("value"))
+    return employees.select(picks).unionByName(models).distinct().orderBy("option", F.col("value").asc_nulls_last())

@@ -1,10 +1,14 @@
 """The page's analytical queries, as DataFrame plans over ``UsageTables``.
 
-Numeric rules (both join shapes and the DuckDB oracle follow them):
-* cost is summed as DECIMAL(20,10) and rounded in decimal, then given as DOUBLE;
-  a cost that is NaN or infinite is left out of sums and averages;
-* averages are rounded half-up from the exact quotient;
-* token sums are BIGINT (32-bit parts are widened before adding);
+Result columns, group keys and limits are fixed values of the page. Numeric rules, the
+same for every join shape and restated by the DuckDB oracle:
+
+* finite costs are summed as DECIMAL(38,15), one fixed type however often partial sums
+  are summed again; a cost or a sum beyond it stops the query with an error;
+* a NaN or infinite cost makes its group's sum and average NaN or infinite;
+* sums are rounded half-up; averages and percentages are rounded half-up once, from
+  integers, never by dividing decimals;
+* token counts and their sums are BIGINT;
 * every LIMIT breaks ties on the group keys, so the cut is deterministic.
 """
 
@@ -21,8 +25,24 @@ from usagelens.operators.star import DEFAULT_LIMIT_BYTES, broadcast_allowed, joi
 from usagelens.tables import UsageTables
 
 
+COST_TYPE = "decimal(38,15)"
+
+
+def _finite() -> Column:
+    c = F.col("cost_usd")
+    return ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+
+
 def cost() -> Column:
-    return F.col("cost_usd").try_cast("decimal(20,10)")
+    """A finite cost as COST_TYPE; an error, not NULL, where it doesn't fit."""
+    exact = F.col("cost_usd").try_cast(COST_TYPE)
+    beyond = F.raise_error(F.concat(F.lit("cost beyond " + COST_TYPE + ": "), F.col("cost_usd").cast("string")))
+    return F.when(_finite(), F.coalesce(exact, beyond.cast(COST_TYPE)))
+
+
+def odd_cost() -> Column:
+    """The non-finite costs, as a double that sums to NaN or infinity; 0 for others."""
+    return F.when(F.col("cost_usd").isNull() | _finite(), F.lit(0.0)).otherwise(F.col("cost_usd"))
 
 
 def tokens() -> Column:
@@ -35,7 +55,12 @@ def p_n() -> Column:
 
 
 def p_cost_n() -> Column:
-    return F.when(cost().isNotNull(), F.lit(1)).cast("long")
+    return F.when(F.col("cost_usd").isNotNull(), F.lit(1)).cast("long")
+
+
+def cost_parts() -> dict[str, Column]:
+    """The additive parts of a cost sum or average."""
+    return {"cost": cost(), "cost_n": p_cost_n(), "odd_cost": odd_cost()}
 
 
 def p_tokens_n() -> Column:
@@ -49,13 +74,39 @@ def p_success() -> Column:
 HOURS = list(range(24))
 
 
-def money(total: Column, scale: int = 2) -> Column:
-    return F.round(total, scale).cast("double")
+def _sum_cost() -> Column:
+    """The finite costs' sum; an error where it left the type (NULL without ANSI mode)."""
+    total = F.sum("cost")
+    return F.when(total.isNull() & (F.count("cost") > 0), F.raise_error(F.lit("cost sum beyond " + COST_TYPE)).cast(COST_TYPE)
+                  ).otherwise(total)
+
 
+def _or_odd(value: Column) -> Column:
+    odd = F.sum("odd_cost")
+    return F.when(odd != 0, odd).otherwise(value)
 
-def exact_avg(total: Column, count: Column, scale: int) -> Column:
-    """Half-up rounding of a decimal sum over a count; NULL for an empty group."""
-    return F.round(F.try_divide(total, count), scale).cast("double")
+
+def money(scale: int = 2) -> Column:
+    """The rounded sum of a group's costs, as DOUBLE."""
+    return _or_odd(F.round(_sum_cost(), scale).cast("double"))
+
+
+def half_up_quotient(total: Column, count: Column, scale: int) -> Column:
+    """``total / count`` rounded half away from zero to ``scale`` digits; NULL for count 0.
+
+    Exact: ``total`` (COST_TYPE or BIGINT) is split into whole and fraction, scaled by
+    2 * 10^scale as integers, and divided once."""
+    unit, size = 10 ** scale, F.abs(total.cast(COST_TYPE))
+    whole = F.floor(size).cast("decimal(23,0)")
+    fraction = F.floor((size % F.lit(1).cast("decimal(1,0)")) * F.lit(2 * unit)).cast("decimal(10,0)")
+    halves = (whole * F.lit(2 * unit).cast("decimal(7,0)")).cast("decimal(32,0)") + fraction + count.cast("decimal(20,0)")
+    n = F.when(count > 0, count)
+    quotient = F.call_function("div", halves.cast("decimal(38,0)"), (n * 2).cast("decimal(38,0)"))
+    return F.when(total < 0, -quotient).otherwise(quotient).cast("double") / F.lit(float(unit))
+
+
+def avg_cost(scale: int) -> Column:
+    return _or_odd(half_up_quotient(_sum_cost(), F.sum("cost_n"), scale))
 
 
 def percent_1dp(hits: str, total: str) -> Column:
@@ -78,7 +129,10 @@ class UsagePage:
         broadcast: bool | None = None,
     ):
         self.tables = tables
-        self.filters = (filters or UsageFilters()).with_page_dates(date_bounds(tables.api_requests))
+        filters = filters or UsageFilters()
+        if tables.days:
+            filters = filters.with_days(*tables.days)
+        self.filters = filters.with_page_dates(date_bounds(tables.api_requests))
         if broadcast is None:
             broadcast = broadcast_allowed(tables.employees, tables.source_key, broadcast_limit_bytes)
         self.broadcast = broadcast
@@ -86,7 +140,7 @@ class UsagePage:
 
     # -- one scan for the whole page -----------------------------------------
     BASE_GRAIN = ("session_id", "model", "day", "hour")
-    BASE_PARTS = ("n", "cost", "cost_n", "tokens", "tokens_n")
+    BASE_PARTS = ("n", "cost", "cost_n", "odd_cost", "tokens", "tokens_n")
 
     def share(self) -> "UsagePage":
         """Scan and filter the API requests once for every request rollup of the page.
@@ -99,7 +153,7 @@ class UsagePage:
             f = self.filters
             facts = self.tables.api_requests
             facts = facts.where(f.time_predicate(facts) & f.model_predicate())
-            parts = {"n": p_n(), "cost": cost(), "cost_n": p_cost_n(), "tokens": tokens(), "tokens_n": p_tokens_n()}
+            parts = {"n": p_n(), **cost_parts(), "tokens": tokens(), "tokens_n": p_tokens_n()}
             self._base = (
                 facts.groupBy("user_email", "session_id", "model",
                               F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("hour"))
@@ -154,23 +208,26 @@ class UsagePage:
         (about 2% error, fixed memory) instead of exact distinct counts."""
         j = self.joined(
             "api_requests", {"session_id": F.col("session_id")},
-            {"n": p_n(), "cost": cost(), "cost_n": p_cost_n(), "tokens": tokens()},
+            {"n": p_n(), **cost_parts(), "tokens": tokens()},
         )
+        # One row per (user, session) first: the distinct counts then expand few rows.
+        j = j.groupBy("user_email", "session_id").agg(
+            *[F.sum(c).alias(c) for c in ("n", "cost", "cost_n", "odd_cost", "tokens")])
         distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
         return j.agg(
             distinct("session_id").alias("total_sessions"),
             F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_api_calls"),
-            money(F.sum("cost")).alias("total_cost"),
-            exact_avg(F.sum("cost"), F.sum("cost_n"), 4).alias("avg_cost_per_call"),
+            money().alias("total_cost"),
+            avg_cost(4).alias("avg_cost_per_call"),
             F.sum("tokens").alias("total_tokens"),
             distinct("user_email").alias("active_users"),
         )
 
     # -- Q2 ------------------------------------------------------------------
     def model_usage(self, prefix: str | None = None) -> DataFrame:
-        j = self.joined("api_requests", {"model": F.col("model")}, {"n": p_n(), "cost": cost()})
+        j = self.joined("api_requests", {"model": F.col("model")}, {"n": p_n(), **cost_parts()})
         out = j.groupBy("model").agg(
-            F.sum("n").alias("api_calls"), money(F.sum("cost")).alias("total_cost")
+            F.sum("n").alias("api_calls"), money().alias("total_cost")
         )
         short = model_short_name("model") if prefix is None else model_short_name("model", prefix)
         return out.withColumn("model_short", short).orderBy(
@@ -178,24 +235,25 @@ class UsagePage:
         )
 
     # -- Q3 / Q4 -------------------------------------------------------------
+    def _practice_costs(self) -> DataFrame:
+        j = self.joined("api_requests", {}, {"n": p_n(), **cost_parts()}, ["practice"])
+        return j.groupBy("practice").agg(money().alias("total_cost"), F.sum("n").alias("api_calls"))
+
     def cost_by_practice(self) -> DataFrame:
-        j = self.joined("api_requests", {}, {"n": p_n(), "cost": cost()}, ["practice"])
-        return j.groupBy("practice").agg(
-            money(F.sum("cost")).alias("total_cost"), F.sum("n").alias("api_calls")
-        ).orderBy(F.desc_nulls_last("total_cost"), F.col("practice").asc_nulls_last())
+        return self._practice_costs().orderBy(F.desc_nulls_last("total_cost"), F.col("practice").asc_nulls_last())
 
     def cost_share(self) -> DataFrame:
         """Each practice's part of the total (the ring chart), over the few rolled-up
         rows: the window spans one row per practice, never fact rows."""
-        by = self.cost_by_practice()
         total = F.sum("total_cost").over(Window.partitionBy())
-        return by.withColumn("cost_share", F.round(F.col("total_cost") / total, 6))
+        return (self._practice_costs().withColumn("cost_share", F.round(F.col("total_cost") / total, 6))
+                .orderBy(F.desc_nulls_last("total_cost"), F.col("practice").asc_nulls_last()))
 
     # -- Q5 ------------------------------------------------------------------
     def daily_usage(self) -> DataFrame:
-        j = self.joined("api_requests", {"day": F.to_date("timestamp")}, {"n": p_n(), "cost": cost()})
+        j = self.joined("api_requests", {"day": F.to_date("timestamp")}, {"n": p_n(), **cost_parts()})
         return j.groupBy("day").agg(
-            F.sum("n").alias("api_calls"), money(F.sum("cost")).alias("daily_cost")
+            F.sum("n").alias("api_calls"), money().alias("daily_cost")
         ).orderBy("day")
 
     # -- Q6 / Q7 -------------------------------------------------------------
@@ -220,12 +278,12 @@ class UsagePage:
         "numeric"`` sorts by the number after the letter instead."""
         j = self.joined(
             "api_requests", {},
-            {"tokens": tokens(), "tokens_n": p_tokens_n(), "cost": cost(), "cost_n": p_cost_n()},
+            {"tokens": tokens(), "tokens_n": p_tokens_n(), **cost_parts()},
             ["level"],
         )
         out = j.groupBy("level").agg(
-            F.round(F.sum("tokens") / F.sum("tokens_n"), 0).alias("avg_tokens"),
-            exact_avg(F.sum("cost"), F.sum("cost_n"), 5).alias("avg_cost"),
+            half_up_quotient(F.sum("tokens"), F.sum("tokens_n"), 0).alias("avg_tokens"),
+            avg_cost(5).alias("avg_cost"),
         )
         if level_order == "numeric":
             num = F.regexp_extract("level", r"(\d+)", 1).try_cast("int")
@@ -267,17 +325,11 @@ class UsagePage:
             "label_total", "label", "model"
         )
 
-    def model_short_names(self, prefix: str | None = None) -> DataFrame:
-        """The distinct models of the API requests with their display names."""
-        m = self.tables.api_requests.select("model").distinct()
-        short = model_short_name("model") if prefix is None else model_short_name("model", prefix)
-        return m.withColumn("model_short", short).orderBy(F.col("model").asc_nulls_last())
-
     # -- Q11 -----------------------------------------------------------------
     def cost_by_location(self) -> DataFrame:
-        j = self.joined("api_requests", {}, {"n": p_n(), "cost": cost()}, ["location"])
+        j = self.joined("api_requests", {}, {"n": p_n(), **cost_parts()}, ["location"])
         return j.groupBy("location").agg(
-            money(F.sum("cost")).alias("total_cost"),
+            money().alias("total_cost"),
             F.count_distinct("email").alias("engineers"),
             F.sum("n").alias("api_calls"),
         ).orderBy(F.desc_nulls_last("total_cost"), F.col("location").asc_nulls_last())
@@ -287,13 +339,13 @@ class UsagePage:
         keys = ["full_name", "practice", "level", "location"]
         j = self.joined(
             "api_requests", {"session_id": F.col("session_id")},
-            {"n": p_n(), "cost": cost(), "tokens": tokens()}, keys,
+            {"n": p_n(), **cost_parts(), "tokens": tokens()}, keys,
         )
         return (
             j.groupBy(*keys).agg(
                 F.count_distinct("session_id").alias("sessions"),
                 F.sum("n").alias("api_calls"),
-                money(F.sum("cost")).alias("total_cost"),
+                money().alias("total_cost"),
                 F.sum("tokens").alias("total_tokens"),
             )
             .orderBy(F.desc_nulls_last("total_cost"), *[F.col(k).asc_nulls_last() for k in keys])

@@ -1,11 +1,14 @@
 """The registered queries: name -> Spark plan builder, and name -> DuckDB oracle SQL.
 
-Every builder takes ``(spark, sf_dir)``, reads the driver's tables under
-``sf_dir`` and returns a lazy DataFrame (the caller runs it).
+Every builder takes ``(spark, sf_dir)``, reads the driver's tables under ``sf_dir`` and
+returns a DataFrame that the caller runs. Builders that stage files or load a store
+(``_log_lines``, ``_stream_load``, ``_stored_daily_usage``, ``_employee_dim``...) run jobs
+for that before they return.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 from typing import Callable
 
@@ -20,16 +23,18 @@ from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
 from usagelens.operators.filters import UsageFilters, date_bounds, filter_options
-from usagelens.operators.rollups import UsagePage
+from usagelens.operators.rollups import UsagePage, cost, money, odd_cost
 from usagelens.plans import oracle
-from usagelens.sources.standin import read_table, standin_tables
+from usagelens.sources.standin import (MODEL_HEAD, MODEL_TAIL, dirty_number, extreme_requests, read_table,
+                                       standin_tables)
 from usagelens.sources.telemetry import spread
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
-# Plan definitions over the read-only driver tables are built once per session and
-# directory and reused (like views registered once per application). They are lazy
-# DataFrames: nothing is computed or held in memory, every query still runs in full.
+# Inputs that several queries share are made once per session and directory. Some are
+# plans; others are staged files (the employee view as Parquet, the log lines as a
+# checkpoint and as text), written when the first query that needs them is built. They
+# belong to the tables as they were then: the driver's tables are read-only.
 _DEFINED: dict[tuple, object] = {}
 
 
@@ -67,12 +72,11 @@ NARROWED = UsageFilters(
     practices=("BUILDING", "MACHINERY", "FURNITURE"),
     levels=("L1", "L2", "L3", "L10"),
     locations=("ASIA", "EUROPE", "AFRICA"),
-    models=("model-0", "model-1", "model-3"),
+    models=tuple(f"{MODEL_HEAD}{m}{MODEL_TAIL}{m}" for m in (0, 1, 3)),
     start="2024-01-05",
     end="2024-01-20",
 )
 WHOLE_DAYS = UsageFilters(start="2024-01-05", end="2024-01-20", end_day="whole")
-EMPTY_PICK = UsageFilters(models=())
 
 # name -> (page method, filters)
 PAGE_QUERIES: dict[str, tuple[str, UsageFilters]] = {
@@ -93,7 +97,6 @@ PAGE_QUERIES: dict[str, tuple[str, UsageFilters]] = {
     "top_engineers_filtered": ("top_engineers", NARROWED),
     "tool_success_filtered": ("tool_success", NARROWED),
     "date_range_filter": ("daily_usage", WHOLE_DAYS),
-    "kpi_empty_pick": ("kpi", EMPTY_PICK),
 }
 
 
@@ -140,30 +143,94 @@ def _log_files(spark: SparkSession, sf_dir: str) -> str:
 
 def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log files loaded by the file stream (``availableNow``, two files per
-    micro-batch, checkpoint in the shared folder) into a fresh store, then the same
-    stream restarted, which must add nothing; rows stored per fact table."""
+    micro-batch) into a fresh store, then the same stream restarted, which must add
+    nothing, then a second source into the same store; rows stored per fact table."""
     from usagelens.sources.store import stored_counts
     from usagelens.streaming.incremental import run_incremental_load
 
-    src = _log_files(spark, sf_dir)
-    root, ckpt = scratch_path(spark, "stream-db"), scratch_path(spark, "stream-ckpt")
-    run_incremental_load(spark, src, root, checkpoint=ckpt, max_files_per_trigger=2)
-    run_incremental_load(spark, src, root, checkpoint=ckpt)
+    src, root, other = _log_files(spark, sf_dir), scratch_path(spark, "stream-db"), scratch_path(spark, "log-files-b")
+    spark.read.text(src).write.text(other)
+    run_incremental_load(spark, src, root, max_files_per_trigger=2)
+    run_incremental_load(spark, src, root)
+    run_incremental_load(spark, other, root, name="other")
     return stored_counts(spark, root)
 
 
+def _loaded_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store with the employee CSV and the log files loaded, made once per session."""
+    from usagelens.sources import store
+
+    def make() -> str:
+        root, csv = scratch_path(spark, "store"), scratch_path(spark, "employees-csv")
+        write_employee_csv(_tables(spark, sf_dir).employees, csv)
+        store.append_employees(spark, root, csv)
+        store.load_telemetry(spark, root, _log_files(spark, sf_dir))
+        return root
+
+    return _defined(spark, sf_dir, "loaded-store", make)
+
+
+def _employee_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + J4 across loads: half of the employees stored first, then a file with all of
+    them under other names: stored rows stay, the missing ones are added."""
+    from usagelens.sources import store
+
+    emp, root = _tables(spark, sf_dir).employees, scratch_path(spark, "append-db")
+    first, later = scratch_path(spark, "append-a"), scratch_path(spark, "append-b")
+    write_employee_csv(emp.where(F.col("email").cast("bigint") % 2 == 0), first)
+    write_employee_csv(emp.withColumn("full_name", F.concat("full_name", F.lit("-later"))), later)
+    store.append_employees(spark, root, first)
+    store.append_employees(spark, root, later)
+    return store.read_employees(spark, root)
+
+
+def _stored_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5's calls in SQL over the stored tables, with bound parameters."""
+    from usagelens.sources import store
+
+    return store.query(spark, _loaded_store(spark, sf_dir), """
+        SELECT to_date(r.timestamp) AS day, count(*) AS api_calls
+        FROM {api_requests} r JOIN {employees} e ON r.user_email = e.email
+        WHERE r.event_date BETWEEN :first AND :last AND e.practice IS NOT NULL AND e.level IS NOT NULL
+          AND e.location IS NOT NULL AND r.model IS NOT NULL
+        GROUP BY 1""", {"first": dt.date(2024, 1, 5), "last": dt.date(2024, 1, 20)})
+
+
+def _extreme_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 over costs of very different size and token counts beyond 32 bits, by every plan
+    shape: broadcast join, shuffle join, shared base."""
+    t = _tables(spark, sf_dir)
+    t = replace(t, api_requests=extreme_requests(t.api_requests), source_key="")
+    out = None
+    for shape in ("broadcast", "shuffle", "shared"):
+        p = UsagePage(t, DEFAULT, broadcast=shape != "shuffle")
+        row = (p.share() if shape == "shared" else p).kpi().withColumn("shape", F.lit(shape))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log line per event, spoiled by its event id (% 10): 1 the line, 2 the message, 3
+    the body, 4 a number beside the event, 5 a single-quoted message, 6 a cut log event."""
+    e = encode_facts(_tables(spark, sf_dir))
+    m = F.col("log_id").cast("bigint") % 10
+    text = F.to_json("message")
+    text = (F.when(m == 2, F.concat(text, F.lit("}"))).when(m == 3, F.replace(text, F.lit('"body":"'), F.lit('"body":"x')))
+            .when(m == 5, F.lit("{'body': 'claude_code.user_prompt'}")).otherwise(text))
+    event = F.to_json(F.struct(F.col("log_id").alias("id"), text.alias("message")))
+    event = F.when(m == 4, F.concat(F.lit("5,"), event)).when(m == 6, F.lit('"cut"')).otherwise(event)
+    line = F.concat(F.lit('{"logEvents":['), event, F.lit("]}"))
+    return e.select(F.when(m == 1, F.replace(line, F.lit('"logEvents"'), F.lit("'logEvents'"))).otherwise(line).alias("value"))
+
+
 def _stored_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1-S6 end to end: the employee CSV and the log files loaded into a fresh store
+    """S1-S6 end to end: the employee CSV and the log files loaded into a store
     (insert-or-ignore, one decode pass, rebalanced partitioned write), then daily
     usage under a whole-days range over the stored tables, where the range also
     prunes ``event_date`` folders."""
     from usagelens.sources import store
 
-    root, csv = scratch_path(spark, "store"), scratch_path(spark, "employees-csv")
-    write_employee_csv(_tables(spark, sf_dir).employees, csv)
-    store.append_employees(spark, root, csv)
-    store.load_telemetry(spark, root, _log_files(spark, sf_dir))
-    return UsagePage(store.stored_tables(spark, root), WHOLE_DAYS).daily_usage()
+    return UsagePage(store.stored_tables(spark, _loaded_store(spark, sf_dir)), WHOLE_DAYS).daily_usage()
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,9 +251,9 @@ def _event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q15: summed cost over all API-request events."""
-    d = _decoded(spark, sf_dir).where(F.col("body") == "claude_code.api_request")
-    return d.agg(F.round(F.sum(F.col("cost_usd").try_cast("decimal(20,10)")), 2).cast("double").alias("total_cost"))
+    """Q15: summed cost over all API-request events; 0 when there is none."""
+    d = _decoded(spark, sf_dir).where(F.col("kind") == "api_request").select(cost().alias("cost"), odd_cost().alias("odd_cost"))
+    return d.agg(F.coalesce(money(), F.lit(0.0)).alias("total_cost"))
 
 
 def _envelope_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +263,7 @@ def _envelope_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D5-D8 over whole columns: numbers and times through their text forms."""
     ev = spread(read_table(spark, sf_dir, "events"))
-    text = F.col("value").cast("string")
+    text = dirty_number(F.col("event_id"), F.col("value").cast("string"))
     return ev.select(
         "event_id",
         safe_int(text).alias("value_int"),
@@ -214,17 +281,19 @@ def _decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _employee_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 -> S2 -> S3: the employee dimension written as two CSV folders (first with
-    blanks around every value, then a conflicting copy of every email) and loaded
-    back with first-row-wins in the stated path order."""
-    emp = _tables(spark, sf_dir).employees
+    """S8 -> S2 -> S3: the employee dimension, with quotes, commas, line breaks and
+    backslashes in its names, written as CSV with blanks around every value, then a
+    folder that holds a conflicting copy of every email in two column orders; loaded back
+    with first-row-wins in the stated path order."""
+    emp = _tables(spark, sf_dir).employees.withColumn("full_name", F.concat("full_name", F.lit(' "Bo", Jr\nx\\')))
     padded = emp.select(*[F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias(c) for c in emp.columns])
     conflicting = emp.select("email", *[F.concat(F.col(c), F.lit("-later")).alias(c)
                                         for c in emp.columns if c != "email"])
     first, later = scratch_path(spark, "employees-a"), scratch_path(spark, "employees-b")
     write_employee_csv(padded, first)
-    write_employee_csv(conflicting, later)
-    return load_employee_csv(spark, [first, later])
+    write_employee_csv(conflicting, f"{later}/a")
+    conflicting.select(*reversed(emp.columns)).write.option("header", True).option("escape", '"').csv(f"{later}/b")
+    return load_employee_csv(spark, [first, f"{later}/*"])
 
 
 def _error_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +320,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "facts_prompts": (_decoded_fact("user_prompts"), lambda: oracle.decoded_fact("user_prompts")),
     "facts_tools": (_decoded_fact("tool_events"), lambda: oracle.decoded_fact("tool_events")),
     "facts_errors": (_decoded_fact("api_errors"), lambda: oracle.decoded_fact("api_errors")),
-    "ingest_counts": (lambda s, d: D.load_counts(_log_lines(s, d)), oracle.ingest_counts),
+    "ingest_counts": (lambda s, d: D.load_counts(_dirty_lines(s, d)), oracle.ingest_counts),
     "route_counts": (lambda s, d: D.route_counts(_decoded(s, d)), oracle.route_counts),
     "event_counts": (_event_counts, oracle.event_counts),
     "total_cost": (_total_cost, oracle.total_cost),
@@ -262,6 +331,9 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "decode_roundtrip": (_decode_roundtrip, oracle.decode_roundtrip),
     "employee_dim": (_employee_dim, oracle.employee_dim),
     "error_labels": (_error_labels, lambda: oracle.error_labels(DEFAULT)),
+    "employee_append": (_employee_append, oracle.employee_append),
+    "extreme_costs": (_extreme_costs, oracle.extreme_costs),
+    "stored_sql": (_stored_sql, lambda: oracle.daily_calls(WHOLE_DAYS)),
     "stream_load": (_stream_load, oracle.stream_load),
     "stored_daily_usage": (_stored_daily_usage, lambda: oracle.daily_usage(WHOLE_DAYS)),
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, I, TS, D, B = T.StringType(), T.IntegerType(), T.TimestampNTZType(), T.DoubleType(), T.BooleanType()
+# Counts are BIGINT: a token count can pass 32 bits.
+S, I, TS, D, B = T.StringType(), T.LongType(), T.TimestampNTZType(), T.DoubleType(), T.BooleanType()
 
 
 def _struct(*cols) -> T.StructType:
@@ -58,10 +59,14 @@ for _schema in FACT_SCHEMAS.values():
             DECODED_COLUMNS.append((_f.name, _f.dataType))
 DECODED = _struct(*DECODED_COLUMNS)
 
-# Raw JSON shapes. Log events are read as string maps so that an absent key and a
-# JSON null stay apart (ids) and object messages arrive as their JSON text.
-ENVELOPE_DDL = "array<struct<logEvents: array<map<string,string>>>>"
+# Raw JSON shapes. An envelope's log events are read as their JSON text, so that one odd
+# element doesn't spoil its neighbours; each is then read as a string map, so that an
+# absent key and a JSON null stay apart (ids) and object messages arrive as JSON text.
+ENVELOPE_DDL = "array<struct<logEvents: array<string>>>"
+LOG_EVENT_DDL = "array<map<string,string>>"
 MESSAGE_DDL = (
     "array<struct<body: string, attributes: map<string,string>, "
     "resource: map<string,string>, scope: map<string,string>>>"
 )
+# Single quotes are not JSON (Spark's reader takes them by default).
+STRICT_JSON = {"allowSingleQuotes": "false"}

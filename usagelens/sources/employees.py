@@ -1,13 +1,18 @@
 """Employee directory: CSV in (S2), first row wins per email (S3), CSV out.
 
-* Columns are taken by header name and each field is stripped of surrounding
-  whitespace; an empty field is the empty string, as Python's csv gives it.
+* Standard CSV: quotes are doubled inside quotes, a quoted field may hold commas and line
+  breaks, a backslash is an ordinary character. Columns are taken by the header of each
+  file, in any order; each field is stripped of surrounding whitespace; an empty field is
+  the empty string, as Python's csv gives it.
 * Within one load the first row of an email wins, in the stated order of the
-  paths, then file name, then position in the file (split start, row number in
-  the split). The choice is a ``min_by`` aggregate, so a repeated email is
-  collapsed map-side before the shuffle, however many copies it has.
+  paths, then file name, then position in the file. The choice is a ``min_by``
+  aggregate, so a repeated email is collapsed map-side before the shuffle, however
+  many copies it has.
 * Across loads the stored rows win (insert-or-ignore): only emails not yet
   stored are appended (``left_anti``).
+
+A quoted line break keeps Spark from splitting a file, so each file is one task: right
+for a directory, which is small beside the facts.
 """
 
 from __future__ import annotations
@@ -23,24 +28,40 @@ from usagelens.schemas import EMPLOYEES
 FIELDS = [f.name for f in EMPLOYEES.fields]
 
 
+# RFC 4180, as Python's csv reads and writes it.
+STANDARD_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under a path, by their header (a short read of every file)."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        header = tuple(spark.read.options(**STANDARD_CSV).csv(file).columns)
+        if header:  # a file without any row has none
+            out.setdefault(header, []).append(file)
+    return out
+
+
 def read_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of one or more CSV files (with header), stripped, with an order key
-    ``_order`` = (path number, file, split start, row number)."""
+    """Rows of one or more CSV files or folders (with header), stripped, with an order key
+    ``_order`` = (path number, file, row number)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     frames = []
     for i, path in enumerate(paths):
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        missing = [c for c in FIELDS if c not in raw.columns]
-        if missing:
-            raise ValueError(f"{path}: no column {missing}")
-        order = F.struct(
-            F.lit(i).alias("path_no"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        frames.append(raw.select(*[F.coalesce(strip_ws(F.col(c)), F.lit("")).alias(c) for c in FIELDS],
-                                 order.alias("_order")))
+        for header, files in _files_by_header(spark, path).items():
+            missing = [c for c in FIELDS if c not in header]
+            if missing:
+                raise ValueError(f"{files[0]}: no column {missing}")
+            raw = spark.read.options(**STANDARD_CSV).csv(files)
+            order = F.struct(
+                F.lit(i).alias("path_no"),
+                F.col("_metadata.file_path").alias("file"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            frames.append(raw.select(*[F.coalesce(strip_ws(F.col(f"`{c}`")), F.lit("")).alias(c) for c in FIELDS],
+                                     order.alias("_order")))
+    if not frames:
+        raise ValueError(f"no employee CSV with a header under {paths}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -68,6 +89,6 @@ def load_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
 
 
 def write_employee_csv(employees: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header; values keep their blanks, commas are quoted."""
-    (employees.select(*FIELDS).write.mode(mode).option("header", True)
+    """Standard CSV with header; values keep their blanks, quotes are doubled."""
+    (employees.select(*FIELDS).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

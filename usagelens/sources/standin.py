@@ -19,21 +19,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.functions.labels import MODEL_PREFIX
 from usagelens.schemas import FACT_SCHEMAS
 from usagelens.tables import UsageTables
 
-# Fixed values of the stand-in mapping (event type -> telemetry event body).
-EVENT_BODY = {
-    "purchase": "claude_code.api_request",
-    "view": "claude_code.user_prompt",
-    "click": "claude_code.tool_decision",
-    "signup": "claude_code.tool_result",
-    "error": "claude_code.api_error",
-}
+# Fixed values of the stand-in mapping: model names carry the page's vendor prefix and a
+# date suffix, so that shortening them has something to do.
+MODEL_HEAD = f"{MODEL_PREFIX}model-"
+MODEL_TAIL = "-202510"
 ERROR_TEXT_HEAD = "error message variant number "
 ERROR_TEXT_TAIL = " with a tail that runs past the label cut"
 
 
+# Text an attribute may hold, with Python's float() and int(float()) of it (or the
+# defaults); used for every second run of event ids.
+DIRTY_NUMBERS = [
+    (" 12 ", "12.0", "12"), ("1_000", "1000.0", "1000"), ("12d", "0.0", "0"), ("3000000000", "3000000000.0", "3000000000"),
+    ("1e3", "1000.0", "1000"), ("-12.7", "-12.7", "-12"), ("", "0.0", "0"), ("1__0", "0.0", "0"), ("0x10", "0.0", "0"),
+    ("_1", "0.0", "0"), (".5", "0.5", "0"), ("1_0.2_5e1_0", "102500000000.0", "102500000000"),
+]
+
+
+def dirty_number(event_id: Column, clean: Column) -> Column:
+    """The dirty text by ``event_id % (2 * n)``; beyond n the clean text."""
+    m = event_id % (2 * len(DIRTY_NUMBERS))
+    out = clean
+    for i, (text, _, _) in enumerate(DIRTY_NUMBERS):
+        out = F.when(m == i, F.lit(text)).otherwise(out)
+    return out
+
+
+def extreme_requests(requests: DataFrame) -> DataFrame:
+    """Requests whose costs are far apart (just below a rounding edge, beyond 10^10, below
+    10^-9) and whose token counts pass 32 bits."""
+    m = F.col("event_id").cast("bigint") % 5
+    cost = F.when(m == 0, F.lit(0.0000499999)).when(m == 1, F.lit(2e10)).otherwise(F.col("cost_usd") / 1e12)
+    return requests.withColumn("cost_usd", cost).withColumn("input_tokens", F.lit(3_000_000_000).cast("bigint"))
+
+
 # Declared schemas of the driver tables read here: no footer sampling per query,
 # and a changed file type fails loudly instead of changing the plan.
 DRIVER_SCHEMAS = {
@@ -73,7 +96,7 @@ def standin_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.get_json_object("props", "$.k").cast("bigint")
 
 
 def _common() -> list[Column]:
@@ -86,7 +109,8 @@ def _common() -> list[Column]:
 
 
 def _model(k: Column) -> Column:
-    return F.concat(F.lit("model-"), (k % 5).cast("string"))
+    m = (k % 5).cast("string")
+    return F.concat(F.lit(MODEL_HEAD), m, F.lit(MODEL_TAIL), m)
 
 
 def standin_facts(events: DataFrame) -> dict[str, DataFrame]:

@@ -4,14 +4,21 @@ Layout::
 
     <root>/employees/                       the dimension (small files)
     <root>/facts/table=<name>/event_date=<d>/load_id=<id>/part-*.parquet
+    <root>/_stream/<name>/                  what an incremental load remembers
 
 All four fact tables come out of one decode pass and one write job: the wide
-decoded row is written partitioned by ``table``, so each table is one folder and
-a reader prunes to it (and to the days of a date filter) from the folder names.
+decoded row is written partitioned by ``table``, so each table is one folder.
+A reader lists that folder only, and prunes to the days of a date filter.
 Each load has its own ``load_id`` and is written with dynamic partition
 overwrite, so a batch load adds rows (a second load of the same file doubles
 them, as the reference does) while a replayed stream batch, which reuses its
 ``load_id``, replaces only its own output (exactly once).
+
+Only a folder that does not exist reads as an empty table; every other error
+(a corrupt or forbidden file, a lost store) is raised.
+
+``declare_tables`` declares the five tables in the session's catalog if missing;
+``query`` asks them in SQL with bound parameters.
 """
 
 from __future__ import annotations
@@ -92,17 +99,32 @@ def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int
     writer.partitionBy(*PARTITIONS).parquet(facts_path(root))
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("parquet").load(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001  (missing folder)
-        return False
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system; any trouble in asking is raised, not taken as a no."""
+    fs, p = _folder(spark, path)
+    return bool(fs.exists(p))
+
+
+def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The days a table holds, from its folder names: one listing, no file opened."""
+    path = _table_path(root, table)
+    if not path_exists(spark, path):
+        return []
+    fs, p = _folder(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    days = [n.partition("=")[2] for n in names if n.startswith("event_date=")]
+    return sorted(d for d in days if d[:1].isdigit())
 
 
 def read_employees(spark: SparkSession, root: str) -> DataFrame | None:
     p = employees_path(root)
-    return spark.read.schema(EMPLOYEES).parquet(p) if _path_exists(spark, p) else None
+    return spark.read.schema(EMPLOYEES).parquet(p) if path_exists(spark, p) else None
 
 
 def append_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[str]) -> int:
@@ -156,30 +178,40 @@ def stored_rows(decoded: DataFrame) -> DataFrame:
     )
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    """The malformed lines of every load (``line``, ``load_id``)."""
-    return _all_facts(spark, root).where(F.col("table") == QUARANTINE).select("line", "load_id")
+def _table_path(root: str, table: str) -> str:
+    return f"{facts_path(root)}/table={table}"
+
 
+def _read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One table's folder, listed alone; empty of the declared schema if missing."""
+    path = _table_path(root, table)
+    schema = T.StructType([f for f in STORED_FACTS.fields if f.name != "table"])
+    if path_exists(spark, path):
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return spark.createDataFrame([], schema)
 
-def _all_facts(spark: SparkSession, root: str) -> DataFrame:
-    if _path_exists(spark, facts_path(root)):
-        return spark.read.schema(STORED_FACTS).option("basePath", facts_path(root)).parquet(facts_path(root))
-    return spark.createDataFrame([], STORED_FACTS)
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The malformed lines of every load (``line``, ``load_id``)."""
+    return _read_table(spark, root, QUARANTINE).select("line", "load_id")
 
 
 def stored_counts(spark: SparkSession, root: str) -> DataFrame:
     """Rows stored per fact table (``fact_table``, ``rows``), over every load; one
     aggregate over the partitioned folders (partial counts per task)."""
-    facts = _all_facts(spark, root).where(F.col("table") != QUARANTINE)
+    schema = T.StructType([T.StructField("fact_table", T.StringType()), T.StructField("rows", T.LongType())])
+    path = facts_path(root)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    facts = spark.read.schema(STORED_FACTS).option("basePath", path).parquet(path).where(F.col("table") != QUARANTINE)
     return facts.groupBy(F.col("table").alias("fact_table")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
     """S5 + S6: one fact table with its ``event_date`` (for pruning) and ``load_id``;
     an empty table of the declared schema when nothing was loaded yet."""
-    all_facts = _all_facts(spark, root)
     cols = [f.name for f in FACT_SCHEMAS[table].fields]
-    return all_facts.where(F.col("table") == table).select(*cols, "event_date", "load_id")
+    return _read_table(spark, root, table).select(*cols, "event_date", "load_id")
 
 
 def stored_tables(spark: SparkSession, root: str) -> UsageTables:
@@ -187,4 +219,69 @@ def stored_tables(spark: SparkSession, root: str) -> UsageTables:
     if emp is None:
         emp = spark.createDataFrame([], EMPLOYEES)
     facts = {t: read_facts(spark, root, t) for t in FACT_SCHEMAS}
-    return UsageTables(employees=emp, source_key=f"stored:{root.rstrip('/')}", **facts)
+    days = stored_days(spark, root, "api_requests")
+    return UsageTables(employees=emp, source_key=f"stored:{root.rstrip('/')}",
+                       days=(days[0], days[-1]) if days else None, **facts)
+
+
+def declare_tables(spark: SparkSession, root: str, prefix: str = "usage_") -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS`` for the five tables over the store's folders, so
+    that other sessions of a shared catalog see them, and their folders found so far taken
+    in (declare again after a load); returns their names."""
+    names = []
+    for table, schema in {"employees": EMPLOYEES, **FACT_SCHEMAS}.items():
+        fact = table in FACT_SCHEMAS
+        columns = [*schema.fields]
+        parts = ""
+        if fact:
+            columns += [T.StructField("event_date", T.DateType()), T.StructField("load_id", T.StringType())]
+            parts = " PARTITIONED BY (event_date, load_id)"
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        path = _table_path(root, table) if fact else employees_path(root)
+        fs, p = _folder(spark, path)
+        fs.mkdirs(p)
+        where = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{prefix}{table}` ({ddl}) USING parquet{parts} LOCATION '{where}'")
+        if fact:
+            spark.sql(f"ALTER TABLE `{prefix}{table}` RECOVER PARTITIONS")
+        names.append(f"{prefix}{table}")
+    return names
+
+
+def query(spark: SparkSession, root: str, text: str, args: dict | list | None = None) -> DataFrame:
+    """SQL over the stored tables, with values passed as bound parameters (``:name`` or
+    ``?``), never spliced into the text. A table is named ``{employees}``,
+    ``{api_requests}``, ``{user_prompts}``, ``{tool_events}`` or ``{api_errors}``."""
+    t = stored_tables(spark, root)
+    frames = {n: getattr(t, n) for n in ("employees", *FACT_SCHEMAS) if "{" + n + "}" in text}
+    return spark.sql(text, args=args, **frames)
+
+
+def compact(spark: SparkSession, root: str, table: str, day: str) -> int:
+    """Merge the load folders of one closed day of a table into one; returns how many there
+    were. For days that no running load or replayed stream batch writes to.
+
+    The merged rows are written and counted outside the table first; then they are moved
+    in and the old folders removed, so a failure before that changes nothing, and the
+    merged copy stays in ``<root>/_compact`` until it has been moved."""
+    from usagelens.session import scratch_path
+
+    folder = f"{_table_path(root, table)}/event_date={day}"
+    if not path_exists(spark, folder):
+        return 0
+    fs, p = _folder(spark, folder)
+    old = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("load_id=")]
+    if len(old) < 2:
+        return len(old)
+    schema = T.StructType([f for f in STORED_FACTS.fields if f.name not in PARTITIONS])
+    rows = spark.read.schema(schema).parquet(*[o.toString() for o in old])
+    name = f"load_id=compact-{uuid.uuid4().hex[:12]}"
+    staged = f"{root.rstrip('/')}/_compact/{scratch_path(spark, table).rsplit('/', 1)[1]}/{name}"
+    rows.hint("rebalance").write.parquet(staged)
+    if spark.read.schema(schema).parquet(staged).count() != rows.count():
+        raise RuntimeError(f"{folder} changed while it was merged; nothing was replaced")
+    for o in old:
+        fs.delete(o, True)
+    if not fs.rename(_folder(spark, staged)[1], _folder(spark, f"{folder}/{name}")[1]):
+        raise RuntimeError(f"{staged} holds the merged rows of {folder} and could not be moved there")
+    return len(old)

@@ -21,6 +21,9 @@ class UsageTables:
     tool_events: DataFrame
     api_errors: DataFrame
     source_key: str = ""
+    # First and last day with an API request (ISO text), where the source knows them
+    # without a scan.
+    days: tuple[str, str] | None = None
 
     def fact(self, name: str) -> DataFrame:
         return getattr(self, name)
