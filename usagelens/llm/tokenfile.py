@@ -14,8 +14,8 @@ number of ids, then the coder's data. Id number i of a block belongs to lane i m
 lanes and step i div lanes; the lanes are coded side by side with 64-bit states that
 give off 32-bit words. Every CHECKPOINT_STEPS steps, and at step 0, the block holds all
 lane states and the place in the word stream, so ``decode_segment`` starts at any
-checkpoint without decoding what stands before it. CRC-32 sums cover the ids and
-everything behind the header; a block that fails one raises ValueError.
+checkpoint without decoding what stands before it. CRC-32 sums cover the ids, and
+the header with everything behind it; a block that fails one raises ValueError.
 
 Cases: a null or empty text is a document of one id, the end id; repeated rows are
 repeated documents; a document is never split, so a block grows to hold a longer one;
@@ -117,8 +117,9 @@ def encode_block(docs: list[tuple[int | None, np.ndarray]], table: Frequencies,
         np.array([len(x) for _, x in docs], "<u8").tobytes(),
         *[struct.pack("<II", t, at) + states.astype("<u8").tobytes() for t, at, states in marks],
         words.astype("<u4").tobytes()])
-    return _HEADER.pack(_MAGIC, len(docs), len(ids), lanes, -(-len(ids) // lanes), len(words), len(marks),
-                        table.crc, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    fields = (_MAGIC, len(docs), len(ids), lanes, -(-len(ids) // lanes), len(words), len(marks), table.crc,
+              zlib.crc32(ids.astype("<u4").tobytes()))
+    return _HEADER.pack(*fields, zlib.crc32(body, zlib.crc32(_HEADER.pack(*fields, 0)))) + body
 
 
 class Block:
@@ -129,7 +130,8 @@ class Block:
          body_crc) = _HEADER.unpack_from(data)
         if magic != _MAGIC or freq_crc != table.crc:
             raise ValueError("not a block of this frequency table")
-        if zlib.crc32(memoryview(data)[_HEADER.size:]) != body_crc:
+        head = data[:_HEADER.size - 4] + bytes(4)  # the last field is the sum itself
+        if zlib.crc32(memoryview(data)[_HEADER.size:], zlib.crc32(head)) != body_crc:
             raise ValueError("block checksum does not match")
         self.table, at = table, _HEADER.size
         numbers, at = np.frombuffer(data, "<i8", n, at), at + 8 * n

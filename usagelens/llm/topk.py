@@ -153,12 +153,19 @@ def filter_batches(batches, block: QueryBlock, kth, ties) -> Iterator[pa.RecordB
          pa.array([int(kth[no]) for no, _ in rows], pa.int64())], schema=schema)
 
 
+def _length(row: list) -> float:
+    try:
+        return math.sqrt(sum(float(v) * float(v) for v in row))
+    except OverflowError:
+        return math.inf
+
+
 def _kth_values(candidates: DataFrame, block: QueryBlock, reach: float, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(k-th highest score of each query, how many equal to it are still needed); with
     fewer than k candidates the value is the lowest there can be, and all are needed."""
     bound = np.zeros(block.n)
     for numbers, matrix in block.parts.values():
-        bound[numbers] = [math.sqrt(sum(float(v) ** 2 for v in row)) * reach if len(row) else 0.0 for row in matrix.tolist()]
+        bound[numbers] = [_length(row) * reach if len(row) else 0.0 for row in matrix.tolist()]
     top = [_LONG_MAX if not b < 2.0 ** 62 else int(b * 1.000001) + 2 for b in bound.tolist()]
     low = np.array([max(_LONG_MIN, -t) for t in top], np.int64)
     low[np.array([t == _LONG_MAX for t in top], bool)] = _LONG_MIN
