@@ -52,7 +52,7 @@ def test_half_up_quotient_is_exact(spark):
 
 def test_join_shapes_agree_on_costs_of_any_size(spark):
     t = standin_tables(spark, SF_SMALL)
-    t = replace(t, api_requests=extreme_requests(t.api_requests), source_key="")
+    t = replace(t, api_requests=extreme_requests(t.api_requests))
     for method in ("kpi", "tokens_by_level", "cost_by_practice"):
         rows = [getattr(UsagePage(t, broadcast=b), method)().collect() for b in (True, False)]
         shared = UsagePage(t, broadcast=True).share()
@@ -65,14 +65,14 @@ def test_join_shapes_agree_on_costs_of_any_size(spark):
 def test_non_finite_costs_show(spark, value, check):
     t = standin_tables(spark, SF_SMALL)
     bad = F.when(F.col("event_id") == t.api_requests.agg(F.min("event_id")).first()[0], F.lit(value)).otherwise(F.col("cost_usd"))
-    t = replace(t, api_requests=t.api_requests.withColumn("cost_usd", bad), source_key="")
+    t = replace(t, api_requests=t.api_requests.withColumn("cost_usd", bad))
     row = UsagePage(t, broadcast=True).kpi().first()
     assert check(row.total_cost) and check(row.avg_cost_per_call)
 
 
 def test_cost_beyond_the_type_is_an_error(spark):
     t = standin_tables(spark, SF_SMALL)
-    t = replace(t, api_requests=t.api_requests.withColumn("cost_usd", F.lit(1e30)), source_key="")
+    t = replace(t, api_requests=t.api_requests.withColumn("cost_usd", F.lit(1e30)))
     with pytest.raises(Exception, match="cost beyond"):
         UsagePage(t, broadcast=True).kpi().collect()
 

@@ -117,8 +117,8 @@ def percent_1dp(hits: str, total: str) -> Column:
 class UsagePage:
     """One page state: the tables, resolved filters and the chosen join shape.
 
-    Building it runs two small jobs: the date bounds (when the range is unset) and,
-    once per source, the size check of the employee dimension.
+    Building it runs two small jobs: the date bounds (when the range is unset and the
+    source does not know its days) and the size check of the employee dimension.
     """
 
     def __init__(
@@ -134,7 +134,7 @@ class UsagePage:
             filters = filters.with_days(*tables.days)
         self.filters = filters.with_page_dates(date_bounds(tables.api_requests))
         if broadcast is None:
-            broadcast = broadcast_allowed(tables.employees, tables.source_key, broadcast_limit_bytes)
+            broadcast = broadcast_allowed(tables.employees, broadcast_limit_bytes)
         self.broadcast = broadcast
         self._base: DataFrame | None = None
 

@@ -29,9 +29,6 @@ DEFAULT_LIMIT_BYTES = 128 * 1024 * 1024
 # header and string offsets of Spark's row format, plus hash-table slots.
 _ROW_OVERHEAD = 64
 
-_SIZE_CACHE: dict[tuple[str, str], int] = {}
-
-
 def dimension_bytes(employees: DataFrame) -> int:
     """Exact payload size of the dimension: one aggregate job, no rows to the driver."""
     cols = [c for c, t in employees.dtypes if t == "string"]
@@ -40,25 +37,10 @@ def dimension_bytes(employees: DataFrame) -> int:
     return int(row["b"] or 0) + int(row["n"]) * _ROW_OVERHEAD
 
 
-def broadcast_allowed(employees: DataFrame, source_key: str = "", limit_bytes: int = DEFAULT_LIMIT_BYTES) -> bool:
-    """True when the whole dimension fits the limit. The measure is cached per source,
-    so a page of queries pays for it once; filters only shrink what is shipped."""
-    if limit_bytes <= 0:
-        return False
-    if source_key:
-        key = (employees.sparkSession.sparkContext.applicationId, source_key)
-        if key not in _SIZE_CACHE:
-            _SIZE_CACHE[key] = dimension_bytes(employees)
-        size = _SIZE_CACHE[key]
-    else:
-        size = dimension_bytes(employees)
-    return size <= limit_bytes
-
-
-def forget_size(source_key: str) -> None:
-    """Drop the cached size of a source whose dimension changed."""
-    for key in [k for k in _SIZE_CACHE if k[1] == source_key]:
-        del _SIZE_CACHE[key]
+def broadcast_allowed(employees: DataFrame, limit_bytes: int = DEFAULT_LIMIT_BYTES) -> bool:
+    """True when the whole dimension, measured now, fits the limit; filters only shrink
+    what is shipped."""
+    return limit_bytes > 0 and dimension_bytes(employees) <= limit_bytes
 
 
 @dataclass(frozen=True)

@@ -156,6 +156,5 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> UsageTables:
     facts = standin_facts(read_table(spark, sf_dir, "events"))
     return UsageTables(
         employees=standin_employees(spark, sf_dir),
-        source_key=f"standin:{sf_dir.rstrip('/')}",
         **facts,
     )

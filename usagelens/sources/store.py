@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.operators import decode as D
-from usagelens.operators.star import forget_size
 from usagelens.schemas import DECODED, EMPLOYEES, FACT_SCHEMAS, KIND_TABLE
 from usagelens.sources.employees import first_per_email, insert_or_ignore, read_employee_csv
 from usagelens.sources.telemetry import read_log_lines
@@ -142,7 +141,6 @@ def append_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[s
     n = staged.count()
     if n:
         staged.write.mode("append").parquet(employees_path(root))
-        forget_size(f"stored:{root.rstrip('/')}")
     return n
 
 
@@ -220,8 +218,7 @@ def stored_tables(spark: SparkSession, root: str) -> UsageTables:
         emp = spark.createDataFrame([], EMPLOYEES)
     facts = {t: read_facts(spark, root, t) for t in FACT_SCHEMAS}
     days = stored_days(spark, root, "api_requests")
-    return UsageTables(employees=emp, source_key=f"stored:{root.rstrip('/')}",
-                       days=(days[0], days[-1]) if days else None, **facts)
+    return UsageTables(employees=emp, days=(days[0], days[-1]) if days else None, **facts)
 
 
 def declare_tables(spark: SparkSession, root: str, prefix: str = "usage_") -> list[str]:

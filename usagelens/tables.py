@@ -9,18 +9,13 @@ from pyspark.sql import DataFrame
 
 @dataclass
 class UsageTables:
-    """Employee dimension plus the four fact tables.
-
-    ``source_key`` names where the tables come from; it keys the cached size check
-    of the dimension (``operators.star``).
-    """
+    """Employee dimension plus the four fact tables."""
 
     employees: DataFrame
     api_requests: DataFrame
     user_prompts: DataFrame
     tool_events: DataFrame
     api_errors: DataFrame
-    source_key: str = ""
     # First and last day with an API request (ISO text), where the source knows them
     # without a scan.
     days: tuple[str, str] | None = None
