@@ -89,6 +89,18 @@ def test_strict_json_and_odd_elements(spark):
     assert counts["total_events"] == 6
 
 
+def test_json_true_is_one_and_its_text_is_not(spark):
+    def request(i, value):
+        message = {"body": "claude_code.api_request", "attributes": {"cost_usd": value, "input_tokens": value}}
+        return envelope({"id": i, "message": json.dumps(message)})
+
+    values = {"a": True, "b": "true", "c": False, "d": 1.5, "e": "1.5", "f": None, "g": 3_000_000_000}
+    lines = spark.createDataFrame([(request(i, v),) for i, v in values.items()], "value string")
+    got = {r.event_id: (r.cost_usd, r.input_tokens) for r in D.fact_table(D.decode_lines(lines), "api_requests").collect()}
+    assert got == {"a": (1.0, 1), "b": (0.0, 0), "c": (0.0, 0), "d": (1.5, 1), "e": (1.5, 1), "f": (0.0, 0),
+                   "g": (3e9, 3_000_000_000)}
+
+
 # -- CSV -------------------------------------------------------------------------
 HEADER = ["email", "full_name", "practice", "level", "location"]
 

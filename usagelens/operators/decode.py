@@ -146,6 +146,14 @@ def decode(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     def only(kinds: list[str], value: Column) -> Column:
         return F.when(kind.isin(kinds), value)
 
+    def number(key: str, cast) -> Column:
+        """A numeric attribute. The map holds JSON true and the text "true" alike; only the
+        first is 1 to Python, so a value that reads so is looked up in the message."""
+        message = F.try_parse_json(F.element_at(le, F.lit("message")))
+        kind_of = F.schema_of_variant(F.try_variant_get(message, f'$.attributes["{key}"]', "variant"))
+        value = cast(a(key))
+        return F.when((a(key) == "true") & (kind_of == "BOOLEAN"), F.lit(1)).otherwise(value)
+
     req, err, dec, res = ["api_request"], ["api_error"], ["tool_decision"], ["tool_result"]
     values: dict[str, Column] = {
         "event_id": F.when(F.map_contains_key(le, F.lit("id")),
@@ -154,23 +162,23 @@ def decode(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "user_email": lookup(attrs, "user.email"),
         "timestamp": parse_event_ts(lookup(attrs, "event.timestamp")),
         "model": only(req + err, lookup(attrs, "model")),
-        "cost_usd": only(req, safe_float(a("cost_usd"))),
-        "input_tokens": only(req, safe_int(a("input_tokens"))),
-        "output_tokens": only(req, safe_int(a("output_tokens"))),
-        "cache_read_tokens": only(req, safe_int(a("cache_read_tokens"))),
-        "cache_creation_tokens": only(req, safe_int(a("cache_creation_tokens"))),
-        "duration_ms": only(req + res + err, safe_int(a("duration_ms"))),
+        "cost_usd": only(req, number("cost_usd", safe_float)),
+        "input_tokens": only(req, number("input_tokens", safe_int)),
+        "output_tokens": only(req, number("output_tokens", safe_int)),
+        "cache_read_tokens": only(req, number("cache_read_tokens", safe_int)),
+        "cache_creation_tokens": only(req, number("cache_creation_tokens", safe_int)),
+        "duration_ms": only(req + res + err, number("duration_ms", safe_int)),
         "os_type": only(req, lookup(resource, "os.type")),
         "terminal_type": only(req, lookup(attrs, "terminal.type")),
         "client_version": only(req, lookup(scope, "version")),
-        "prompt_length": only(["user_prompt"], safe_int(a("prompt_length"))),
+        "prompt_length": only(["user_prompt"], number("prompt_length", safe_int)),
         "event_type": F.when(kind == "tool_decision", F.lit("decision")).when(kind == "tool_result", F.lit("result")),
         "tool_name": only(dec + res, lookup(attrs, "tool_name")),
         "decision": only(dec, lookup(attrs, "decision")),
         "success": only(res, safe_bool(a("success"))),
         "error_message": only(err, lookup(attrs, "error")),
         "status_code": only(err, lookup(attrs, "status_code")),
-        "attempt": only(err, safe_int(a("attempt"))),
+        "attempt": only(err, number("attempt", safe_int)),
     }
     cols = [values[f.name].cast(f.dataType).alias(f.name) for f in DECODED.fields]
     return t.select(*keep, "kind", "body", *cols)
