@@ -1,14 +1,15 @@
 """Text quality by Naive Bayes support vectors.
 
-Features of a text are indicators of hashed n-grams: three-byte runs, words and pairs of
-neighbouring words (case kept), FEATURES places in all. An indicator is scaled by its
+Features of a text are indicators of hashed n-grams: three-byte runs, words, pairs of
+neighbouring words (case kept), and runs of REPEATS marks that tell for each word whether
+it repeats the one before; FEATURES places in all. An indicator is scaled by its
 log-count ratio r = log((a + count in good) / |good| over (a + count in poor) / |poor|),
 the vector is brought to unit length, and a linear model is fitted to squared hinge loss
 by dual coordinate descent: one example at a time moves its dual variable to the optimum
 with the others fixed and updates the weights. The weights are mixed with their mean
-magnitude (INTERPOLATION), as is usual for this model. A logistic curve through the
-margins of a fifth of the sample, kept out of the fit, and the class shares of all
-labelled rows turn a margin into a score.
+magnitude (INTERPOLATION), as is usual for this model. A logistic curve through margins
+that each row gets from a model of the other folds, and the class shares of all labelled
+rows, turn a margin into a score.
 
 The fit uses at most SAMPLE_PER_CLASS labelled rows a class, those with the least hash
 of their id, so its cost and what one task holds are bounded; scoring reads all rows.
@@ -39,6 +40,8 @@ SAMPLE_PER_CLASS = 4000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 8
+FOLDS = 4
+REPEATS = 4
 INTERPOLATION = 0.25
 THRESHOLD = 0.3
 
@@ -53,7 +56,11 @@ def features(text: str) -> np.ndarray:
     runs = b[:-2] | (b[1:-1] << _U(8)) | (b[2:] << _U(16))
     h = np.frombuffer(b"".join(map(_HASHES.__getitem__, data.split())), "<u8")
     pairs = h[:-1] * _U(0x9E3779B97F4A7C15) + h[1:] if len(h) > 1 else h[:0]
-    keys = np.concatenate([(runs + _U(1)) * _U(0xD6E8FEB86659FD93), h, mix(pairs + _U(3))])
+    again = (h[1:] == h[:-1]).astype(np.uint64)  # is the word the one before it?
+    many = max(0, len(again) - REPEATS + 1)
+    repeats = sum((again[k:k + many] << _U(k) for k in range(REPEATS)), np.zeros(many, np.uint64))
+    keys = np.concatenate([(runs + _U(1)) * _U(0xD6E8FEB86659FD93), h, mix(pairs + _U(3)),
+                           mix(np.unique(repeats) + _U(0xA24BAED4963EE407))])
     return np.unique((mix(keys) >> _U(64 - FEATURE_BITS)).astype(np.int32))
 
 
@@ -119,15 +126,28 @@ def logistic_curve(margins: np.ndarray, good: np.ndarray, steps: int = 50) -> tu
     return float(max(0.0, beta[0]) / unit), float(beta[1])
 
 
+def _weigh(rows: list[np.ndarray], good: np.ndarray) -> Model:
+    scale = log_count_ratios(rows, good)
+    return Model(scale, dual_coordinate_descent(rows, scale, good), 1.0, 0.0)
+
+
 def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
-    kept_out = np.arange(len(rows)) % 5 == 4
-    fitted = [r for r, k in zip(rows, kept_out) if not k]
-    scale = log_count_ratios(fitted, good[~kept_out])
-    weights = dual_coordinate_descent(fitted, scale, good[~kept_out])
-    model = Model(scale, weights, 1.0, 0.0)
-    use = kept_out if 0 < good[kept_out].sum() < kept_out.sum() else np.ones(len(rows), bool)
-    margins = np.array([model.margin(r) for r, k in zip(rows, use) if k])
-    model.slope, model.offset = logistic_curve(margins, good[use])
+    """The model of all rows; its curve from margins that models of the other folds give."""
+    fold = np.zeros(len(rows), np.int64)
+    for y in (0, 1):  # every fold gets its part of both classes
+        at = np.flatnonzero(good == y)
+        fold[at] = np.arange(len(at)) % FOLDS
+    model, margins = _weigh(rows, good), np.full(len(rows), np.nan)
+    for k in range(FOLDS):
+        inside = fold != k
+        if 0 < good[inside].sum() < inside.sum():
+            other = _weigh([r for r, i in zip(rows, inside) if i], good[inside])
+            for i in np.flatnonzero(~inside):
+                margins[i] = other.margin(rows[i])
+    known = ~np.isnan(margins)
+    if not 0 < good[known].sum() < known.sum():  # too few rows for folds
+        margins, known = np.array([model.margin(r) for r in rows]), np.ones(len(rows), bool)
+    model.slope, model.offset = logistic_curve(margins[known], good[known])
     return model
 
 
