@@ -65,5 +65,49 @@ WHERE rank <= 5
 """
 
 
+# CRC-32 by bytes, from its 256-entry table, which is made from the polynomial.
+SHARDS_SQL = """
+WITH t AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+                                                                        ELSE a >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+d AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+         xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+             lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]))) AS text_crc32
+  FROM documents, t),
+o AS (
+  SELECT *, SUM(size) OVER w - size AS start_byte, SUM(size) OVER () AS total FROM d
+  WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, CAST((2 * start_byte + size) * 16 // (2 * total) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY start_byte) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard, CAST(start_byte AS BIGINT) AS start_byte
+FROM s
+"""
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+           ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM s
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, r.c AS component_id, s.doc_id = r.c AS kept
+FROM s JOIN (SELECT a, MIN(b) AS c FROM reach GROUP BY a) r ON s.doc_id = r.a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": TOP_K_SQL}
+    return {"op2_byte_shards": SHARDS_SQL, "op4_hyperminhash": NEAR_DUPLICATES_SQL, "op9_exact_topk": TOP_K_SQL}
