@@ -48,7 +48,7 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(spark: SparkSession, df: DataFrame | None = None) -> int:
+def partitions_for(spark: SparkSession) -> int:
     """The session's shuffle width, for operators that name a partition count."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
