@@ -1,7 +1,6 @@
 """One user holding a third of all rows: both join shapes stay exact, and the shuffle
 shape collapses the hot user before anything moves."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
