@@ -8,7 +8,6 @@ the last return the columns of ``documents``. ``run`` applies them to ``document
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from usagelens.llm import mixing, neardup, packing, quality, secret_scan
 from usagelens.llm.common import stage, table
