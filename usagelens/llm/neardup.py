@@ -348,9 +348,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                .join(whole, "node", "left")
                .select("row", "doc_id", "n", "tkey", F.coalesce("label", "node", "row").alias("label"),
                        (F.col("n") == 0).alias("alone")))
-    grouped = grouped.select("row", "doc_id", "n", "tkey", F.struct("alone", "label").alias("grp"))
-    heads = grouped.groupBy("grp").agg(F.min("doc_id").alias("component_id"),
-                                       F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head"))
+    # Both staged: a join of two plain shuffles, in which Spark can split a hot group.
+    grouped = stage(grouped.select("row", "doc_id", "n", "tkey", F.struct("alone", "label").alias("grp")), "grouped")
+    heads = stage(grouped.groupBy("grp").agg(F.min("doc_id").alias("component_id"),
+                                             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head")), "heads")
     return (grouped.join(heads, "grp")
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
