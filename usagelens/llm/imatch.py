@@ -202,7 +202,7 @@ def fingerprints(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
         F.struct(before.alias("bucket"), F.lit(True).alias("extra")))).otherwise(
         F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("extra"))))))
     return (rows.select(F.col("to.bucket").alias("bucket"), "doc_id", F.col("to.extra").alias("extra"), "t", "place")
-            .repartition(parts, "bucket").sortWithinPartitions("bucket", "extra", "place")
+            .repartitionByRange(parts, "bucket").sortWithinPartitions("bucket", "extra", "place")
             .select("bucket", "doc_id", "extra", "t")
             .mapInArrow(lambda it: pair_batches(it, shared.value),
                         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
