@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from usagelens.session import scratch_path
 
+TEXTS_PER_BATCH = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application (as ``--py-files`` does):
     Python stages import their functions from it wherever the driver was started."""
+    # Whole texts go through Arrow batches: Spark's default of 10,000 rows a batch would
+    # hold too many long ones at once. A session that set its own number keeps it.
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(TEXTS_PER_BATCH))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship, stage, text_or_empty, width
-from usagelens.llm.neardup import WordHashes, mix
+from usagelens.llm.neardup import HASHES, mix
 
 SLOT_BITS = 18
 MIN_IDF = 3.0
@@ -46,7 +46,6 @@ MIN_CELLS = 16
 DOCS_PER_TASK = 8192
 
 _U = np.uint64
-_HASHES = WordHashes()
 _USED = tuple(min(CELLS, 1 << b) for b in RUNGS)
 _STARTS = np.concatenate([[0], np.cumsum(_USED)]).astype(np.int64)
 SUBSETS = int(_STARTS[-1])
@@ -56,7 +55,7 @@ _SEEDS = mix(np.arange(1, len(RUNGS) + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C
 def terms(text: str) -> np.ndarray:
     """Sorted distinct term hashes."""
     found = set(text.encode().lower().split())
-    return np.sort(np.frombuffer(b"".join(map(_HASHES.__getitem__, found)), "<u8"))
+    return np.sort(np.frombuffer(b"".join(map(HASHES.__getitem__, found)), "<u8"))
 
 
 def slots(hashes: np.ndarray) -> np.ndarray:

@@ -56,7 +56,7 @@ MANTISSA = 10
 TILE = 512
 BITMAP_BITS = 1 << 26
 ESTIMATE_MARGIN = 5.0
-WORD_CACHE = 600_000
+WORD_CACHE = 150_000
 
 _U = np.uint64
 # Expected share of registers of two unrelated sets that agree by chance, times 2^mantissa bits.
@@ -72,7 +72,8 @@ PLACES = _places()
 
 
 class WordHashes(dict):
-    """Word -> 8 bytes of hash; keeps the first WORD_CACHE short words."""
+    """Word -> 8 bytes of hash; keeps the first WORD_CACHE short words. One per Python
+    worker serves every operator (``HASHES``)."""
 
     def __missing__(self, word: bytes) -> bytes:
         got = xxhash.xxh64_intdigest(word, 7).to_bytes(8, "little")
@@ -81,7 +82,7 @@ class WordHashes(dict):
         return got
 
 
-_HASHES = WordHashes()
+HASHES = WordHashes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,7 +96,7 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     found = text.lower().split()  # bytes: ASCII case and white space only
     if not found:
         return np.zeros(0, np.uint64)
-    h = np.frombuffer(b"".join(map(_HASHES.__getitem__, found)), "<u8")
+    h = np.frombuffer(b"".join(map(HASHES.__getitem__, found)), "<u8")
     if len(h) < words:
         return np.array([xxhash.xxh64_intdigest(h.tobytes(), 11)], np.uint64)
     runs = len(h) - words + 1

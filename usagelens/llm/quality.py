@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship, text_or_empty
-from usagelens.llm.neardup import WordHashes, mix
+from usagelens.llm.neardup import HASHES, mix
 
 FEATURE_BITS = 19
 FEATURES = 1 << FEATURE_BITS
@@ -46,7 +46,6 @@ INTERPOLATION = 0.25
 THRESHOLD = 0.3
 
 _U = np.uint64
-_HASHES = WordHashes()
 
 
 def features(text: str) -> np.ndarray:
@@ -54,7 +53,7 @@ def features(text: str) -> np.ndarray:
     data = text.encode()
     b = np.frombuffer(data, np.uint8).astype(np.uint64)
     runs = b[:-2] | (b[1:-1] << _U(8)) | (b[2:] << _U(16))
-    h = np.frombuffer(b"".join(map(_HASHES.__getitem__, data.split())), "<u8")
+    h = np.frombuffer(b"".join(map(HASHES.__getitem__, data.split())), "<u8")
     pairs = h[:-1] * _U(0x9E3779B97F4A7C15) + h[1:] if len(h) > 1 else h[:0]
     again = (h[1:] == h[:-1]).astype(np.uint64)  # is the word the one before it?
     many = max(0, len(again) - REPEATS + 1)

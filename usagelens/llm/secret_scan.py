@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship, stage, text_or_empty
 from usagelens.llm.imatch import document_frequencies, slots
-from usagelens.llm.neardup import WordHashes
+from usagelens.llm.neardup import HASHES
 
 MIN_PIECE = 16
 SAMPLE_PER_CLASS = 2000
@@ -74,7 +74,6 @@ _CORE = re.compile(r"[A-Za-z0-9+/=_\-]{12,}")
 _HARMLESS_FORM = re.compile(
     r"[\w.+-]+@[\w-]+\.[\w.-]+|[a-z]+://\S+|(?:[\w.-]+/){2,}[\w.-]*|[\d.,:/ -]+|v?\d+(?:\.\d+)+\S*", re.I)
 _WORD = re.compile(r"[^\W\d_]{3,}")
-_LETTERS = WordHashes()
 
 NAMES = ("length", "digits", "upper", "hex", "distinct", "entropy", "transitions", "pairs", "dictionary", "slashes",
          "dots", "at", "scheme", "secret_name", "harmless_name", "assigned", "quoted")
@@ -145,7 +144,7 @@ FREQUENT_PAIRS = frozenset("th he in er an re on at en nd ti es or te of ed is i
 
 
 def _in(word: str, dictionary: np.ndarray) -> bool:
-    h = np.frombuffer(_LETTERS[word.encode()], "<u8")
+    h = np.frombuffer(HASHES[word.encode()], "<u8")
     return bool(dictionary[slots(h)][0])
 
 

@@ -54,9 +54,9 @@ class _Cache(dict):
 
 
 class WordTokenizer:
-    """Encoder with caches of at most ``limit`` pieces (about 150 bytes each)."""
+    """Encoder with caches of at most ``limit`` pieces and as many units (about 200 bytes each)."""
 
-    def __init__(self, name: str = VOCABULARY, limit: int = 600_000):
+    def __init__(self, name: str = VOCABULARY, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
