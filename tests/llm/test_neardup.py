@@ -88,3 +88,36 @@ def test_sketch_estimates_similarity():
     assert abs(float(neardup.estimate(equal, len(x), len(y))) - 0.8) < 0.1
     assert neardup.sketch(x[:1]).shape == (neardup.REGISTERS,)
     assert np.array_equal(neardup.unpack_set(neardup.pack_set(x)), x >> np.uint64(16))
+
+
+def test_empty_registers_borrow_evenly():
+    rng = np.random.default_rng(8)
+    for n in (2, 4, 5, 8, 20):
+        for _ in range(200):
+            h = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+            share = np.unique(neardup.sketch(h), return_counts=True)[1] / neardup.REGISTERS
+            if len(share) == n:  # no two runs in one bucket or of one value
+                assert share.max() < 1 / n + 6 * (1 / n * (1 - 1 / n) / neardup.REGISTERS) ** 0.5
+
+
+def test_short_documents_at_the_limit_are_linked(spark):
+    """Pairs of one run less, and of a fifth less, of short documents: none is lost."""
+    rows, sizes = [], [(n, n - 1) for n in range(4, 22)] + [(5 * k, 4 * k) for k in range(1, 11)] + [(10, 7), (33, 26)]
+    for n, m in sizes:
+        for _ in range(40):
+            w = [f"w{len(rows)}x{k}" for k in range(n + 4)]
+            rows += [doc(len(rows) + 1, " ".join(w)), doc(len(rows) + 2, " ".join(w[:m + 4]))]
+    got = {r.doc_id: r for r in neardup.near_duplicates(odd_documents(spark, rows)).collect()}
+    lost = [(n, m) for k, (n, m) in enumerate(s for s in sizes for _ in range(40))
+            if (got[2 * k + 2].component_id == 2 * k + 1) != (100 * m >= 80 * n)]
+    assert got[1].n_shingles == 4 and got[2].n_shingles == 3 and not lost
+
+
+def test_a_common_run_is_no_bucket_of_its_own():
+    """Short sets that share a frequent run are bucketed by their rarer ones."""
+    rng = np.random.default_rng(9)
+    common = np.uint64(5)
+    sets = [np.sort(np.append(rng.integers(1 << 60, 1 << 64, 9, dtype=np.uint64), common)) for _ in range(500)]
+    counts = np.bincount(neardup.run_class(np.concatenate(sets)), minlength=1 << neardup.RUN_CLASS_BITS)
+    assert not any(common in neardup.first_runs(s, counts, 80) for s in sets)
+    assert {len(neardup.first_runs(s, counts, 80)) for s in sets} == {3}

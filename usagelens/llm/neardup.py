@@ -7,15 +7,21 @@ documents are groups.
 
 1. *Sketch* (one pass over the texts). A hash falls into one of REGISTERS buckets; a
    register keeps, of its bucket's least value, the number of leading zeros (6 bits) and
-   the next 10 bits. Empty registers borrow from one that a fixed table of random
-   places finds, so short documents fill all registers. Documents with equal sets
-   become one node (equality by a 128-bit digest of the whole set).
-2. *Bands.* ROWS registers make a band; nodes that agree on a band share a bucket. Two
-   nodes at similarity 0.8 share none of 40 with probability 5e-6.
+   the next 10 bits. An empty register borrows from the filled one that comes first in
+   a fixed random order of its own, so short documents fill all registers, each run
+   about as many. Documents with equal sets become one node (equality by a 128-bit
+   digest of the whole set).
+2. *Buckets.* ROWS registers make a band; nodes that agree on a band share a bucket. Two
+   nodes at similarity 0.8 share none of 40 with probability 5e-6. Sets of at most EXACT
+   runs say too little by registers: those are bucketed by each of their first
+   n - ceil(n * percent / 100) + 1 runs, the rarest among such sets first, of which two
+   linked ones share one for certain. Sets that can only be linked with such have no
+   bands.
 3. *Star.* In a bucket every node is compared with the smallest: Jaccard estimate from
    equal registers, corrected for registers that agree by chance; pairs that come
-   within five standard deviations of the limit are confirmed on the full sets. This
-   takes one row per member and joins whole groups of copies without pairs.
+   within five standard deviations of the limit, and all of two sets of at most EXACT
+   runs, are confirmed on the full sets. This takes one row per member and joins whole
+   groups of copies without pairs.
 4. *Rest.* Where members of a bucket other than its smallest still lie in different
    components, the bucket is cut into tiles of at most about TILE members a side, and a
    tile compares its members across components in memory: estimate, then full sets.
@@ -56,6 +62,8 @@ MANTISSA = 10
 TILE = 512
 BITMAP_BITS = 1 << 26
 ESTIMATE_MARGIN = 5.0
+EXACT = 32
+RUN_CLASS_BITS = 16
 WORD_CACHE = 150_000
 
 _U = np.uint64
@@ -63,12 +71,13 @@ _U = np.uint64
 _CHANCE = 0.169919487159739
 
 
-def _places() -> np.ndarray:
-    """Where an empty register looks, in order: fixed random places."""
-    return np.random.default_rng(20260101).integers(0, REGISTERS, size=(REGISTERS, 64))
+def _ranks() -> np.ndarray:
+    """Of every register, all registers' ranks in the order in which it looks when empty."""
+    rng = np.random.default_rng(20260101)
+    return np.array([rng.permutation(REGISTERS) for _ in range(REGISTERS)], np.uint8)
 
 
-PLACES = _places()
+RANKS = _ranks()
 
 
 class WordHashes(dict):
@@ -117,17 +126,9 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     out = np.zeros(REGISTERS, np.uint16)
     out[bucket[first]] = code
     if len(first) < REGISTERS:
-        filled = np.zeros(REGISTERS, bool)
-        filled[bucket[first]] = True
-        empty = np.flatnonzero(~filled)
-        for look in range(PLACES.shape[1]):
-            at = PLACES[empty, look]
-            ok = filled[at]
-            out[empty[ok]] = out[at[ok]]
-            empty = empty[~ok]
-            if not len(empty):
-                break
-        out[empty] = out[bucket[first[0]]]
+        filled = bucket[first]
+        empty = np.setdiff1d(np.arange(REGISTERS), filled, assume_unique=True)
+        out[empty] = out[filled[RANKS[np.ix_(empty, filled)].argmin(axis=1)]]
     return out
 
 
@@ -143,6 +144,12 @@ def least_estimate(percent: int) -> float:
     return j - ESTIMATE_MARGIN * (j * (1 - j) / REGISTERS) ** 0.5
 
 
+def may_link(est: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs to compare on the full sets: by estimate, or by size where both sets are short."""
+    short = np.maximum(n, m) <= EXACT
+    return np.where(short, 100 * np.minimum(n, m) >= percent * np.maximum(n, m), est >= least_estimate(percent))
+
+
 def linked(both: int, n: int, m: int, percent: int) -> bool:
     return 100 * both >= percent * (n + m - both)
 
@@ -166,27 +173,57 @@ def _slot(key: bytes) -> int:
 
 def signature_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: list[list] = [[], [], [], []]
+        rows: list[list] = [[], [], [], [], []]
         for t in batch.column(1):
             text = t.as_py().encode()
             h = shingles(text, words)
             some = len(h) > 0
             for column, v in zip(rows, (len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest() if some else None,
-                                        text_key(text), sketch(h).tobytes() if some else None)):
+                                        text_key(text), sketch(h).tobytes() if some else None,
+                                        h.tobytes() if 0 < len(h) <= EXACT else None)):
                 column.append(v)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(rows[0], pa.int64()), *[pa.array(c, pa.binary()) for c in rows[1:]]],
-            names=["doc_id", "n", "digest", "tkey", "sketch"])
+            names=["doc_id", "n", "digest", "tkey", "sketch", "short"])
+
 
+def run_class(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(64 - RUN_CLASS_BITS)).astype(np.int64)
+
+
+def run_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Short sets -> (class, n): how many of their runs are of a class."""
+    total = np.zeros(1 << RUN_CLASS_BITS, np.int64)
+    for batch in batches:
+        runs = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+        total += np.bincount(run_class(runs), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["class", "n"])
 
-def band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def first_runs(hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The runs of a short set of which it shares one with every set it is linked with."""
+    order = np.lexsort((hashes, counts[run_class(hashes)]))
+    return hashes[order[:len(hashes) + (-percent * len(hashes)) // 100 + 1]]
+
+
+def bucket_batches(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """(node, n, sketch, short) -> (key, node)."""
     bands = REGISTERS // ROWS
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | _U(1)
     for batch in batches:
-        s = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, bands, ROWS).astype(np.uint64)
-        keys = mix((s * weights).sum(axis=2, dtype=np.uint64) + mix(np.arange(bands, dtype=np.uint64) + _U(101)))
-        node = np.repeat(batch.column(0).to_numpy(), bands)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node)], names=["key", "node"])
+        node, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        wide = 100 * n >= percent * (EXACT + 1)
+        s = np.frombuffer(b"".join(batch.column(2).filter(pa.array(wide)).to_pylist()), "<u2")
+        s = s.reshape(-1, bands, ROWS).astype(np.uint64)
+        keys = [mix((s * weights).sum(axis=2, dtype=np.uint64) + mix(np.arange(bands, dtype=np.uint64) + _U(101))).ravel()]
+        nodes = [np.repeat(node[wide], bands)]
+        for i in np.flatnonzero(n <= EXACT):
+            runs = first_runs(np.frombuffer(batch.column(3)[i].as_py(), np.uint64), counts, percent)
+            keys.append(mix(runs + _U(0x9E3779B97F4A7C15)))
+            nodes.append(np.repeat(node[i], len(runs)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))],
+                                         names=["key", "node"])
 
 
 def estimate_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -196,7 +233,7 @@ def estimate_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterato
             continue
         a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
         sa, sb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS) for i in (4, 5))
-        ok = estimate((sa == sb).mean(axis=1), na, nb) >= least_estimate(percent)
+        ok = may_link(estimate((sa == sb).mean(axis=1), na, nb), na, nb, percent)
         yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
 
 
@@ -232,7 +269,7 @@ def tile_links(side, node, label, sketches, sets, percent: int) -> list[tuple[in
     where there is one side. Labels that a link joins are one from then on."""
     label = label.copy()
     sizes = np.array([len(s) for s in sets])
-    least, out = least_estimate(percent), []
+    out = []
     two = len(np.unique(side)) == 2
     order = np.argsort(side, kind="stable")
     first = int((side == side[order[0]]).sum()) if two else 0
@@ -242,7 +279,7 @@ def tile_links(side, node, label, sketches, sets, percent: int) -> list[tuple[in
         if not len(others):
             continue
         est = estimate((sketches[others] == sketches[i]).mean(axis=1), sizes[others], sizes[i])
-        others = others[est >= least]
+        others = others[may_link(est, sizes[others], sizes[i], percent)]
         if not len(others):
             continue
         cat = np.concatenate([sets[j] for j in others])
@@ -303,13 +340,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     texts = text_or_empty().alias("t")
     signed = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), texts)
                    .mapInArrow(lambda it: signature_batches(it, words),
-                               "doc_id long, n long, digest binary, tkey binary, sketch binary")
+                               "doc_id long, n long, digest binary, tkey binary, sketch binary, short binary")
                    .withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = stage(signed.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.first("n").alias("n"), F.first("tkey").alias("tkey"),
-        F.first("sketch").alias("sketch")), "nodes")
+        F.first("sketch").alias("sketch"), F.first("short").alias("short")), "nodes")
 
-    bands = nodes.select("node", "sketch").mapInArrow(band_batches, "key long, node long")
+    counts = spark.sparkContext.broadcast(_run_counts(nodes.where("short IS NOT NULL").select("short")))
+    bands = nodes.select("node", "n", "sketch", "short").mapInArrow(
+        lambda it: bucket_batches(it, counts.value, percent), "key long, node long")
     shared = bands.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1")
     buckets = stage(bands.join(shared, "key"), "buckets")
 
@@ -359,6 +398,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     (F.col("row") == F.col("head.row")).alias("keeper"), "tkey"))
 
 
+def _run_counts(short: DataFrame) -> np.ndarray:
+    """Runs of the short sets by class: 2^RUN_CLASS_BITS numbers, whatever the corpus."""
+    rows = short.mapInArrow(run_count_batches, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(1 << RUN_CLASS_BITS, np.int64)
+    counts[rows["class"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return counts
+
+
 def _bitmap(keys: DataFrame, key: str) -> np.ndarray:
     """BITMAP_BITS bits, whatever the corpus: the places of the keys (binary) are set."""
     at = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps count from 1
