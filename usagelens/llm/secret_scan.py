@@ -18,9 +18,11 @@ prefix or a quoted assignment names it so and the value is not a placeholder, an
 false positive if it is an address, a link, a path, a plain number, a version, a
 placeholder or the value of a digest's or number's name; the rest have no label. Labels
 look at the piece's exact form, the forest at the features, so it also judges what no
-rule names. At most SAMPLE_PER_CLASS findings a class, those with the least hash, train
-it; labelled findings from elsewhere can be passed instead (``fit_forest``). The forest:
-TREES trees on bootstrap samples, sqrt(features) tried a split, Gini impurity.
+rule names. At most SAMPLE_PER_CLASS findings of each rule and class, those with the least
+hash, train it; labelled findings from elsewhere can be passed instead (``fit_forest``).
+The forest: TREES trees on bootstrap samples, sqrt(features) tried a split, Gini impurity.
+Private-key blocks and provider values that are labelled secrets are certain: they stay
+secrets (score 1) whatever the forest says.
 
 Counts for the dictionary cover all documents. All candidates of all whole texts are
 scored. Places are code points, ``start`` from 0.
@@ -75,6 +77,8 @@ _HARMLESS_FORM = re.compile(
     r"[\w.+-]+@[\w-]+\.[\w.-]+|[a-z]+://\S+|(?:[\w.-]+/){2,}[\w.-]*|[\d.,:/ -]+|v?\d+(?:\.\d+)+\S*", re.I)
 _WORD = re.compile(r"[^\W\d_]{3,}")
 
+RULES = ("private_key", "provider", "assigned", "piece")
+CERTAIN = ("private_key", "provider")
 NAMES = ("length", "digits", "upper", "hex", "distinct", "entropy", "transitions", "pairs", "dictionary", "slashes",
          "dots", "at", "scheme", "secret_name", "harmless_name", "assigned", "quoted")
 
@@ -155,7 +159,7 @@ def label(text: str, start: int, end: int, rule: str) -> int | None:
     low = value.lower()
     if any(p in low for p in PLACEHOLDERS) or len(set(value)) <= 3:
         return 0
-    if rule in ("private_key", "provider"):
+    if rule in CERTAIN:
         return 1
     if rule == "assigned":
         return 1 if before[-1:] in ("\"", "'") and len(value) >= 12 and any(c.isdigit() for c in value) else None
@@ -242,6 +246,7 @@ class Scanner:
             p = [float(m) if m is not None else float(f[2] == "assigned") for m, f in zip(marks, found)]
         else:
             p = self.forest.probability(np.array([features(text, a, b, self.dictionary) for a, b, _ in found])).tolist()
+            p = [1.0 if f[2] in CERTAIN and label(text, *f) == 1 else q for f, q in zip(found, p)]
         return [(*f, q) for f, q in zip(found, p)]
 
 
@@ -254,9 +259,9 @@ def labelled_batches(batches: Iterator[pa.RecordBatch], dictionary: np.ndarray)
                 y = label(text, a, b, rule)
                 if y is not None:
                     value = hashlib.sha256(text[max(0, a - 40):b].encode()).hexdigest()
-                    rows.append({"mark": value, "y": y, "x": features(text, a, b, dictionary)})
+                    rows.append({"mark": value, "rule": rule, "y": y, "x": features(text, a, b, dictionary)})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-            [("mark", pa.string()), ("y", pa.int32()), ("x", pa.list_(pa.float64()))]))
+            [("mark", pa.string()), ("rule", pa.string()), ("y", pa.int32()), ("x", pa.list_(pa.float64()))]))
 
 
 def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Scanner:
@@ -266,10 +271,10 @@ def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Scanner:
     dictionary = df >= max(2.0, DICTIONARY_SHARE * n)
     shared = spark.sparkContext.broadcast(dictionary)  # one mark per term class
     found = stage(docs.select(text_or_empty().alias("t")).mapInArrow(lambda it: labelled_batches(it, shared.value),
-                                                                     "mark string, y int, x array<double>")
-                  .groupBy("mark", "y").agg(F.min("x").alias("x")), "labelled-findings")
-    least = lambda y: found.where(F.col("y") == y).orderBy("mark").limit(per_class)
-    rows = least(0).unionByName(least(1)).collect()  # at most 2 * per_class rows
+                                                                     "mark string, rule string, y int, x array<double>")
+                  .groupBy("mark", "rule", "y").agg(F.min("x").alias("x")), "labelled-findings")
+    least = lambda rule, y: found.where((F.col("rule") == rule) & (F.col("y") == y)).orderBy("mark").limit(per_class)
+    rows = [r for rule in RULES for y in (0, 1) for r in least(rule, y).collect()]  # at most 8 * per_class rows
     y = np.array([r["y"] for r in rows], np.int64)
     if not 0 < y.sum() < len(y):
         return Scanner(dictionary, None)
