@@ -1,9 +1,10 @@
 """Secret scan: candidates by rule, false positives removed by a random forest.
 
 *Candidates* are the values of assignments to a name that speaks of a secret, whole
-private-key blocks, values with a provider's prefix, and any other white-space delimited
-piece of at least MIN_PIECE characters that holds a digit (its longest run of key
-characters).
+private-key blocks, values with a provider's prefix (anywhere in the text), and in any
+other white-space delimited piece of at least MIN_PIECE characters every run of key
+characters that holds a digit. Where one overlaps another of an earlier rule, what is
+left of it on either side is a candidate by itself.
 
 *Features* of a candidate: its length; shares of digits, upper case, hexadecimal digits
 and distinct characters; entropy; transitions between character classes per character
@@ -51,6 +52,7 @@ from usagelens.llm.imatch import document_frequencies, slots
 from usagelens.llm.neardup import HASHES
 
 MIN_PIECE = 16
+MIN_RUN = 12
 SAMPLE_PER_CLASS = 2000
 DICTIONARY_SHARE = 0.01
 TREES = 25
@@ -72,7 +74,7 @@ _PROVIDER = re.compile(r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[ab
                        r"|sk_live_[0-9A-Za-z]{16,}|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]{5,})")
 _PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,40}PRIVATE KEY-----|\Z)", re.S)
 _PIECE = re.compile(r"\S{%d,}" % MIN_PIECE)
-_CORE = re.compile(r"[A-Za-z0-9+/=_\-]{12,}")
+_CORE = re.compile(r"[A-Za-z0-9+/=_\-]{%d,}" % MIN_RUN)
 _HARMLESS_FORM = re.compile(
     r"[\w.+-]+@[\w-]+\.[\w.-]+|[a-z]+://\S+|(?:[\w.-]+/){2,}[\w.-]*|[\d.,:/ -]+|v?\d+(?:\.\d+)+\S*", re.I)
 _WORD = re.compile(r"[^\W\d_]{3,}")
@@ -89,24 +91,38 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     low = text.lower()
     if "private key-----" in low:
         found += [(m.start(), m.end(), "private_key") for m in _PRIVATE_KEY.finditer(text)]
-    pieces = [m for m in _PIECE.finditer(text) if any(c.isdigit() for c in m.group())]
-    for m in pieces:
-        found += [(m.start() + p.start(), m.start() + p.end(), "provider") for p in _PROVIDER.finditer(m.group())]
+    found = _add([], found)
+    found = _add(found, [(m.start(), m.end(), "provider") for m in _PROVIDER.finditer(text)])
     if any(name in low for name in SECRET_NAMES):
+        values = []
         for m in _ASSIGNED.finditer(text):
             value = m.group(3) if m.group(2) else re.split(r"[,;)\]}]", m.group(3))[0]
-            if len(value) >= 6:
-                found.append((m.start(3), m.start(3) + len(value), "assigned"))
-    for m in pieces:
-        runs = [p for p in _CORE.finditer(m.group()) if any(c.isdigit() for c in p.group())]
-        if runs:
-            p = max(runs, key=lambda p: (len(p.group()), -p.start()))
-            found.append((m.start() + p.start(), m.start() + p.end(), "piece"))
-    out: list[tuple[int, int, str]] = []
-    for a, b, rule in found:
-        if all(b <= c or a >= d for c, d, _ in out):
-            out.append((a, b, rule))
-    return sorted(out)
+            values.append((m.start(3), m.start(3) + len(value), "assigned"))
+        found = _add(found, [f for f in _left(found, values) if f[1] - f[0] >= 6])
+    runs = [(p.start(), p.end(), "piece") for m in _PIECE.finditer(text) for p in _CORE.finditer(text, m.start(), m.end())]
+    return _add(found, [f for f in _left(found, runs) if f[1] - f[0] >= MIN_RUN and any(c.isdigit() for c in text[f[0]:f[1]])])
+
+
+def _left(taken: list[tuple[int, int, str]], new: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, str]]:
+    """What of the new ones lies outside the taken; both in order and without overlaps."""
+    k = 0
+    for a, b, rule in new:
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        j = k
+        while j < len(taken) and taken[j][0] < b:
+            if a < taken[j][0]:
+                yield a, taken[j][0], rule
+            a = taken[j][1]
+            j += 1
+        if a < b:
+            yield a, b, rule
+
+
+def _add(taken: list[tuple[int, int, str]], new: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Both, in order, without the new ones that overlap a taken one."""
+    whole = set(new)
+    return sorted(taken + [f for f in _left(taken, new) if f in whole])
 
 
 def around(text: str, start: int, end: int) -> tuple[str, str, str]:
