@@ -179,6 +179,22 @@ def test_every_key_of_a_piece_is_a_candidate():
     assert secret_scan.candidates(text) == [(0, 20, "provider"), (20, len(text), "piece")]
 
 
+@pytest.mark.parametrize("before, value, after", [
+    ('password = "', "correct horse 4 battery staple", '" then "more"'),
+    ("secret: '", 'it has "quotes" and blanks 12', "' next"),
+    ('{"api_key":"', "a\\\"b 12345 c", '","n":1}'),
+    ("token=", "Ab3+/" * 400, " end"),
+    ('token = "', "Ab3+/" * 400, '" end'),
+    ("(token=", "abcdef123456", "), x"),
+    ('token = "', "abcdef123456", " no end\nsay \"x\""),
+])
+def test_assigned_values_are_whole(before, value, after):
+    text = before + value + after
+    found = secret_scan.candidates(text)
+    assert found[0] == (len(before), len(before) + len(value), "assigned")
+    assert secret_scan.Scanner(np.zeros(1, bool), None).scan(text)[0][3] >= 0.5
+
+
 PAGE = ("<!DOCTYPE html><html lang=\"fr\"><head><title>A &amp; B</title><style>p{}</style></head><body><!-- no --><p>One"
         "<br>two&nbsp;&lt;3&gt;<script>var t='</p>'</script><a href='/x?a=1&amp;b=2'>link</a> <a href=\"http://y/\">y</a><p>end")
 

@@ -1,6 +1,8 @@
 """Secret scan: candidates by rule, false positives removed by a random forest.
 
-*Candidates* are the values of assignments to a name that speaks of a secret, whole
+*Candidates* are the values of assignments to a name that speaks of a secret (a quoted one
+up to its closing quote on the line, another up to the next blank, quote, comma, semicolon
+or closing bracket, whatever the length), whole
 private-key blocks, values with a provider's prefix (anywhere in the text), and in any
 other white-space delimited piece of at least MIN_PIECE characters every run of key
 characters that holds a digit. Where one overlaps another of an earlier rule, what is
@@ -69,7 +71,8 @@ HARMLESS_NAMES = ("sha1", "sha256", "sha", "md5", "checksum", "digest", "commit"
 PLACEHOLDERS = ("example", "placeholder", "changeme", "your_", "your-", "xxxx", "****", "<", "${", "dummy", "todo")
 
 _ASSIGNED = re.compile(
-    r"(?i)\b([\w.-]{0,40}(?:" + "|".join(map(re.escape, SECRET_NAMES)) + r")[\w.-]{0,20})[\"']?\s{0,3}(?:=>|:=|=|:)\s{0,3}([\"']?)([^\s\"']{6,400})")
+    r"(?i)\b([\w.-]{0,40}(?:" + "|".join(map(re.escape, SECRET_NAMES)) + r")[\w.-]{0,20})[\"']?\s{0,3}(?:=>|:=|=|:)\s{0,3}"
+    r"(?:\"((?:[^\"\\\r\n]|\\[^\r\n]){6,})\"|'((?:[^'\\\r\n]|\\[^\r\n]){6,})'|[\"']([^\s\"']{6,})|([^\s\"',;)\]}]{6,}))")
 _PROVIDER = re.compile(r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}"
                        r"|sk_live_[0-9A-Za-z]{16,}|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]{5,})")
 _PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,40}PRIVATE KEY-----|\Z)", re.S)
@@ -96,8 +99,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     if any(name in low for name in SECRET_NAMES):
         values = []
         for m in _ASSIGNED.finditer(text):
-            value = m.group(3) if m.group(2) else re.split(r"[,;)\]}]", m.group(3))[0]
-            values.append((m.start(3), m.start(3) + len(value), "assigned"))
+            values.append((*m.span(m.lastindex), "assigned"))
         found = _add(found, [f for f in _left(found, values) if f[1] - f[0] >= 6])
     runs = [(p.start(), p.end(), "piece") for m in _PIECE.finditer(text) for p in _CORE.finditer(text, m.start(), m.end())]
     return _add(found, [f for f in _left(found, runs) if f[1] - f[0] >= MIN_RUN and any(c.isdigit() for c in text[f[0]:f[1]])])
