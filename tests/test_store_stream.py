@@ -12,7 +12,7 @@ from usagelens.operators.rollups import UsagePage
 from usagelens.sources import store
 from usagelens.sources.employees import write_employee_csv
 from usagelens.sources.standin import standin_tables
-from usagelens.streaming.incremental import run_incremental_load
+from usagelens.streaming.incremental import run_incremental_load, stream_counts
 
 RANGE = UsageFilters(start="2024-01-03", end="2024-01-20", end_day="whole")
 
@@ -166,3 +166,20 @@ def test_one_gzip_file_is_spread_before_decoding(spark, scratch):
             spark.conf.set(k, v)
     b = store.load_telemetry(spark, f"{scratch}/gb", f"{scratch}/logs").counts
     assert a == b and a["total_events"] == 1000
+
+
+def test_stream_counts_every_batch_of_a_run(spark, scratch):
+    """More batches than Spark keeps progress of."""
+    logs_and_csv(spark, scratch)
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(f"{scratch}/logs") for f in fs if f.startswith("part-"))[:5]
+    os.makedirs(f"{scratch}/in")
+    for i, f in enumerate(files):
+        shutil.copy(f, f"{scratch}/in/f{i}.json")
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, 2)
+    try:
+        got = run_incremental_load(spark, f"{scratch}/in", f"{scratch}/db", max_files_per_trigger=1)
+    finally:
+        spark.conf.unset(kept)
+    stored = {r["counter"]: r["n"] for r in stream_counts(spark, f"{scratch}/db").groupBy("counter").agg(F.sum("n").alias("n")).collect()}
+    assert len(files) == 5 and got == stored and sum(got.values()) > 0

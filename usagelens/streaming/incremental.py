@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators import decode as D
@@ -48,9 +47,11 @@ def start_incremental_load(
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     spread_input: bool = False,
+    counted: dict[str, dict[str, int]] | None = None,
 ) -> StreamingQuery:
     """``spread_input`` rebalances a batch's raw lines before the decode, for large files
-    that cannot be split (gzip). ``checkpoint`` must name the same folder on every run."""
+    that cannot be split (gzip). ``checkpoint`` must name the same folder on every run.
+    ``counted`` gets the counters of every batch written, by its load_id."""
     if checkpoint is None:
         checkpoint = f"{stream_folder(root, name)}/checkpoint"
         _own(spark, root, name, source_dir)
@@ -71,6 +72,8 @@ def start_incremental_load(
         counts = [(load_id, k, int(v)) for k, v in obs.get.items()]
         spark.createDataFrame(counts, "load_id string, counter string, n bigint").coalesce(1).write.mode(
             "overwrite").parquet(f"{stream_folder(root, name)}/counts/batch={mark}-{batch_id}")
+        if counted is not None:
+            counted[load_id] = {k: n for _, k, n in counts}
 
     writer = (
         lines.writeStream.foreachBatch(write_batch)
@@ -92,12 +95,10 @@ def stream_counts(spark: SparkSession, root: str, name: str = "telemetry") -> Da
 
 def run_incremental_load(spark: SparkSession, source_dir: str, root: str, name: str = "telemetry", **kw) -> dict[str, int]:
     """Process every file present now; returns the counters of the batches of this run."""
-    q = start_incremental_load(spark, source_dir, root, name, available_now=True, **kw)
+    counted: dict[str, dict[str, int]] = {}
+    q = start_incremental_load(spark, source_dir, root, name, available_now=True, counted=counted, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    batches = [p["batchId"] for p in q.recentProgress if p["numInputRows"]]
-    got = stream_counts(spark, root, name)
-    number = F.substring_index("load_id", "-", -1).cast("bigint")
-    rows = got.where(number.isin(batches)).groupBy("counter").agg(F.sum("n").alias("n")).collect()  # a row a counter
-    return {r["counter"]: int(r["n"]) for r in rows}
+    names = {k: None for counts in counted.values() for k in counts}
+    return {k: sum(counts.get(k, 0) for counts in counted.values()) for k in names}
