@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 from odd import SF_SMALL, odd_documents, odd_rows
 
 from usagelens.llm import packing, sharding
@@ -104,3 +105,18 @@ def test_tokenizer_cache_equals_the_library():
     texts = [r[1] or "" for r in odd_rows()] + ["'s't're", "A\x0bB\x0cC\x85D", "x<|startoftext|>y", "ÀÉß×÷ªº µ", "é İ ΑΣ", "1a2b_3"]
     for t in texts:
         assert tok.ids(t).tolist() == tok.t.encode(t, add_special_tokens=False).ids
+
+
+def test_copies_of_one_key_are_unfolded_by_many_tasks(spark, monkeypatch):
+    from odd import doc
+
+    from usagelens.llm import common, mixing
+
+    monkeypatch.setattr(common, "COPIES_PER_ROW", 16, raising=False)
+    docs = odd_documents(spark, [doc(None, "a b c")] * 1000)
+    shards = sharding.byte_shards(docs)
+    for frame in (shards, mixing.mix(docs)):
+        each = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(each) == 1000 and max(each) <= 700
+    got = sorted((r.shard, r.slot) for r in shards.collect())
+    assert len(set(got)) == 1000 and all(s == (k and got[k - 1][0] == h) * (got[k - 1][1] + 1) for k, (h, s) in enumerate(got))

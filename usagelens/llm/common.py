@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from usagelens.session import scratch_path
 
 TEXTS_PER_BATCH = 1000
+COPIES_PER_ROW = 4096
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
@@ -65,5 +66,17 @@ def width(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(partitions_for(spark), -(-rows // per_task))
 
 
+def unfold(df: DataFrame, *key: str) -> DataFrame:
+    """A row for each of a row's ``copies``, numbered in ``copy`` from 0. Rows of many are cut
+    into chunks of COPIES_PER_ROW, which are dealt out by ``key`` (unique in ``df``) and chunk,
+    so no task unfolds one key's copies alone."""
+    whole = F.lit(COPIES_PER_ROW).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    first = F.col("__chunk") * whole
+    return (df.withColumn("__chunk", F.explode(F.sequence(zero, F.floor((F.col("copies") - one) / whole))))
+            .repartition(partitions_for(df.sparkSession), *key, "__chunk")
+            .withColumn("copy", F.explode(F.sequence(first, F.least(first + whole, F.col("copies")) - one))).drop("__chunk"))
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

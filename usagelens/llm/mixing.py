@@ -19,7 +19,8 @@ block is used once. A shard draws its blocks as a run of the source's block numb
 
 A document's place on the axis comes from prefix sums in two levels: hash buckets of
 about KEYS_PER_BUCKET keys, then within the bucket; so no source, however large, is
-sorted in one task. Rows equal in (doc_id, source, size) are counted first and share a key.
+sorted in one task. Rows equal in (doc_id, source, size) are counted first and share a key;
+they are unfolded in chunks that are dealt out.
 
 Cases: a null or wordless text has size 0 and nothing of it is taken; a null source is a
 source, the last; only the last document of a source's run is cut short; repeated rows
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import ship, stage
+from usagelens.llm.common import ship, stage, unfold
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -149,9 +150,10 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
     bases = sums.select("no", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
     inside = W.partitionBy("no", "bucket").orderBy("h", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     laid = (dealt.withColumn("pre", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
-            .join(bases, ["no", "bucket"])
-            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-            .withColumn("start", F.col("base") + F.col("pre") + F.col("copy") * F.col("size"))
+            .join(bases, ["no", "bucket"]))
+    # Numbered rows have one copy each.
+    laid = laid.withColumn("copy", F.lit(0).cast("long")) if row else unfold(laid, "no", "doc_id", "size", "row")
+    laid = (laid.withColumn("start", F.col("base") + F.col("pre") + F.col("copy") * F.col("size"))
             .join(plan.drop("of", "n_buckets"), "no"))
 
     def drawn(turn: int) -> Column:

@@ -8,7 +8,8 @@ when the whole corpus is cut at equal byte targets, so shards are contiguous run
 each is within one document of its target.
 
 Rows equal in (doc_id, checksum, size) are counted before anything is ordered, so
-thousands of repeated rows travel as one; they take neighbouring places. The ordered
+thousands of repeated rows travel as one; they take neighbouring places, and are unfolded
+in chunks that are dealt out. The ordered
 keys are staged once: range bounds come from a sample, and from then on they are fixed
 whatever is re-run. No row holds text after the first projection.
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import stage, text_or_empty, width
+from usagelens.llm.common import stage, text_or_empty, unfold, width
 
 SHARDS = 16
 KEYS_PER_TASK = 500_000
@@ -54,10 +55,10 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, keys_per_task: int = KEYS
               .withColumn("pre_b", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
               .withColumn("pre_r", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
               .join(bases, "part"))
-    one = placed.select(
-        "doc_id", "size", "text_crc32", "total",
-        (F.col("base_b") + F.col("pre_b")).alias("first_byte"), (F.col("base_r") + F.col("pre_r")).alias("first_row"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    one = unfold(placed.select(
+        "doc_id", "size", "text_crc32", "total", "copies",
+        (F.col("base_b") + F.col("pre_b")).alias("first_byte"), (F.col("base_r") + F.col("pre_r")).alias("first_row")),
+        "doc_id", "text_crc32", "size")
     start = F.col("first_byte") + F.col("copy") * F.col("size")
     cut = one.select("doc_id", "size", "text_crc32", (F.col("first_row") + F.col("copy")).alias("row_no"),
                      F.expr(f"cast(({2 * shards} * cast(first_byte + copy * size as decimal(24,0)) + {shards} * size)"
