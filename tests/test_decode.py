@@ -158,3 +158,33 @@ def test_routing_filters_do_not_reparse_messages(spark):
         filters = [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in ln]
         assert filters and not any("StructField(body" in ln for ln in filters)
         assert df.count() == 1
+
+
+CLOSED_EARLY = ["]", "] junk", "] [{}", "] ]", '],{"logEvents":[]}', ",", ",{}", ',{"m":"1"}]', "}", "] //"]
+
+
+def test_text_that_closes_the_array_itself_is_rejected(spark):
+    import json
+
+    message = json.dumps({"body": "claude_code.user_prompt", "attributes": {"prompt_length": "3"}})
+    event = json.dumps({"id": "1", "message": message})
+    good = '{"logEvents":[' + event + "]}"
+    lines = [good] + [good + tail for tail in CLOSED_EARLY]
+    rows = spark.createDataFrame([(x,) for x in lines], "value string")
+    counts = {r.counter: r.n for r in D.load_counts(rows).collect()}
+    assert counts["malformed_lines"] == len(CLOSED_EARLY) and counts["user_prompts"] == counts["total_events"] == 1
+
+    events = [json.dumps({"id": "1", "message": message + tail}) for tail in CLOSED_EARLY]
+    text = [json.dumps(event + tail) for tail in CLOSED_EARLY]  # elements that are texts of objects
+    rows = spark.createDataFrame([('{"logEvents":[' + ",".join([event, *events, *text]) + "]}",)], "value string")
+    counts = {r.counter: r.n for r in D.load_counts(rows).collect()}
+    assert counts["skipped"] == 2 * len(CLOSED_EARLY) and counts["user_prompts"] == 1 and counts["malformed_lines"] == 0
+
+
+def test_log_events_that_are_no_list_are_malformed(spark):
+    bad = ['{"logEvents":{}}', '{"logEvents":{"a":1}}', '{"logEvents":"ab"}', '{"logEvents":""}', '{"logEvents":5}',
+           '{"logEvents":true}', '{"logEvents":"[]"}']
+    fine = ['{"logEvents":[]}', '{"logEvents":null}', "{}", '{"other":1}']
+    rows = spark.createDataFrame([(x,) for x in bad + fine], "value string")
+    got = {r.line: r.envelope_ok for r in D.parse_lines(rows).select("line", "envelope_ok").collect()}
+    assert got == {**{x: False for x in bad}, **{x: True for x in fine}}

@@ -1,7 +1,7 @@
 """Decode log-batch JSON lines into routed, typed telemetry rows (all JVM-side).
 
 line --strip, drop blank--> envelope (strict: exactly one JSON object per line,
-else the line is *malformed*: quarantined, not counted as skipped)
+with a list of log events, else the line is *malformed*: quarantined, not counted as skipped)
 --explode logEvents--> log event --parse message (strict)--> telemetry event
 --route on body--> kind in {api_request, user_prompt, tool_decision, tool_result,
 api_error} or ``skipped`` (bad/missing message, unknown body).
@@ -13,6 +13,8 @@ decoding is a narrow map over the input splits.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,32 +46,49 @@ def last_wins(m: Column) -> Column:
     return F.map_from_entries(F.map_entries(m))
 
 
-def _bracketed(text: Column, ddl: str) -> Column:
-    """``text`` as the only element of a JSON array: trailing junk or a second value
-    shows as a parse error or a second element."""
-    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), ddl, STRICT_JSON)
+# The name of a field that no input can hold: made anew in every process.
+_MARK = f"m{uuid.uuid4().hex}"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once (an expression used twice inside an
+    array function would be computed twice)."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _marked(text: Column, ddl: str) -> Column:
+    """``text`` as the first element of a JSON array whose last element is the mark. The
+    reader stops at the first closing bracket, so text that closes the array itself
+    (trailing junk after ``]``) loses the mark; a second value shows as a third element."""
+    if ddl.endswith(">>") and "struct<" in ddl.split(":")[0]:
+        ddl = f"{ddl[:-2]}, {_MARK}: string>>"
+    return F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_MARK}":"1"}}]')), ddl, STRICT_JSON)
 
 
-def _one_object(text: Column, ddl: str) -> tuple[Column, Column]:
-    """Parse ``text`` as exactly one JSON value of the given element type."""
-    arr = _bracketed(text, ddl)
-    ok = arr.isNotNull() & (F.size(arr) == 1) & arr.getItem(0).isNotNull()
-    return ok, arr.getItem(0)
+def _is_sole(arr: Column) -> Column:
+    """Whether a ``_marked`` array holds one value and the mark."""
+    mark = arr.getItem(1).getItem(_MARK)
+    return F.coalesce((F.size(arr) == 2) & arr.getItem(0).isNotNull() & mark.isNotNull(), F.lit(False))
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Stripped, non-blank lines with ``envelope_ok`` and the parsed envelope."""
+    """Stripped, non-blank lines with ``envelope_ok`` and the parsed envelope. A line that is
+    not exactly one JSON object, or whose ``logEvents`` is neither a list nor null, is malformed."""
     spark = lines.sparkSession
     ensure_semantics(spark)
     text = strip_ws(F.col(column))
     stripped = lines.select(text.alias("line")).where(F.length("line") > 0)
-    ok, env = _one_object(F.col("line"), ENVELOPE_DDL)
-    return stripped.select("line", ok.alias("envelope_ok"), env.alias("envelope"))
+    parsed = stripped.withColumn("_arr", _marked(F.col("line"), ENVELOPE_DDL))
+    arr = F.col("_arr")
+    # A list that did not come out is absent, null, or something else: only then its text is read.
+    other = _marked(F.col("line"), "array<struct<logEvents: string>>").getItem(0).getField("logEvents")
+    listed = F.when(arr.getItem(0).getField("logEvents").isNull(), other.isNull()).otherwise(F.lit(True))
+    return parsed.select("line", (_is_sole(arr) & listed).alias("envelope_ok"), arr.getItem(0).alias("envelope"))
 
 
 def parsed_events(log_events: Column) -> Column:
     """An envelope's log events (JSON texts), each as ``struct(log_event, _msg)``: the
-    event map with repeated keys resolved, and its message parsed (bracketed, for the
+    event map with repeated keys resolved, and its message parsed (marked, for the
     strict one-object test). Elements are parsed one by one: one that isn't an object
     has a NULL map and message, and is a skipped event like any other bad one.
 
@@ -78,11 +97,10 @@ def parsed_events(log_events: Column) -> Column:
     skipped events left out of the store) cannot be pushed below the explode, so it
     reads the parsed value instead of Catalyst inlining a fresh parse into it."""
     def element(text: Column) -> Column:
-        arr = _bracketed(text, LOG_EVENT_DDL)
-        return F.when(F.size(arr) == 1, last_wins(arr.getItem(0)))
+        return _let(_marked(text, LOG_EVENT_DDL), lambda arr: F.when(_is_sole(arr), last_wins(arr.getItem(0))))
 
     def one(le: Column) -> Column:
-        return F.struct(le.alias("log_event"), _bracketed(F.element_at(le, F.lit("message")), MESSAGE_DDL).alias("_msg"))
+        return F.struct(le.alias("log_event"), _marked(F.element_at(le, F.lit("message")), MESSAGE_DDL).alias("_msg"))
 
     return F.transform(F.transform(log_events, element), one)
 
@@ -111,11 +129,9 @@ def telemetry(events: DataFrame) -> DataFrame:
         staged = events
     else:
         msg = F.element_at(F.col("log_event"), F.lit("message"))
-        arr = _bracketed(msg, MESSAGE_DDL)
-        staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", arr)
-    ok = F.col("_msg").isNotNull() & (F.size("_msg") == 1) & F.col("_msg").getItem(0).isNotNull()
+        staged = events.withColumn("log_event", last_wins(F.col("log_event"))).withColumn("_msg", _marked(msg, MESSAGE_DDL))
     return staged.select(
-        *[c for c in events.columns if c != "_msg"], F.coalesce(ok, F.lit(False)).alias("message_ok"),
+        *[c for c in events.columns if c != "_msg"], _is_sole(F.col("_msg")).alias("message_ok"),
         F.col("_msg").getItem(0).alias("event"),
     )
 

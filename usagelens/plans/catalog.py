@@ -217,17 +217,23 @@ def _extreme_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log line per event, spoiled by its event id (% 10): 1 the line, 2 the message, 3
-    the body, 4 a number beside the event, 5 a single-quoted message, 6 a cut log event."""
+    """One log line per event, spoiled by its event id (% 14): 1 the line, 2 the message, 3
+    the body, 4 a number beside the event, 5 a single-quoted message, 6 a cut log event, 7-9
+    the line closed once more with nothing, junk or another value behind, 10 the message closed
+    once more, 11 and 12 an object and a text in place of the list."""
     e = encode_facts(_tables(spark, sf_dir))
-    m = F.col("log_id").cast("bigint") % 10
+    m = F.col("log_id").cast("bigint") % 14
     text = F.to_json("message")
     text = (F.when(m == 2, F.concat(text, F.lit("}"))).when(m == 3, F.replace(text, F.lit('"body":"'), F.lit('"body":"x')))
-            .when(m == 5, F.lit("{'body': 'claude_code.user_prompt'}")).otherwise(text))
+            .when(m == 5, F.lit("{'body': 'claude_code.user_prompt'}")).when(m == 10, F.concat(text, F.lit("] junk")))
+            .otherwise(text))
     event = F.to_json(F.struct(F.col("log_id").alias("id"), text.alias("message")))
     event = F.when(m == 4, F.concat(F.lit("5,"), event)).when(m == 6, F.lit('"cut"')).otherwise(event)
     line = F.concat(F.lit('{"logEvents":['), event, F.lit("]}"))
-    return e.select(F.when(m == 1, F.replace(line, F.lit('"logEvents"'), F.lit("'logEvents'"))).otherwise(line).alias("value"))
+    after = F.when(m == 7, F.lit("]")).when(m == 8, F.lit("] junk")).when(m == 9, F.lit("] [{}")).otherwise(F.lit(""))
+    return e.select(F.when(m == 1, F.replace(line, F.lit('"logEvents"'), F.lit("'logEvents'")))
+                    .when(m == 11, F.lit('{"logEvents":{"a":1}}')).when(m == 12, F.lit('{"logEvents":"ab"}'))
+                    .otherwise(F.concat(line, after)).alias("value"))
 
 
 def _stored_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
