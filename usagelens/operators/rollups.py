@@ -3,8 +3,7 @@
 Result columns, group keys and limits are fixed values of the page. Numeric rules, the
 same for every join shape and restated by the DuckDB oracle:
 
-* finite costs are summed as DECIMAL(38,15), one fixed type however often partial sums
-  are summed again; a cost or a sum beyond it stops the query with an error;
+* costs of any size are summed exactly, in any order (``operators/costs.py``);
 * a NaN or infinite cost makes its group's sum and average NaN or infinite;
 * sums are rounded half-up; averages and percentages are rounded half-up once, from
   integers, never by dividing decimals;
@@ -14,37 +13,19 @@ same for every join shape and restated by the DuckDB oracle:
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.labels import error_label, heatmap_day_order, model_short_name, weekday_name
+from usagelens.operators.costs import BinnedCosts, PlainCosts, half_up_quotient, measure_costs
 from usagelens.operators.filters import UsageFilters, date_bounds
 from usagelens.operators.star import DEFAULT_LIMIT_BYTES, broadcast_allowed, join_employees
 from usagelens.tables import UsageTables
 
 
-COST_TYPE = "decimal(38,15)"
-
-
-def _finite() -> Column:
-    c = F.col("cost_usd")
-    return ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-
-
-def cost() -> Column:
-    """A finite cost as COST_TYPE; an error, not NULL, where it doesn't fit."""
-    exact = F.col("cost_usd").try_cast(COST_TYPE)
-    beyond = F.raise_error(F.concat(F.lit("cost beyond " + COST_TYPE + ": "), F.col("cost_usd").cast("string")))
-    return F.when(_finite(), F.coalesce(exact, beyond.cast(COST_TYPE)))
-
-
-def odd_cost() -> Column:
-    """The non-finite costs, as a double that sums to NaN or infinity; 0 for others."""
-    return F.when(F.col("cost_usd").isNull() | _finite(), F.lit(0.0)).otherwise(F.col("cost_usd"))
-
-
 def tokens() -> Column:
     return F.col("input_tokens").cast("long") + F.col("output_tokens").cast("long")
 
@@ -54,15 +35,6 @@ def p_n() -> Column:
     return F.lit(1).cast("long")
 
 
-def p_cost_n() -> Column:
-    return F.when(F.col("cost_usd").isNotNull(), F.lit(1)).cast("long")
-
-
-def cost_parts() -> dict[str, Column]:
-    """The additive parts of a cost sum or average."""
-    return {"cost": cost(), "cost_n": p_cost_n(), "odd_cost": odd_cost()}
-
-
 def p_tokens_n() -> Column:
     return F.when(tokens().isNotNull(), F.lit(1)).cast("long")
 
@@ -74,41 +46,6 @@ def p_success() -> Column:
 HOURS = list(range(24))
 
 
-def _sum_cost() -> Column:
-    """The finite costs' sum; an error where it left the type (NULL without ANSI mode)."""
-    total = F.sum("cost")
-    return F.when(total.isNull() & (F.count("cost") > 0), F.raise_error(F.lit("cost sum beyond " + COST_TYPE)).cast(COST_TYPE)
-                  ).otherwise(total)
-
-
-def _or_odd(value: Column) -> Column:
-    odd = F.sum("odd_cost")
-    return F.when(odd != 0, odd).otherwise(value)
-
-
-def money(scale: int = 2) -> Column:
-    """The rounded sum of a group's costs, as DOUBLE."""
-    return _or_odd(F.round(_sum_cost(), scale).cast("double"))
-
-
-def half_up_quotient(total: Column, count: Column, scale: int) -> Column:
-    """``total / count`` rounded half away from zero to ``scale`` digits; NULL for count 0.
-
-    Exact: ``total`` (COST_TYPE or BIGINT) is split into whole and fraction, scaled by
-    2 * 10^scale as integers, and divided once."""
-    unit, size = 10 ** scale, F.abs(total.cast(COST_TYPE))
-    whole = F.floor(size).cast("decimal(23,0)")
-    fraction = F.floor((size % F.lit(1).cast("decimal(1,0)")) * F.lit(2 * unit)).cast("decimal(10,0)")
-    halves = (whole * F.lit(2 * unit).cast("decimal(7,0)")).cast("decimal(32,0)") + fraction + count.cast("decimal(20,0)")
-    n = F.when(count > 0, count)
-    quotient = F.call_function("div", halves.cast("decimal(38,0)"), (n * 2).cast("decimal(38,0)"))
-    return F.when(total < 0, -quotient).otherwise(quotient).cast("double") / F.lit(float(unit))
-
-
-def avg_cost(scale: int) -> Column:
-    return _or_odd(half_up_quotient(_sum_cost(), F.sum("cost_n"), scale))
-
-
 def percent_1dp(hits: str, total: str) -> Column:
     """``ROUND(100.0 * hits / total, 1)``, half-up, in exact integer arithmetic."""
     return F.expr(f"cast((2000 * {hits} + {total}) div (2 * {total}) as double) / 10")
@@ -118,7 +55,8 @@ class UsagePage:
     """One page state: the tables, resolved filters and the chosen join shape.
 
     Building it runs two small jobs: the date bounds (when the range is unset and the
-    source does not know its days) and the size check of the employee dimension.
+    source does not know its days) and the size check of the employee dimension. The first
+    query that sums costs runs a third (``costs``).
     """
 
     def __init__(
@@ -140,7 +78,15 @@ class UsagePage:
 
     # -- one scan for the whole page -----------------------------------------
     BASE_GRAIN = ("session_id", "model", "day", "hour")
-    BASE_PARTS = ("n", "cost", "cost_n", "odd_cost", "tokens", "tokens_n")
+
+    @cached_property
+    def costs(self) -> PlainCosts | BinnedCosts:
+        """How this page's costs are summed: one small job over one column, when first needed."""
+        return measure_costs(self._requests())
+
+    def _requests(self) -> DataFrame:
+        facts = self.tables.api_requests
+        return facts.where(self.filters.time_predicate(facts) & self.filters.model_predicate())
 
     def share(self) -> "UsagePage":
         """Scan and filter the API requests once for every request rollup of the page.
@@ -150,12 +96,9 @@ class UsagePage:
         smaller) frame instead of the fact table. Exact: every rollup's grain is
         a function of this grain and every part is a sum. ``unshare()`` frees it."""
         if self._base is None:
-            f = self.filters
-            facts = self.tables.api_requests
-            facts = facts.where(f.time_predicate(facts) & f.model_predicate())
-            parts = {"n": p_n(), **cost_parts(), "tokens": tokens(), "tokens_n": p_tokens_n()}
+            parts = {"n": p_n(), **self.costs.parts(), "tokens": tokens(), "tokens_n": p_tokens_n()}
             self._base = (
-                facts.groupBy("user_email", "session_id", "model",
+                self.costs.prepare(self._requests()).groupBy("user_email", "session_id", "model",
                               F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("hour"))
                 .agg(*[F.sum(c).alias(n) for n, c in parts.items()])
                 .persist()
@@ -171,7 +114,7 @@ class UsagePage:
         derived = {"dow": F.dayofweek("day")}
         g = {name: derived.get(name, F.col(name)) for name in grain}
         unknown = [n for n in grain if n not in self.BASE_GRAIN and n not in derived]
-        unknown += [n for n in parts if n not in self.BASE_PARTS]
+        unknown += [n for n in parts if n not in ("n", *self.costs.names, "tokens", "tokens_n")]
         if unknown:
             raise ValueError(f"not derivable from the shared base: {unknown}")
         return self._base, g, {n: F.col(n) for n in parts}
@@ -197,6 +140,8 @@ class UsagePage:
             if extra is not None:
                 pred = extra & pred
             facts = facts.where(pred)
+            if "cost_n" in parts:
+                facts = self.costs.prepare(facts)
         if grain:
             facts = facts.withColumns(dict(grain))
         emp = self.tables.employees.where(f.employee_predicate())
@@ -208,26 +153,26 @@ class UsagePage:
         (about 2% error, fixed memory) instead of exact distinct counts."""
         j = self.joined(
             "api_requests", {"session_id": F.col("session_id")},
-            {"n": p_n(), **cost_parts(), "tokens": tokens()},
+            {"n": p_n(), **self.costs.parts(), "tokens": tokens()},
         )
         # One row per (user, session) first: the distinct counts then expand few rows.
         j = j.groupBy("user_email", "session_id").agg(
-            *[F.sum(c).alias(c) for c in ("n", "cost", "cost_n", "odd_cost", "tokens")])
+            *[F.sum(c).alias(c) for c in ("n", *self.costs.names, "tokens")])
         distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
         return j.agg(
             distinct("session_id").alias("total_sessions"),
             F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_api_calls"),
-            money().alias("total_cost"),
-            avg_cost(4).alias("avg_cost_per_call"),
+            self.costs.money().alias("total_cost"),
+            self.costs.average(4).alias("avg_cost_per_call"),
             F.sum("tokens").alias("total_tokens"),
             distinct("user_email").alias("active_users"),
         )
 
     # -- Q2 ------------------------------------------------------------------
     def model_usage(self, prefix: str | None = None) -> DataFrame:
-        j = self.joined("api_requests", {"model": F.col("model")}, {"n": p_n(), **cost_parts()})
+        j = self.joined("api_requests", {"model": F.col("model")}, {"n": p_n(), **self.costs.parts()})
         out = j.groupBy("model").agg(
-            F.sum("n").alias("api_calls"), money().alias("total_cost")
+            F.sum("n").alias("api_calls"), self.costs.money().alias("total_cost")
         )
         short = model_short_name("model") if prefix is None else model_short_name("model", prefix)
         return out.withColumn("model_short", short).orderBy(
@@ -236,8 +181,8 @@ class UsagePage:
 
     # -- Q3 / Q4 -------------------------------------------------------------
     def _practice_costs(self) -> DataFrame:
-        j = self.joined("api_requests", {}, {"n": p_n(), **cost_parts()}, ["practice"])
-        return j.groupBy("practice").agg(money().alias("total_cost"), F.sum("n").alias("api_calls"))
+        j = self.joined("api_requests", {}, {"n": p_n(), **self.costs.parts()}, ["practice"])
+        return j.groupBy("practice").agg(self.costs.money().alias("total_cost"), F.sum("n").alias("api_calls"))
 
     def cost_by_practice(self) -> DataFrame:
         return self._practice_costs().orderBy(F.desc_nulls_last("total_cost"), F.col("practice").asc_nulls_last())
@@ -251,9 +196,9 @@ class UsagePage:
 
     # -- Q5 ------------------------------------------------------------------
     def daily_usage(self) -> DataFrame:
-        j = self.joined("api_requests", {"day": F.to_date("timestamp")}, {"n": p_n(), **cost_parts()})
+        j = self.joined("api_requests", {"day": F.to_date("timestamp")}, {"n": p_n(), **self.costs.parts()})
         return j.groupBy("day").agg(
-            F.sum("n").alias("api_calls"), money().alias("daily_cost")
+            F.sum("n").alias("api_calls"), self.costs.money().alias("daily_cost")
         ).orderBy("day")
 
     # -- Q6 / Q7 -------------------------------------------------------------
@@ -278,12 +223,12 @@ class UsagePage:
         "numeric"`` sorts by the number after the letter instead."""
         j = self.joined(
             "api_requests", {},
-            {"tokens": tokens(), "tokens_n": p_tokens_n(), **cost_parts()},
+            {"tokens": tokens(), "tokens_n": p_tokens_n(), **self.costs.parts()},
             ["level"],
         )
         out = j.groupBy("level").agg(
             half_up_quotient(F.sum("tokens"), F.sum("tokens_n"), 0).alias("avg_tokens"),
-            avg_cost(5).alias("avg_cost"),
+            self.costs.average(5).alias("avg_cost"),
         )
         if level_order == "numeric":
             num = F.regexp_extract("level", r"(\d+)", 1).try_cast("int")
@@ -327,9 +272,9 @@ class UsagePage:
 
     # -- Q11 -----------------------------------------------------------------
     def cost_by_location(self) -> DataFrame:
-        j = self.joined("api_requests", {}, {"n": p_n(), **cost_parts()}, ["location"])
+        j = self.joined("api_requests", {}, {"n": p_n(), **self.costs.parts()}, ["location"])
         return j.groupBy("location").agg(
-            money().alias("total_cost"),
+            self.costs.money().alias("total_cost"),
             F.count_distinct("email").alias("engineers"),
             F.sum("n").alias("api_calls"),
         ).orderBy(F.desc_nulls_last("total_cost"), F.col("location").asc_nulls_last())
@@ -339,13 +284,13 @@ class UsagePage:
         keys = ["full_name", "practice", "level", "location"]
         j = self.joined(
             "api_requests", {"session_id": F.col("session_id")},
-            {"n": p_n(), **cost_parts(), "tokens": tokens()}, keys,
+            {"n": p_n(), **self.costs.parts(), "tokens": tokens()}, keys,
         )
         return (
             j.groupBy(*keys).agg(
                 F.count_distinct("session_id").alias("sessions"),
                 F.sum("n").alias("api_calls"),
-                money().alias("total_cost"),
+                self.costs.money().alias("total_cost"),
                 F.sum("tokens").alias("total_tokens"),
             )
             .orderBy(F.desc_nulls_last("total_cost"), *[F.col(k).asc_nulls_last() for k in keys])

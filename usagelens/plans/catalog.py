@@ -23,7 +23,8 @@ from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
 from usagelens.operators.filters import UsageFilters, date_bounds, filter_options
-from usagelens.operators.rollups import UsagePage, cost, money, odd_cost
+from usagelens.operators.costs import measure_costs
+from usagelens.operators.rollups import UsagePage
 from usagelens.plans import oracle
 from usagelens.sources.standin import (MODEL_HEAD, MODEL_TAIL, dirty_number, extreme_requests, read_table,
                                        standin_tables)
@@ -205,14 +206,16 @@ def _stored_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extreme_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 over costs of very different size and token counts beyond 32 bits, by every plan
-    shape: broadcast join, shuffle join, shared base."""
+    shape: broadcast join, shuffle join, shared base; once with costs that one decimal holds,
+    once with costs from 1e-300 to 1e300."""
     t = _tables(spark, sf_dir)
-    t = replace(t, api_requests=extreme_requests(t.api_requests))
     out = None
-    for shape in ("broadcast", "shuffle", "shared"):
-        p = UsagePage(t, DEFAULT, broadcast=shape != "shuffle")
-        row = (p.share() if shape == "shared" else p).kpi().withColumn("shape", F.lit(shape))
-        out = row if out is None else out.unionByName(row)
+    for sizes in ("wide", "any"):
+        odd = replace(t, api_requests=extreme_requests(t.api_requests, sizes == "any"))
+        for shape in ("broadcast", "shuffle", "shared"):
+            p = UsagePage(odd, DEFAULT, broadcast=shape != "shuffle")
+            row = (p.share() if shape == "shared" else p).kpi().withColumns({"shape": F.lit(shape), "sizes": F.lit(sizes)})
+            out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -265,8 +268,11 @@ def _event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q15: summed cost over all API-request events; 0 when there is none."""
-    d = _decoded(spark, sf_dir).where(F.col("kind") == "api_request").select(cost().alias("cost"), odd_cost().alias("odd_cost"))
-    return d.agg(F.coalesce(money(), F.lit(0.0)).alias("total_cost"))
+    # The one column is staged, so that a look at the costs doesn't decode the lines again.
+    d = stage_table(_decoded(spark, sf_dir).where(F.col("kind") == "api_request").select("cost_usd"), "costs")
+    costs = measure_costs(d)
+    d = costs.prepare(d).select(*[c.alias(n) for n, c in costs.parts().items()])
+    return d.agg(F.coalesce(costs.money(), F.lit(0.0)).alias("total_cost"))
 
 
 def _envelope_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

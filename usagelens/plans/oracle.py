@@ -340,11 +340,24 @@ def model_short_name() -> str:
 
 
 def extreme_costs() -> str:
-    """``standin.extreme_requests`` restated; the same row for every plan shape."""
-    return page(f"""SELECT shape, k.* FROM (SELECT {kpi_columns()} FROM hits) k,
-(VALUES ('broadcast'), ('shuffle'), ('shared')) s(shape)""", UsageFilters(), "odd_requests", tables="""odd_requests AS (
-  SELECT * REPLACE (CASE CAST(event_id AS BIGINT) % 5 WHEN 0 THEN 0.0000499999 WHEN 1 THEN 2e10 ELSE cost_usd / 1e12 END AS cost_usd,
-                    3000000000 AS input_tokens) FROM api_requests)""")
+    """``standin.extreme_requests`` restated; the same row for every plan shape. Of costs of
+    any size, those of 1e300 decide every digit of a double: their number with the exponent,
+    and 30 digits of its quotient by the count."""
+    odd = """{name} AS (
+  SELECT * REPLACE (CASE CAST(event_id AS BIGINT) % {of} WHEN 0 THEN 0.0000499999 WHEN 1 THEN 2e10 {more} ELSE cost_usd / 1e12 END AS cost_usd,
+                    3000000000 AS input_tokens) FROM api_requests)"""
+    huge = "CAST(COUNT(*) FILTER (WHERE cost_usd = 1e300) AS HUGEINT)"
+    shapes = "(VALUES ('broadcast'), ('shuffle'), ('shared')) s(shape)"
+    any_hits = page("", UsageFilters(), "any_requests").split("hits AS ", 1)[1].strip()
+    return page(f"""SELECT 'wide' AS sizes, shape, k.* FROM (SELECT {kpi_columns()} FROM hits) k, {shapes}
+UNION ALL
+SELECT 'any', shape, k.* FROM (
+  SELECT COUNT(DISTINCT session_id), COUNT(*), CAST(CAST({huge} AS VARCHAR) || 'e300' AS DOUBLE),
+         CAST(CAST({huge} * CAST(1000000000000000000000000000000 AS HUGEINT) // COUNT(cost_usd) AS VARCHAR) || 'e270' AS DOUBLE),
+         {TOKENS}, COUNT(DISTINCT usr) FROM any_hits) k, {shapes}""", UsageFilters(), "odd_requests",
+                tables=odd.format(name="odd_requests", of=5, more="") + ", "
+                + odd.format(name="any_requests", of=8, more="WHEN 2 THEN 1e300 WHEN 3 THEN 1e23 WHEN 4 THEN 1e-300"),
+                more="any_hits AS " + any_hits)
 
 
 def employee_append() -> str:

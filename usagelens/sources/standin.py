@@ -49,11 +49,14 @@ def dirty_number(event_id: Column, clean: Column) -> Column:
     return out
 
 
-def extreme_requests(requests: DataFrame) -> DataFrame:
+def extreme_requests(requests: DataFrame, any_size: bool = False) -> DataFrame:
     """Requests whose costs are far apart (just below a rounding edge, beyond 10^10, below
-    10^-9) and whose token counts pass 32 bits."""
-    m = F.col("event_id").cast("bigint") % 5
-    cost = F.when(m == 0, F.lit(0.0000499999)).when(m == 1, F.lit(2e10)).otherwise(F.col("cost_usd") / 1e12)
+    10^-9; with ``any_size`` also 1e300, 1e23 and 1e-300) and whose token counts pass 32 bits."""
+    m = F.col("event_id").cast("bigint") % (8 if any_size else 5)
+    cost = F.when(m == 0, F.lit(0.0000499999)).when(m == 1, F.lit(2e10))
+    if any_size:
+        cost = cost.when(m == 2, F.lit(1e300)).when(m == 3, F.lit(1e23)).when(m == 4, F.lit(1e-300))
+    cost = cost.otherwise(F.col("cost_usd") / 1e12)
     return requests.withColumn("cost_usd", cost).withColumn("input_tokens", F.lit(3_000_000_000).cast("bigint"))
 
 
