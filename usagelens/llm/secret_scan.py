@@ -2,8 +2,9 @@
 
 *Candidates* are the values of assignments to a name that speaks of a secret (a quoted one
 up to its closing quote on the line, another up to the next blank, quote, comma, semicolon
-or closing bracket, whatever the length), whole
-private-key blocks, values with a provider's prefix (anywhere in the text), and in any
+or closing bracket, whatever the length), private-key blocks (a header, the base64 lines right
+after it, and the footer where it follows them; a header without such a line is none, so
+text that only mentions one is left alone), values with a provider's prefix (anywhere in the text), and in any
 other white-space delimited piece of at least MIN_PIECE characters every run of key
 characters that holds a digit. Where one overlaps another of an earlier rule, what is
 left of it on either side is a candidate by itself.
@@ -14,12 +15,15 @@ and the share of neighbouring letters that frequent words have next to each othe
 dictionary coverage (the share of its letters in words of the dictionary, which are the
 term classes that at least DICTIONARY_SHARE of all documents hold); path marks (slashes,
 dots, at signs, a scheme); and the words around it (names of secrets, names of harmless
-digests and numbers, an assignment sign, quotes).
+digests and numbers, an assignment sign, quotes). Path marks are those of the whole
+white-space delimited piece around it, whatever its length; the words are those of the
+WINDOW characters before it.
 
 *Labelled findings* train the forest: a candidate counts as a secret if a provider's
 prefix or a quoted assignment names it so and the value is not a placeholder, and as a
 false positive if it is an address, a link, a path, a plain number, a version, a
-placeholder or the value of a digest's or number's name; the rest have no label. Labels
+placeholder or the value of a digest's or number's name; the rest have no label. Only values
+of less than LONG_VALUE characters can be placeholders: a longer one holds such a word by chance. Labels
 look at the piece's exact form, the forest at the features, so it also judges what no
 rule names. At most SAMPLE_PER_CLASS findings of each rule and class, those with the least
 hash, train it; labelled findings from elsewhere can be passed instead (``fit_forest``).
@@ -41,6 +45,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -62,6 +67,8 @@ DEPTH = 8
 MIN_LEAF = 3
 THRESHOLD = 0.5
 MARK = "[SECRET]"
+LONG_VALUE = 64
+WINDOW = 200
 
 # Names that announce a secret, and names of harmless look-alikes.
 SECRET_NAMES = ("token", "secret", "passw", "pwd", "apikey", "api_key", "api-key", "access_key", "accesskey",
@@ -75,7 +82,12 @@ _ASSIGNED = re.compile(
     r"(?:\"((?:[^\"\\\r\n]|\\[^\r\n]){6,})\"|'((?:[^'\\\r\n]|\\[^\r\n]){6,})'|[\"']([^\s\"']{6,})|([^\s\"',;)\]}]{6,}))")
 _PROVIDER = re.compile(r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}"
                        r"|sk_live_[0-9A-Za-z]{16,}|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]{5,})")
-_PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,40}PRIVATE KEY-----|\Z)", re.S)
+_KEY_HEADER = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+_KEY_FOOTER = re.compile(r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+_KEY_GAP = re.compile(r"(?:\s|\\[nrt])*(?:(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n\\]{0,200}(?:\s|\\[nrt])*){0,4}")
+_KEY_BREAK = re.compile(r"[\r\n]|\\[nr]")
+_KEY_LINE = re.compile(r"[A-Za-z0-9+/=]+")
+_BLANK = re.compile(r"\s")
 _PIECE = re.compile(r"\S{%d,}" % MIN_PIECE)
 _CORE = re.compile(r"[A-Za-z0-9+/=_\-]{%d,}" % MIN_RUN)
 _HARMLESS_FORM = re.compile(
@@ -88,12 +100,40 @@ NAMES = ("length", "digits", "upper", "hex", "distinct", "entropy", "transitions
          "dots", "at", "scheme", "secret_name", "harmless_name", "assigned", "quoted")
 
 
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of private-key blocks: to the footer, or to the last base64 line where none
+    follows. Short runs of letters are part of a key only as lines of their own before a footer."""
+    at = 0
+    while header := _KEY_HEADER.search(text, at):
+        first = at = header.end()
+        last = None
+        while True:
+            here = _KEY_GAP.match(text, at).end()
+            footer, line = _KEY_FOOTER.match(text, here), _KEY_LINE.match(text, here)
+            if footer or not line:
+                break
+            word, own_line = line[0], _KEY_BREAK.search(text, at, here)
+            long = len(word) >= MIN_PIECE and not (word.isalpha() and (word.isupper() or word[1:].islower()))
+            if not long and not own_line:
+                if last is not None:  # the short end of a key on one line
+                    footer = _KEY_FOOTER.match(text, _KEY_GAP.match(text, line.end()).end())
+                break
+            at = line.end()
+            last = at if long else last
+        if footer and at > first:
+            at = footer.end()
+            yield header.start(), at
+        elif last is not None:
+            at = last
+            yield header.start(), last
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, rule), in order, without overlaps: earlier rules take precedence."""
     found: list[tuple[int, int, str]] = []
     low = text.lower()
-    if "private key-----" in low:
-        found += [(m.start(), m.end(), "private_key") for m in _PRIVATE_KEY.finditer(text)]
+    if "private key" in low:
+        found += [(a, b, "private_key") for a, b in key_blocks(text)]
     found = _add([], found)
     found = _add(found, [(m.start(), m.end(), "provider") for m in _PROVIDER.finditer(text)])
     if any(name in low for name in SECRET_NAMES):
@@ -127,15 +167,31 @@ def _add(taken: list[tuple[int, int, str]], new: list[tuple[int, int, str]]) ->
     return sorted(taken + [f for f in _left(taken, new) if f in whole])
 
 
-def around(text: str, start: int, end: int) -> tuple[str, str, str]:
-    """(what stands before, the whole piece, what stands after), each short."""
-    left = start
-    while left > 0 and start - left < 200 and not text[left - 1].isspace():
-        left -= 1
-    right = end
-    while right < len(text) and right - end < 200 and not text[right].isspace():
-        right += 1
-    return text[max(0, left - 60):start].lower(), text[left:right], text[end:end + 3]
+class Pieces:
+    """The white-space delimited pieces of a text: their ends and marks, each looked up once."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.blanks = [m.start() for m in _BLANK.finditer(text)]
+        self.seen: dict[tuple[int, int], tuple[list[float], bool]] = {}
+
+    def marks(self, start: int, end: int) -> tuple[list[float], bool]:
+        """(share of slashes, of dots, has an at sign, has a scheme; form of a harmless value) of
+        the piece, or pieces, that hold the value."""
+        i, j = bisect_left(self.blanks, start), bisect_left(self.blanks, end)
+        left = self.blanks[i - 1] + 1 if i else 0
+        right = self.blanks[j] if j < len(self.blanks) else len(self.text)
+        if (left, right) not in self.seen:
+            piece = self.text[left:right]
+            marks = [piece.count("/") / len(piece), piece.count(".") / len(piece), float("@" in piece), float("://" in piece)]
+            self.seen[left, right] = marks, bool(_HARMLESS_FORM.fullmatch(piece.strip("\"'.,;:()[]{}<>*!#$%&|")))
+        return self.seen[left, right]
+
+    def before(self, start: int) -> str:
+        """What stands before a value: from a little before its piece, of a long piece the last part."""
+        i = bisect_left(self.blanks, start)
+        left = max(self.blanks[i - 1] + 1 if i else 0, start - WINDOW)
+        return self.text[max(0, left - 60):start].lower()
 
 
 def _names(before: str, names: tuple[str, ...]) -> bool:
@@ -143,9 +199,9 @@ def _names(before: str, names: tuple[str, ...]) -> bool:
     return any(n in w for w in last for n in names)
 
 
-def features(text: str, start: int, end: int, dictionary: np.ndarray) -> list[float]:
-    value = text[start:end]
-    before, piece, after = around(text, start, end)
+def features(pieces: Pieces, start: int, end: int, dictionary: np.ndarray) -> list[float]:
+    value, after = pieces.text[start:end], pieces.text[end:end + 1]
+    before, (marks, _) = pieces.before(start), pieces.marks(start, end)
     n = len(value)
     kinds = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in value]
     shares = [k / n for k in Counter(value).values()]
@@ -155,9 +211,8 @@ def features(text: str, start: int, end: int, dictionary: np.ndarray) -> list[fl
     return [float(n), kinds.count(0) / n, kinds.count(2) / n, sum(c in "0123456789abcdefABCDEF" for c in value) / n,
             len(shares) / n, -sum(s * math.log2(s) for s in shares),
             sum(a != b for a, b in zip(kinds, kinds[1:])) / n, pairs / n, sum(map(len, known)) / n,
-            piece.count("/") / len(piece), piece.count(".") / len(piece), float("@" in piece), float("://" in piece),
-            float(_names(before, SECRET_NAMES)), float(_names(before, HARMLESS_NAMES)),
-            float(before.rstrip("\"' ")[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'") and after[:1] in ("\"", "'"))]
+            *marks, float(_names(before, SECRET_NAMES)), float(_names(before, HARMLESS_NAMES)),
+            float(before.rstrip("\"' ")[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'") and after in ("\"", "'"))]
 
 
 # Frequent neighbouring letters of the languages in the tables.
@@ -170,18 +225,19 @@ def _in(word: str, dictionary: np.ndarray) -> bool:
     return bool(dictionary[slots(h)][0])
 
 
-def label(text: str, start: int, end: int, rule: str) -> int | None:
+def label(pieces: Pieces, start: int, end: int, rule: str) -> int | None:
     """1 a secret, 0 a false positive, None unknown."""
-    value = text[start:end]
-    before, piece, _ = around(text, start, end)
-    low = value.lower()
-    if any(p in low for p in PLACEHOLDERS) or len(set(value)) <= 3:
+    value = pieces.text[start:end]
+    if rule == "private_key":
+        return 1
+    before, low = pieces.before(start), value.lower()
+    if len(value) < LONG_VALUE and any(p in low for p in PLACEHOLDERS) or len(set(value)) <= 3:
         return 0
     if rule in CERTAIN:
         return 1
     if rule == "assigned":
         return 1 if before[-1:] in ("\"", "'") and len(value) >= 12 and any(c.isdigit() for c in value) else None
-    if _HARMLESS_FORM.fullmatch(piece.strip("\"'.,;:()[]{}<>*!#$%&|")) or _names(before, HARMLESS_NAMES):
+    if pieces.marks(start, end)[1] or _names(before, HARMLESS_NAMES):
         return 0
     return None
 
@@ -259,12 +315,13 @@ class Scanner:
         found = candidates(text)
         if not found:
             return []
+        pieces = Pieces(text)
         if self.forest is None:
-            marks = [label(text, *f) for f in found]
+            marks = [label(pieces, *f) for f in found]
             p = [float(m) if m is not None else float(f[2] == "assigned") for m, f in zip(marks, found)]
         else:
-            p = self.forest.probability(np.array([features(text, a, b, self.dictionary) for a, b, _ in found])).tolist()
-            p = [1.0 if f[2] in CERTAIN and label(text, *f) == 1 else q for f, q in zip(found, p)]
+            p = self.forest.probability(np.array([features(pieces, a, b, self.dictionary) for a, b, _ in found])).tolist()
+            p = [1.0 if f[2] in CERTAIN and label(pieces, *f) == 1 else q for f, q in zip(found, p)]
         return [(*f, q) for f, q in zip(found, p)]
 
 
@@ -273,11 +330,13 @@ def labelled_batches(batches: Iterator[pa.RecordBatch], dictionary: np.ndarray)
         rows = []
         for t in batch.column(0):
             text = t.as_py()
-            for a, b, rule in candidates(text):
-                y = label(text, a, b, rule)
+            found = candidates(text)
+            pieces = Pieces(text) if found else None
+            for a, b, rule in found:
+                y = label(pieces, a, b, rule)
                 if y is not None:
                     value = hashlib.sha256(text[max(0, a - 40):b].encode()).hexdigest()
-                    rows.append({"mark": value, "rule": rule, "y": y, "x": features(text, a, b, dictionary)})
+                    rows.append({"mark": value, "rule": rule, "y": y, "x": features(pieces, a, b, dictionary)})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
             [("mark", pa.string()), ("rule", pa.string()), ("y", pa.int32()), ("x", pa.list_(pa.float64()))]))
 
