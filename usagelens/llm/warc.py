@@ -8,14 +8,19 @@ records, whoever wrote them, and gives two records for each:
 * ``conversion`` (text/plain): the page's text without markup.
 
 Both name the response in WARC-Refers-To and keep its target, date and payload digest
-(WARC-Refers-To-Target-URI, WARC-Refers-To-Date, and X-Source-Payload-Digest), the
-conversion also names its metadata record in WARC-Concurrent-To; both carry digests of
-their own blocks. Record ids are name-based UUIDs of the response's id and the kind, so a
+(WARC-Target-URI, and the extension fields X-Source-Date and X-Source-Payload-Digest), the
+conversion also names its metadata record in the extension field X-Metadata-Record; both carry
+digests of their own blocks. Record ids are name-based UUIDs of the response's id and the kind, so a
 re-run, or a task run again after a lost executor, writes the same bytes. A record is
 independent of all others: no stage shuffles. ``parse_record`` checks lengths and digests.
 
 Text: comments, script, style, head, template and noscript are dropped, block elements
-become line breaks, entities are resolved, blanks are collapsed.
+become line breaks, entities are resolved, blanks are collapsed. Markup is read from left
+to right and every tag once, so a page takes time in proportion to its length, whatever it holds.
+
+``write_warc`` writes records as WARC files with Spark's text sink (any file system; one file a
+task), ``read_warc`` reads files of plain or record-wise compressed records back; a file is
+read by one task, up to the 2 GB that a row of Spark's binary file source can hold.
 
 Cases: null html is an empty payload (empty text, no links); a null url gives an empty
 target; a null page_id is written as empty; repeated rows give equal records; markup that
@@ -30,10 +35,11 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship
@@ -41,13 +47,15 @@ from usagelens.llm.common import ship
 DATE = "2026-01-01T00:00:00Z"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|aside|main|pre|blockquote"
-                    r"|dl|dt|dd|hr|form|figure|body|html|td|th)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[A-Za-z!][^>]*>?")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_DROPPED = re.compile(r"<!--|<(script|style|head|template|noscript)\b", re.I)
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "head", "template", "noscript", "title")}
+_BLOCKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 tr table section article header footer nav aside main pre blockquote "
+                    "dl dt dd hr form figure body html td th".split())
+_TAG = re.compile(r"</?([A-Za-z!][A-Za-z0-9]*)[^>]*>?")
+_TITLE, _HTML, _ANCHOR = (re.compile(rf"<{name}\b", re.I) for name in ("title", "html", "a"))
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>]+")
 _BLANKS = re.compile(r"[ \t\f\v\r\xa0]+")
 
 
@@ -97,14 +105,80 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, block
 
 
+def _kept(page: str) -> Iterator[str]:
+    """The page without comments and dropped elements, a blank in place of each."""
+    at = 0
+    closed = page.rfind(">")  # no tag after this one ends
+    start = 0
+    while m := _DROPPED.search(page, at):
+        name = m[1]
+        if name is None:
+            end = page.find("-->", m.end())
+            end = end + 3 if end >= 0 else len(page)
+        elif m.end() > closed:
+            at = m.end()
+            continue
+        else:
+            last = _CLOSING[name.lower()].search(page, page.find(">", m.end()) + 1)
+            end = last.end() if last else len(page)
+        yield page[start:m.start()]
+        yield " "
+        start = at = end
+    yield page[start:]
+
+
 def plain_text(page: str) -> str:
-    text = _TAG.sub("", _BLOCK.sub("\n", _DROPPED.sub(" ", page)))
+    text = _TAG.sub(lambda m: "\n" if m[1].lower() in _BLOCKS and m[0][-1] == ">" else "", "".join(_kept(page)))
     lines = (_BLANKS.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
 def outlinks(page: str) -> list[str]:
-    return [html.unescape(next(g for g in m.groups() if g is not None)).strip() for m in _LINK.finditer(page)]
+    """The href of every anchor, in order."""
+    links, at = [], 0
+    unclosed: set[str] = set()
+    while m := _ANCHOR.search(page, at):
+        end = page.find(">", m.end())
+        end = len(page) if end < 0 else end
+        at = m.end()
+        while True:
+            name = _HREF.search(page, at, end)
+            if name is None:
+                at = end  # no anchor that starts before this end has one either
+                break
+            at = name.end()
+            quote = page[at:at + 1]
+            close = page.find(quote, at + 1) if quote in ("\"", "'") and quote not in unclosed else -1
+            if close >= 0:
+                links.append(page[at + 1:close])
+                at = close + 1
+                break
+            if quote in ("\"", "'"):
+                unclosed.add(quote)
+            bare = _BARE.match(page, at)
+            if bare:
+                links.append(bare[0])
+                at = bare.end()
+                break
+    return [html.unescape(x).strip() for x in links]
+
+
+def title_of(page: str) -> str:
+    m = _TITLE.search(page)
+    start = page.find(">", m.end()) + 1 if m else 0
+    if not start:
+        return ""
+    end = _CLOSING["title"].search(page, start)
+    return html.unescape(page[start:end.start() if end else len(page)])
+
+
+def language_of(page: str) -> str:
+    m = _HTML.search(page)
+    if not m:
+        return ""
+    end = page.find(">", m.end())
+    lang = _LANG.search(page, m.end(), end if end >= 0 else len(page))
+    return lang[1] if lang else ""
 
 
 def derive_record(data: bytes) -> list[dict]:
@@ -121,9 +195,9 @@ def derive_record(data: bytes) -> list[dict]:
         page = payload.decode(charset, "replace")
     except LookupError:
         page = payload.decode("utf-8", "replace")
-    title, lang, links = _TITLE.search(page), _LANG.search(page), outlinks(page)
+    links = outlinks(page)
     of, target, date = (source.get(k, "") for k in ("warc-record-id", "warc-target-uri", "warc-date"))
-    fields = [("title", html.unescape(title[1]) if title else ""), ("language", lang[1] if lang else ""),
+    fields = [("title", title_of(page)), ("language", language_of(page)),
               ("charset", charset), ("status", status), *[("source-header", h) for h in http], *[("outlink", x) for x in links]]
     bodies = {"metadata": ("application/warc-fields", "".join(f"{k}: {_line(v)}\r\n" for k, v in fields)),
               "conversion": ("text/plain; charset=utf-8", plain_text(page))}
@@ -132,10 +206,10 @@ def derive_record(data: bytes) -> list[dict]:
         body_bytes = body.encode("utf-8", "replace")
         me = record_id(f"{of} {kind}")
         headers = [("WARC-Type", kind), ("WARC-Record-ID", me), ("WARC-Date", date), ("WARC-Target-URI", target),
-                   ("WARC-Refers-To", of), ("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", date),
+                   ("WARC-Refers-To", of), ("X-Source-Date", date),
                    ("X-Source-Payload-Digest", source.get("warc-payload-digest", digest(payload)))]
         if kind == "conversion":
-            headers.append(("WARC-Concurrent-To", record_id(f"{of} metadata")))
+            headers.append(("X-Metadata-Record", record_id(f"{of} metadata")))
         headers += [("Content-Type", mime), ("WARC-Block-Digest", digest(body_bytes))]
         out.append({"kind": kind, "record_id": me, "refers_to": of, "target_uri": target,
                     "source_digest": source.get("warc-payload-digest", digest(payload)), "block_digest": digest(body_bytes),
@@ -184,3 +258,49 @@ def derive(records: DataFrame) -> DataFrame:
     """DERIVED rows of every response record (columns ``page_id`` and ``record``)."""
     ship(records.sparkSession)
     return records.select("page_id", "record").mapInArrow(derive_batches, DERIVED)
+
+
+_END = b"\r\n\r\n"
+_PLAIN_HEAD = re.compile(rb"WARC/[^\r\n]*\r\n(?:[^\r\n]+\r\n)*?content-length:[ \t]*(\d+)[ \t]*\r\n(?:[^\r\n]+\r\n)*\r\n", re.I)
+
+
+def write_warc(records: DataFrame, path: str) -> None:
+    """The column ``record`` as WARC files under ``path``. A record ends in two line ends, which
+    are the text sink's separator; its bytes are written as they are."""
+    whole = F.col("record").isNotNull() & (F.octet_length("record") > len(_END))
+    body = F.expr(f"substring(record, 1, octet_length(record) - {len(_END)})")
+    records.where(whole).select(body.cast("string").alias("value")).write.option("lineSep", _END.decode()).text(path)
+
+
+def split_records(data: bytes) -> Iterator[bytes]:
+    """The records of a file, plain or one gzip member each; what is no record is one by itself,
+    to the end, and fails in ``parse_record``."""
+    if data[:2] == b"\x1f\x8b":
+        while data:
+            member = zlib.decompressobj(31)
+            try:
+                yield member.decompress(data) + member.flush()
+            except zlib.error:
+                yield data
+                return
+            data = member.unused_data
+        return
+    at = 0
+    while at < len(data):
+        head = _PLAIN_HEAD.match(data, at)
+        end = head.end() + int(head[1]) + len(_END) if head else len(data)
+        yield data[at:end]
+        at = end
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """page_id (null), record: the records of all files under ``path``."""
+    ship(spark)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                for one in split_records(content.as_py()):
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([one], pa.binary())], names=["page_id", "record"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(split, RESPONSES)
