@@ -110,3 +110,29 @@ def test_document_frequencies_equal_brute_force(spark):
     for r in rows:
         want[np.unique(imatch.slots(imatch.terms(r[1] or "")))] += 1
     assert n == len(rows) and np.array_equal(total, want)
+
+
+def test_place_keys_sort_as_triples():
+    import random
+
+    r = random.Random(1)
+    edge = [-(1 << 63), -1, 0, 1, 255, 256, (1 << 63) - 1]
+    rows = [(r.random() < 0.3, r.choice(edge), r.choice(edge)) for _ in range(400)]
+    rows += [(False, r.randrange(-1 << 63, 1 << 63), r.randrange(-1 << 63, 1 << 63)) for _ in range(400)]
+    keys = imatch.place_keys(*zip(*rows))
+    assert [rows[i] for i in np.argsort(keys, kind="stable")] == sorted(rows)
+    assert [bool(a == b) for a, b in zip(keys, keys[1:])] == [a == b for a, b in zip(rows, rows[1:])]
+
+
+def test_runs_are_not_part_of_the_plan(spark, monkeypatch):
+    import re
+
+    def plan_and_rows():
+        frame = imatch.fingerprints(odd_documents(spark))
+        text = re.sub(r"\d+|file:\S+|/\S+", "", frame._jdf.queryExecution().optimizedPlan().toString())
+        return len(text), sorted(map(repr, frame.collect()))
+
+    monkeypatch.setattr(imatch, "DOCS_PER_TASK", 5)
+    few = plan_and_rows()
+    monkeypatch.setattr(imatch, "DOCS_PER_TASK", 1)
+    assert plan_and_rows() == few

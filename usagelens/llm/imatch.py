@@ -18,6 +18,10 @@ share with equal bytes, over the rungs where at most half of the lexicons are in
 from the sparsest, until MIN_CELLS have been seen (denser rungs then follow). Equal
 fingerprints have likeness 1; two without any term are equal.
 
+The next document is found by runs: the keys (doc_id, text hash) are range-partitioned, the
+first key of each of at most MOST_RUNS runs (17 bytes each, 2.2 MB in all) goes to the tasks, and
+each row finds its run by binary search; texts are shuffled once, to their runs, and stream through.
+
 Cases: a null text is the empty text; equal texts have equal fingerprints wherever they
 stand; rows are ordered by doc_id, then text hash, null ids last; a single row is its own
 next; an empty table gives an empty result; other columns are ignored.
@@ -29,6 +33,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +49,7 @@ RUNGS = (4, 6, 8, 10, 12, 14)
 CELLS = 32
 MIN_CELLS = 16
 DOCS_PER_TASK = 8192
+MOST_RUNS = 1 << 17
 
 _U = np.uint64
 _USED = tuple(min(CELLS, 1 << b) for b in RUNGS)
@@ -166,6 +172,16 @@ def pair_batches(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterat
         yield flush()
 
 
+def place_keys(z, d, h) -> np.ndarray:
+    """(null, descending id, hash) as 17 bytes each that sort as the triples do."""
+    out = np.empty((len(z), 17), np.uint8)
+    out[:, 0] = np.asarray(z, bool) + 1  # never a zero byte in front
+    for at, column in ((1, d), (9, h)):
+        flipped = np.asarray(column, np.int64).view(np.uint64) ^ _U(1 << 63)
+        out[:, at:at + 8] = flipped.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(out).view("S17").ravel()
+
+
 def fingerprints(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next: every document against its edited text and the next document in
@@ -180,21 +196,25 @@ def fingerprints(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
     # Cut the order into runs: the first key of each of a range partitioning's parts.
     order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
     keys = stage(texts.select("doc_id", "h"), "keys")
-    parts = width(spark, keys.count(), DOCS_PER_TASK)
+    parts = min(width(spark, keys.count(), DOCS_PER_TASK), MOST_RUNS)
     ranged = stage(keys.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "key-ranges")
     # Ascending form of the order: (null last, -doc_id, h).
     place = F.struct(F.col("doc_id").isNull().alias("z"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("d"), F.col("h"))
-    firsts = sorted(tuple(r["p"]) for r in ranged.groupBy("part").agg(F.min(place).alias("p")).collect())  # a row a part
-    if not firsts:
-        bounds = F.array().cast("array<struct<z:boolean,d:bigint,h:bigint>>")
-    else:
-        bounds = F.array(*[F.struct(F.lit(z).alias("z"), F.lit(d).cast("long").alias("d"), F.lit(h).cast("long").alias("h"))
-                           for z, d, h in firsts])
+    firsts = sorted(tuple(r["p"]) for r in ranged.groupBy("part").agg(F.min(place).alias("p")).collect())  # MOST_RUNS at most
+    bounds = spark.sparkContext.broadcast(place_keys(*(np.array(c) for c in zip(*firsts))) if firsts else place_keys([], [], []))
+
+    @F.pandas_udf("long")
+    def found(z: pd.Series, d: pd.Series, h: pd.Series) -> pd.Series:
+        """Twice the row's run, and one more for a run's first key."""
+        mine = place_keys(z.to_numpy(), d.to_numpy(), h.to_numpy())
+        run = np.searchsorted(bounds.value, mine, side="right") - 1
+        return pd.Series(2 * run + (bounds.value[np.maximum(run, 0)] == mine))
+
     placed = texts.withColumn("place", place)
-    bucket = F.size(F.filter(bounds, lambda b: b <= F.col("place"))) - 1
-    placed = placed.withColumn("bucket", bucket)
+    placed = placed.withColumn("found", found(F.col("place.z"), F.col("place.d"), F.col("place.h")))
+    placed = placed.withColumn("bucket", F.floor(F.col("found") / 2).cast("int"))
     # A bucket's first key is also shown, as an extra, at the end of the bucket before.
-    is_first = F.exists(bounds, lambda b: b == F.col("place"))
+    is_first = F.col("found") % 2 == 1
     before = F.pmod(F.col("bucket") - 1, F.lit(max(1, len(firsts))))
     rows = placed.withColumn("to", F.explode(F.when(is_first, F.array(
         F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("extra")),
