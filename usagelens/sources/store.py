@@ -5,6 +5,7 @@ Layout::
     <root>/employees/                       the dimension (small files)
     <root>/facts/table=<name>/event_date=<d>/load_id=<id>/part-*.parquet
     <root>/_stream/<name>/                  what an incremental load remembers
+    <root>/_compact/<id>/                   a merged day on its way in (``compact``, ``settle``)
 
 All four fact tables come out of one decode pass and one write job: the wide
 decoded row is written partitioned by ``table``, so each table is one folder.
@@ -23,6 +24,7 @@ Only a folder that does not exist reads as an empty table; every other error
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from typing import Sequence
@@ -40,6 +42,7 @@ from usagelens.tables import UsageTables
 PARTITIONS = ["table", "event_date", "load_id"]
 MALFORMED = "malformed"
 QUARANTINE = "_quarantine"
+DECIDED = "decided.json"
 STORED_FACTS = T.StructType(
     list(DECODED.fields)
     + [T.StructField("line", T.StringType()),
@@ -112,6 +115,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
     """The days a table holds, from its folder names: one listing, no file opened."""
+    settle(spark, root)
     path = _table_path(root, table)
     if not path_exists(spark, path):
         return []
@@ -182,6 +186,7 @@ def _table_path(root: str, table: str) -> str:
 
 def _read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One table's folder, listed alone; empty of the declared schema if missing."""
+    settle(spark, root)
     path = _table_path(root, table)
     schema = T.StructType([f for f in STORED_FACTS.fields if f.name != "table"])
     if path_exists(spark, path):
@@ -199,6 +204,7 @@ def stored_counts(spark: SparkSession, root: str) -> DataFrame:
     aggregate over the partitioned folders (partial counts per task)."""
     schema = T.StructType([T.StructField("fact_table", T.StringType()), T.StructField("rows", T.LongType())])
     path = facts_path(root)
+    settle(spark, root)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     facts = spark.read.schema(STORED_FACTS).option("basePath", path).parquet(path).where(F.col("table") != QUARANTINE)
@@ -254,31 +260,66 @@ def query(spark: SparkSession, root: str, text: str, args: dict | list | None =
     return spark.sql(text, args=args, **frames)
 
 
+def _decision(root: str) -> str:
+    return f"{root.rstrip('/')}/_compact"
+
+
+def settle(spark: SparkSession, root: str) -> int:
+    """Finish what ``compact`` decided and did not live to do: remove the merged folders that
+    are left, move the merged copy in. Any reader or writer of the store may do it, again and at the same
+    time; returns the number of decisions found."""
+    if not path_exists(spark, _decision(root)):
+        return 0
+    fs, p = _folder(spark, _decision(root))
+    done = 0
+    for d in fs.listStatus(p):
+        note = _folder(spark, f"{d.getPath().toString()}/{DECIDED}")[1]
+        if not fs.exists(note):
+            continue  # merged rows nobody has decided to use
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(note), "UTF-8")
+        plan = json.loads(text)
+        folder = f"{root.rstrip('/')}/{plan['folder']}"
+        for name in plan["old"]:
+            fs.delete(_folder(spark, f"{folder}/{name}")[1], True)
+        merged, target = (_folder(spark, f"{x}/{plan['new']}")[1] for x in (d.getPath().toString(), folder))
+        if fs.exists(merged) and not fs.exists(target):
+            if not fs.rename(merged, target) and not fs.exists(target):
+                raise RuntimeError(f"{merged} holds the merged rows of {folder} and could not be moved there")
+        fs.delete(d.getPath(), True)
+        done += 1
+    return done
+
+
 def compact(spark: SparkSession, root: str, table: str, day: str) -> int:
     """Merge the load folders of one closed day of a table into one; returns how many there
     were. For days that no running load or replayed stream batch writes to.
 
-    The merged rows are written and counted outside the table first; then they are moved
-    in and the old folders removed, so a failure before that changes nothing, and the
-    merged copy stays in ``<root>/_compact`` until it has been moved."""
-    from usagelens.session import scratch_path
-
-    folder = f"{_table_path(root, table)}/event_date={day}"
+    The merged rows are written and counted outside the table; nothing has changed until a
+    small file next to them, put there by one rename, says which folders they replace. From then
+    on the merge is decided, and ``settle`` carries it out: here, or, after a crash, before the next
+    read. So every read finds each row once, wherever the job stopped."""
+    settle(spark, root)
+    name = f"event_date={day}"
+    folder = f"{_table_path(root, table)}/{name}"
     if not path_exists(spark, folder):
         return 0
     fs, p = _folder(spark, folder)
-    old = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("load_id=")]
+    old = sorted(f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().startswith("load_id="))
     if len(old) < 2:
         return len(old)
     schema = T.StructType([f for f in STORED_FACTS.fields if f.name not in PARTITIONS])
-    rows = spark.read.schema(schema).parquet(*[o.toString() for o in old])
-    name = f"load_id=compact-{uuid.uuid4().hex[:12]}"
-    staged = f"{root.rstrip('/')}/_compact/{scratch_path(spark, table).rsplit('/', 1)[1]}/{name}"
-    rows.hint("rebalance").write.parquet(staged)
-    if spark.read.schema(schema).parquet(staged).count() != rows.count():
+    rows = spark.read.schema(schema).parquet(*[f"{folder}/{o}" for o in old])
+    key = f"compact-{uuid.uuid4().hex[:12]}"
+    place, new = f"{_decision(root)}/{key}", f"load_id={key}"
+    rows.hint("rebalance").write.parquet(f"{place}/{new}")
+    if spark.read.schema(schema).parquet(f"{place}/{new}").count() != rows.count():
         raise RuntimeError(f"{folder} changed while it was merged; nothing was replaced")
-    for o in old:
-        fs.delete(o, True)
-    if not fs.rename(_folder(spark, staged)[1], _folder(spark, f"{folder}/{name}")[1]):
-        raise RuntimeError(f"{staged} holds the merged rows of {folder} and could not be moved there")
+    text = json.dumps({"folder": f"facts/table={table}/{name}", "old": old, "new": new})
+    draft, note = (_folder(spark, f"{place}/{x}")[1] for x in (f"_{DECIDED}", DECIDED))
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, note):
+        raise RuntimeError(f"{note} could not be written; nothing was replaced")
+    settle(spark, root)
     return len(old)

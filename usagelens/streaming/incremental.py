@@ -30,8 +30,8 @@ def stream_folder(root: str, name: str) -> str:
 def _own(spark: SparkSession, root: str, name: str, source_dir: str) -> None:
     """Bind ``name`` to its source folder, or refuse another one."""
     path, source = f"{stream_folder(root, name)}/source", source_dir.rstrip("/")
-    if not path_exists(spark, path):
-        spark.createDataFrame([(source,)], "source string").coalesce(1).write.json(path)
+    if not path_exists(spark, f"{path}/_SUCCESS"):  # nothing there, or a write that did not finish
+        spark.createDataFrame([(source,)], "source string").coalesce(1).write.mode("overwrite").json(path)
         return
     owner = spark.read.schema("source string").json(path).first()["source"]
     if owner != source:
