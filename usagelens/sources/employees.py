@@ -11,19 +11,27 @@
 * Across loads the stored rows win (insert-or-ignore): only emails not yet
   stored are appended (``left_anti``).
 
-A quoted line break keeps Spark from splitting a file, so each file is one task: right
-for a directory, which is small beside the facts.
+Files are split like any text, also inside quoted fields: lines are read in blocks, a prefix
+sum over the blocks of a file (and inside each block) of the lines with an odd number of quotes
+tells of every line whether it starts inside a quoted field, and the lines of one record are
+joined again. Headers are found in the same pass, so the number of jobs does not depend on
+the number of files. A file with a quote inside an unquoted field, where counting quotes
+says nothing, is read whole by one task as before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import strip_ws
 from usagelens.schemas import EMPLOYEES
+from usagelens.session import stage_table
 
 FIELDS = [f.name for f in EMPLOYEES.fields]
 
@@ -32,40 +40,87 @@ FIELDS = [f.name for f in EMPLOYEES.fields]
 STANDARD_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
-def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files under a path, by their header (a short read of every file)."""
-    out: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        header = tuple(spark.read.options(**STANDARD_CSV).csv(file).columns)
-        if header:  # a file without any row has none
-            out.setdefault(header, []).append(file)
-    return out
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+_WELL_FORMED = f"^{_FIELD}(?:,{_FIELD})*+$"
+_FILE = ["path_no", "file"]
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Every line with its place: path number, file, the block it was read in, and a number that
+    grows inside the block; and whether it has an odd number of quotes."""
+    odd = (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))) % 2
+    frames = [spark.read.option("lineSep", "\n").text(path).select(
+        F.lit(i).alias("path_no"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value", odd.alias("odd"))
+        for i, path in enumerate(paths)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def csv_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path_no, file, block, line, record): the records of all files, quoted line breaks inside,
+    with the place of their first line; blank ones are dropped."""
+    lines = _lines(spark, paths)
+    block = [*_FILE, "block"]
+    earlier = W.partitionBy(*_FILE).orderBy("block").rowsBetween(W.unboundedPreceding, -1)  # a row a block
+    bases = lines.groupBy(*block).agg(F.sum("odd").alias("n")).select(
+        *block, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    inside = W.partitionBy(*block).orderBy("line").rowsBetween(W.unboundedPreceding, -1)
+    placed = lines.withColumn("here", F.coalesce(F.sum("odd").over(inside), F.lit(0))).join(bases, block)
+    placed = placed.withColumn("before", F.col("base") + F.col("here"))
+    # An even number of odd lines before, and an even line: a record by itself.
+    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
+    single = placed.where(alone).select(*block, "line", F.col("value").alias("record"))
+    # The others come in runs from one odd line to the next; a pair of odd lines has one number.
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))  # the lines of one record
+    joined = (placed.where(~alone).groupBy(*_FILE, F.floor(F.col("before") / 2).alias("pair")).agg(parts.alias("parts"))
+              .select(*_FILE, F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"),
+                      F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("record")))
+    whole = F.regexp_replace(F.col("record"), "^\\uFEFF|\\r$", "")
+    return single.unionByName(joined).withColumn("record", whole).where(F.length("record") > 0)
+
+
+def _fields(record: Column) -> Column:
+    """The unquoted fields of a well-formed record."""
+    raw = F.regexp_extract_all(record, F.lit(f"(?:^|,)({_FIELD})"), F.lit(1))
+    return F.transform(raw, lambda f: F.when(f.startswith('"'), F.replace(
+        F.substring(f, F.lit(2), F.length(f) - F.lit(2)), F.lit('""'), F.lit('"'))).otherwise(f))
+
+
+def _read_whole(spark: SparkSession, path_no: int, file: str) -> DataFrame:
+    """One file by one task, with Spark's own rules for quotes in unquoted fields."""
+    raw = spark.read.options(**STANDARD_CSV).csv(unquote(file))
+    _require(file, raw.columns)
+    order = F.struct(F.lit(path_no).alias("path_no"), F.lit(file).alias("file"), F.lit(0).cast("long").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    return raw.select(*[F.coalesce(strip_ws(F.col(f"`{c}`")), F.lit("")).alias(c) for c in FIELDS], order.alias("_order"))
+
+
+def _require(file: str, header: Sequence[str]) -> None:
+    missing = [c for c in FIELDS if c not in header]
+    if missing:
+        raise ValueError(f"{file}: no column {missing}")
 
 
 def read_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows of one or more CSV files or folders (with header), stripped, with an order key
-    ``_order`` = (path number, file, row number)."""
+    ``_order`` = (path number, file, block, line)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    frames = []
-    for i, path in enumerate(paths):
-        for header, files in _files_by_header(spark, path).items():
-            missing = [c for c in FIELDS if c not in header]
-            if missing:
-                raise ValueError(f"{files[0]}: no column {missing}")
-            raw = spark.read.options(**STANDARD_CSV).csv(files)
-            order = F.struct(
-                F.lit(i).alias("path_no"),
-                F.col("_metadata.file_path").alias("file"),
-                F.monotonically_increasing_id().alias("row"),
-            )
-            frames.append(raw.select(*[F.coalesce(strip_ws(F.col(f"`{c}`")), F.lit("")).alias(c) for c in FIELDS],
-                                     order.alias("_order")))
-    if not frames:
+    records = stage_table(csv_records(spark, paths), "employee-records")
+    place = F.struct("block", "line")
+    files = stage_table(records.groupBy(*_FILE).agg(
+        F.min(place).alias("first"), F.min_by("record", place).alias("header"),
+        F.max(~F.col("record").rlike(_WELL_FORMED)).alias("odd")).withColumn(
+        "names", F.when(~F.col("odd"), _fields(F.col("header")))), "employee-files")
+    short = F.size(F.array_except(F.array(*[F.lit(c) for c in FIELDS]), "names")) > 0
+    if bad := files.where(short).orderBy(*_FILE).select("file", "names").first():
+        _require(bad["file"], bad["names"])
+    if not files.head(1):
         raise ValueError(f"no employee CSV with a header under {paths}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    rows = records.join(files.where(~F.col("odd")), _FILE).where(place != F.col("first")).withColumn("_f", _fields(F.col("record")))
+    values = [F.coalesce(strip_ws(F.get("_f", F.array_position("names", c).cast("int") - 1)), F.lit("")).alias(c) for c in FIELDS]
+    out = rows.select(*values, F.struct("path_no", "file", "block", "line").alias("_order"))
+    whole = files.where("odd").orderBy(*_FILE).select(*_FILE).collect()  # files outside of the standard
+    return reduce(DataFrame.unionByName, [_read_whole(spark, r["path_no"], r["file"]) for r in whole], out)
 
 
 def first_per_email(rows: DataFrame) -> DataFrame:
