@@ -107,19 +107,20 @@ def read_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     paths = [paths] if isinstance(paths, str) else list(paths)
     records = stage_table(csv_records(spark, paths), "employee-records")
     place = F.struct("block", "line")
-    files = stage_table(records.groupBy(*_FILE).agg(
+    files = records.groupBy(*_FILE).agg(
         F.min(place).alias("first"), F.min_by("record", place).alias("header"),
-        F.max(~F.col("record").rlike(_WELL_FORMED)).alias("odd")).withColumn(
-        "names", F.when(~F.col("odd"), _fields(F.col("header")))), "employee-files")
+        F.max(~F.col("record").rlike(_WELL_FORMED)).alias("odd")).withColumn("names", F.when(~F.col("odd"), _fields(F.col("header"))))
     short = F.size(F.array_except(F.array(*[F.lit(c) for c in FIELDS]), "names")) > 0
-    if bad := files.where(short).orderBy(*_FILE).select("file", "names").first():
-        _require(bad["file"], bad["names"])
-    if not files.head(1):
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.max("odd").alias("odd"),
+                      F.min(F.when(short, F.struct(*_FILE, "names"))).alias("short")).first()
+    if not found["n"]:
         raise ValueError(f"no employee CSV with a header under {paths}")
+    if found["short"]:
+        _require(found["short"]["file"], found["short"]["names"])
     rows = records.join(files.where(~F.col("odd")), _FILE).where(place != F.col("first")).withColumn("_f", _fields(F.col("record")))
     values = [F.coalesce(strip_ws(F.get("_f", F.array_position("names", c).cast("int") - 1)), F.lit("")).alias(c) for c in FIELDS]
     out = rows.select(*values, F.struct("path_no", "file", "block", "line").alias("_order"))
-    whole = files.where("odd").orderBy(*_FILE).select(*_FILE).collect()  # files outside of the standard
+    whole = files.where("odd").orderBy(*_FILE).select(*_FILE).collect() if found["odd"] else []  # files outside of the standard
     return reduce(DataFrame.unionByName, [_read_whole(spark, r["path_no"], r["file"]) for r in whole], out)
 
 
