@@ -2,7 +2,7 @@ import math
 import random
 import struct
 from dataclasses import replace
-from decimal import ROUND_HALF_UP, Context, Decimal
+from decimal import Context, Decimal
 from fractions import Fraction
 
 import pytest
