@@ -1,9 +1,12 @@
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from odd import PROSE, SF_SMALL, doc, odd_documents, odd_rows
+from pyspark.sql import functions as F
 
 from usagelens.llm import mixing, secret_scan, warc
 
@@ -82,6 +85,58 @@ def test_mixed_documents_repeat_and_cut(spark):
     assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
 
 
+def test_permutation_is_one_and_differs_by_source(spark):
+    for n in (1, 2, 7, 1000):
+        frame = spark.range(2 * n).select((F.col("id") % n).alias("i"), F.floor(F.col("id") / n).alias("no"))
+        got = frame.select("i", "no", mixing.permuted(F.col("i"), F.lit(n), F.col("no")).alias("p")).collect()
+        for no in (0, 1):
+            assert sorted(r.p for r in got if r.no == no) == list(range(n))
+    one, two = ([r.p for r in sorted(got) if r.no == no] for no in (0, 1))
+    assert sum(a == b for a, b in zip(one, two)) < 10 and sum(p == i for i, p in enumerate(one)) < 10
+    assert abs(np.corrcoef(one, range(n))[0, 1]) < 0.15
+    tops = [sum(p < n // 2 for p in one[k::2]) for k in (0, 1)]
+    assert abs(tops[0] - tops[1]) < 60
+
+
+def test_shards_draw_permuted_blocks_by_the_tree(spark):
+    rows = [doc(i, "w " * (3 + i % 5), "a" if i % 3 else "b") for i in range(3000)]
+    got = mixing.mix(odd_documents(spark, rows), block=40).collect()
+    order = ["a", "b"]
+    taken = defaultdict(int)
+    shards = defaultdict(lambda: defaultdict(set))
+    for r in got:
+        taken[r.source] += r.taken
+        for d in r.draws:
+            shards[r.source][d.shard].add(d.block)
+    quotas = np.array([-(-taken[s] // 40) for s in order])
+    want = mixing.splitting_tree(quotas, mixing.SHARDS, mixing.SEED)
+    for k, s in enumerate(order):
+        # No document is longer than a block, so each block has a copy that starts in it.
+        assert [len(shards[s][i]) for i in range(mixing.SHARDS)] == want[:, k].tolist()
+        assert sorted(b for v in shards[s].values() for b in v) == list(range(quotas[k]))
+        neighbours = sum(b + 1 in v for v in shards[s].values() for b in v)
+        assert neighbours < quotas[k] / 4
+    twice = [r for r in got if len(r.draws) == 2]
+    assert twice and sum(r.draws[0].shard == r.draws[1].shard for r in twice) < len(twice) / 4
+    assert all(r.draws[0].place != r.draws[1].place for r in twice)
+
+
+def test_mixed_documents_leave_by_shard_and_place(spark, scratch):
+    rows = [doc(i, f"{i} " * (3 + i % 5), "a" if i % 3 else "b") for i in range(500)] + odd_rows()
+    frame = odd_documents(spark, rows)
+    out = mixing.mixed_documents(frame, block=16, places=True)
+    out.write.parquet(f"{scratch}/mix")
+    order = []
+    for name in sorted(p for p in os.listdir(f"{scratch}/mix") if p.endswith(".parquet")):
+        order += [(r["mix_shard"], r["mix_place"]) for r in pq.read_table(f"{scratch}/mix/{name}").to_pylist()]
+    assert order == sorted(order) and {s for s, _ in order} == set(range(mixing.SHARDS))
+    plain = [r.doc_id for r in mixing.mixed_documents(frame, block=16).collect()]
+    assert Counter(plain) == Counter(r.doc_id for r in out.collect())
+    mixing.write_shards(frame.withColumn("mix_shard", F.lit("x")), f"{scratch}/shards", block=16)
+    back = spark.read.parquet(f"{scratch}/shards")
+    assert Counter(r.mix_shard for r in back.collect()) == Counter(s for s, _ in order)
+
+
 SECRET = 'say token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" now'
 
 

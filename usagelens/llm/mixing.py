@@ -14,8 +14,10 @@ blocks, exactly.
 Tree. The quotas are split among SHARDS output shards: a node hands half of its block
 places to its left child by one multivariate hypergeometric draw over the sources, the
 rest goes right, down to single shards. Every shard holds a random mixture and every
-block is used once. A shard draws its blocks as a run of the source's block numbers
-(disjoint, and random as the axis is), and orders its copies by a hash (local shuffle).
+block is used once: a source's block numbers, those of later rounds too, are permuted by a
+keyed permutation (``permuted``), and the shards draw disjoint runs of the permuted order,
+each as many as the tree gave it. Inside a shard copies are ordered by a hash of document
+and round (local shuffle). ``mixed_documents`` leaves its rows in that order, shard by shard.
 
 A document's place on the axis comes from prefix sums in two levels: hash buckets of
 about KEYS_PER_BUCKET keys, then within the bucket; so no source, however large, is
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import ship, stage, unfold
+from usagelens.llm.common import partitions_for, ship, stage, unfold
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -45,6 +47,7 @@ SHARDS = 16
 BLOCK = 16384
 KEYS_PER_BUCKET = 4096
 SEED = 20260101
+ROUNDS = 32
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -108,8 +111,30 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
     return first + _hypergeometric(rng, good - first, bad - (n // 2 - first), n - n // 2)
 
 
+def permuted(number: Column, n: Column, key: Column, seed: int = SEED) -> Column:
+    """``number`` (0 to n - 1) under a permutation of those numbers, one for every ``key``.
+
+    A swap-or-not shuffle: a round pairs x with (k - x) mod n, where k is the round's own, and a
+    hash of the larger one says whether the pair changes places. Each round is its own
+    inverse, so the whole is a permutation for any n, found without a table or a sort."""
+    def swap(x: Column, turn: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), key, turn), n) - x, n)
+        go = F.xxhash64(F.lit(seed), turn, key, F.greatest(x, other)).bitwiseAND(F.lit(1).cast("long")) == 1
+        return F.when(go, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), number.cast("long"), swap)
+
+
+def _ends_up_to(ends: str, at: Column) -> Column:
+    """How many of ``ends`` are at most ``at``, which is computed once."""
+    return F.aggregate(ends, F.struct(at.alias("at"), F.lit(0).alias("n")),
+                       lambda s, e: F.struct(s["at"].alias("at"), (s["n"] + (e <= s["at"]).cast("int")).alias("n")),
+                       lambda s: s["n"])
+
+
 def shard_bounds(plan: DataFrame, shards: int, block: int, seed: int) -> DataFrame:
-    """Adds ``ends``: per shard the first block number behind its run. One row a source."""
+    """Adds ``ends``: per shard the first place behind its run of the source's permuted
+    blocks. One row a source."""
     ship(plan.sparkSession)
 
     def draw(rows: pd.DataFrame) -> pd.DataFrame:
@@ -160,7 +185,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
         at = F.col("start") + F.lit(turn) * F.col("source_size")
         words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("take") - at))
         number = F.floor(at / F.lit(block))
-        shard = F.size(F.filter("ends", lambda e: e <= number))
+        drawn_as = permuted(number, F.greatest(F.element_at("ends", -1), F.lit(1).cast("long")), F.col("no"), seed)
+        shard = F.when(words > 0, _ends_up_to("ends", drawn_as))
         return F.struct(F.lit(turn).alias("turn"), shard.alias("shard"), number.alias("block"),
                         F.xxhash64(F.lit(seed), F.lit(turn), "doc_id", "size", "row", "copy").alias("place"), words.alias("words"))
 
@@ -177,19 +203,34 @@ def mixed_shards(docs: DataFrame, **options) -> DataFrame:
             .select("d.shard", "d.place", "d.block", "doc_id", "source", "d.words"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: a row per copy. The copy that a
-    target cuts keeps its first words, joined by single blanks, and its n_chars (if there)
-    is its new length."""
+def mixed_documents(docs: DataFrame, shards: int = SHARDS, places: bool = False, **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row per copy, shard by shard and
+    in a shard by place (a hash, so a shard is cut into equal slices of places, one a task;
+    ``spark.sql.shuffle.partitions`` says how many in all). The copy that a target cuts
+    keeps its first words, joined by single blanks, and its n_chars (if there) is its new
+    length. ``places`` adds ``mix_shard`` and ``mix_place``, in place of columns so named."""
     row = "__mix_row"
     rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
-    draws = (mix(rows, row=row, **options).select(F.col("row").alias(row), F.col("size").alias("__mix_size"),
-                                                  F.explode("draws.words").alias("__mix_words")))
-    cut = F.col("__mix_words") < F.col("__mix_size")
+    draws = (mix(rows, row=row, shards=shards, **options)
+             .select(F.col("row").alias(row), F.col("size").alias("__mix_size"), F.explode("draws").alias("__mix")))
+    cut = F.col("__mix.words") < F.col("__mix_size")
     words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    short = F.concat_ws(" ", F.slice(words, 1, F.col("__mix_words").cast("int")))
-    out = rows.join(draws, row).withColumn("text", F.when(cut, short).otherwise(F.col("text")))
+    short = F.concat_ws(" ", F.slice(words, 1, F.col("__mix.words").cast("int")))
+    slices = -(-partitions_for(docs.sparkSession) // shards)
+    # Places are spread evenly over all longs: their 32 high bits, from 0, name the slice.
+    high = F.shiftright("__mix.place", 32) + F.lit(1 << 31)
+    task = F.col("__mix.shard") * slices + F.shiftright(high * F.lit(slices).cast("long"), 32).cast("int")
+    out = (rows.join(draws, row).repartitionById(shards * slices, task)
+           .sortWithinPartitions("__mix.shard", "__mix.place", row, "__mix.turn")
+           .withColumn("text", F.when(cut, short).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(cut, F.char_length("text")).otherwise(F.col("n_chars")).cast(
             docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    where = [F.col("__mix.shard").alias("mix_shard"), F.col("__mix.place").alias("mix_place")] if places else []
+    named = ("mix_shard", "mix_place") if places else ()
+    return out.select(*[c for c in docs.columns if c not in named], *where)
+
+
+def write_shards(docs: DataFrame, path: str, **options) -> None:
+    """The mix as files, a folder ``mix_shard=<n>`` for each shard, its files in order of place."""
+    mixed_documents(docs, places=True, **options).drop("mix_place").write.partitionBy("mix_shard").parquet(path)
