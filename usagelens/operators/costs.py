@@ -210,6 +210,11 @@ class BinnedCosts:
         return self._rounded(scale, F.sum("cost_n"))
 
 
+def fits_plain(most: float | None, n: int) -> bool:
+    """Whether ``n`` values of at most this size can be summed by ``PlainCosts``."""
+    return (most or 0.0) * n < _PLAIN_SUM
+
+
 def measure_costs(facts: DataFrame) -> PlainCosts | BinnedCosts:
     """The form for the costs of these rows: one aggregate over one column."""
     size = F.when(_finite(), F.abs("cost_usd"))
@@ -217,7 +222,7 @@ def measure_costs(facts: DataFrame) -> PlainCosts | BinnedCosts:
     lossy = whole.isNull() | (whole.cast("double") != size)
     row = facts.agg(F.count(size).alias("n"), F.max(size).alias("most"), F.min(F.when(size > 0, size)).alias("least"),
                     F.max(F.when(size.isNotNull(), lossy)).alias("lossy")).first()
-    if not row["lossy"] and (row["most"] or 0.0) * row["n"] < _PLAIN_SUM:
+    if not row["lossy"] and fits_plain(row["most"], row["n"]):
         return PlainCosts()
     # A cost's text has at most 17 digits; three more for renderings that aren't the shortest.
     first, last = (Decimal(repr(row[c])).adjusted() for c in ("least", "most"))

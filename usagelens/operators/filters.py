@@ -83,6 +83,14 @@ class UsageFilters:
             pred = pred & F.col("event_date").between(F.lit(start), F.lit(end))
         return pred
 
+    def day_predicate(self, day: str, midnight: str) -> Column:
+        """``time_predicate`` for rows that know their day and whether they are of its midnight."""
+        if self.start is None or self.end is None:
+            raise ValueError("date range unresolved: call with_page_dates() first")
+        start, end = F.lit(_as_date(self.start)), F.lit(_as_date(self.end))
+        pred = F.col(day).between(start, end)
+        return pred if self.end_day == "whole" else pred & ((F.col(day) < end) | F.col(midnight))
+
     # -- defaults -----------------------------------------------------------
     def with_days(self, first: DateLike, last: DateLike) -> "UsageFilters":
         """Fill an unset start/end with known days."""

@@ -105,6 +105,12 @@ class UsagePage:
             )
         return self
 
+    def use_base(self, base: DataFrame, costs: PlainCosts | BinnedCosts) -> "UsagePage":
+        """Let the request rollups read ``base``: filtered rows of ``share``'s grain and parts,
+        kept elsewhere (``sources/parts.py``), with costs of this form."""
+        self._base, self.costs = base, costs
+        return self
+
     def unshare(self) -> None:
         if self._base is not None:
             self._base.unpersist()

@@ -173,9 +173,11 @@ def _loaded_store(spark: SparkSession, sf_dir: str) -> str:
 
 def stage_shared(spark: SparkSession, sf_dir: str) -> None:
     """Make what several queries share, ahead of them (the bench times it apart)."""
+    from usagelens.sources import parts
+
     _tables(spark, sf_dir)
     _log_lines(spark, sf_dir)
-    _loaded_store(spark, sf_dir)
+    parts.fill_parts(spark, _loaded_store(spark, sf_dir))
 
 
 def _employee_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,6 +251,24 @@ def _stored_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UsagePage(store.stored_tables(spark, _loaded_store(spark, sf_dir)), WHOLE_DAYS).daily_usage()
 
 
+def _from_parts(make: Callable[[SparkSession, str], DataFrame]) -> Builder:
+    """A query over the loaded store's page parts (made by the first that needs them)."""
+    return lambda spark, sf_dir: make(spark, _loaded_store(spark, sf_dir))
+
+
+def _parts_options(spark: SparkSession, root: str) -> DataFrame:
+    """F6 from the stored employees and parts."""
+    from usagelens.sources import parts, store
+
+    return filter_options(store.read_employees(spark, root), parts.read_parts(spark, root))
+
+
+def _parts_page(method: str, filters: UsageFilters) -> Builder:
+    from usagelens.sources import parts
+
+    return _from_parts(lambda spark, root: getattr(parts.stored_page(spark, root, filters), method)())
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defined(spark, sf_dir, "decoded", lambda: D.decode_lines(_log_lines(spark, sf_dir)))
 
@@ -354,6 +374,10 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "extreme_costs": (_extreme_costs, oracle.extreme_costs),
     "stored_sql": (_stored_sql, lambda: oracle.daily_calls(WHOLE_DAYS)),
     "stream_load": (_stream_load, oracle.stream_load),
+    "parts_kpi": (_parts_page("kpi", NARROWED), lambda: oracle.kpi(NARROWED)),
+    "parts_daily_usage": (_parts_page("daily_usage", WHOLE_DAYS), lambda: oracle.daily_usage(WHOLE_DAYS)),
+    "parts_tokens_by_level": (_parts_page("tokens_by_level", DEFAULT), lambda: oracle.tokens_by_level(DEFAULT)),
+    "parts_filter_options": (_from_parts(_parts_options), oracle.filter_options),
     "stored_daily_usage": (_stored_daily_usage, lambda: oracle.daily_usage(WHOLE_DAYS)),
 }
 

@@ -4,6 +4,7 @@ Layout::
 
     <root>/employees/                       the dimension (small files)
     <root>/facts/table=<name>/event_date=<d>/load_id=<id>/part-*.parquet
+    <root>/parts/                           sums of the API requests (``sources/parts.py``)
     <root>/_stream/<name>/                  what an incremental load remembers
     <root>/_compact/<id>/                   a merged day on its way in (``compact``, ``settle``)
 
@@ -95,6 +96,7 @@ def write_facts(decoded: DataFrame, root: str, load_id: str, files_per_day: int
         rows = rows.repartition("table", "event_date", salt)
     elif layout == "rebalance":
         rows = rows.hint("rebalance", "table", "event_date")
+    drop_parts(decoded.sparkSession, root, load_id)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -194,6 +196,51 @@ def _read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _load_folders(spark: SparkSession, path: str, load_id: str | None = None) -> list:
+    """Hadoop paths of the (day, load) folders under ``path``, of one load or of all."""
+    if not path_exists(spark, path):
+        return []
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    load = "*" if load_id is None else names.escapePathName(load_id)
+    fs, p = _folder(spark, f"{path}/event_date=*/load_id={load}")
+    return [f.getPath() for f in fs.globStatus(p)]
+
+
+def day_loads(spark: SparkSession, root: str, table: str, load_id: str | None = None) -> list[tuple[str, str]]:
+    """The (day, load) folders of a table, or of one load; no file opened."""
+    settle(spark, root)
+    return named_pairs(_load_folders(spark, _table_path(root, table), load_id))
+
+
+def named_pairs(folders: list) -> list[tuple[str, str]]:
+    names = ((f.getParent().getName(), f.getName()) for f in folders)
+    return sorted((d.partition("=")[2], i.partition("=")[2]) for d, i in names)
+
+
+def parts_path(root: str) -> str:
+    return f"{root.rstrip('/')}/parts"
+
+
+def part_pairs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """The (day, load) folders that have page parts."""
+    return named_pairs(_load_folders(spark, parts_path(root)))
+
+
+def drop_parts(spark: SparkSession, root: str, load_id: str) -> None:
+    """Remove a load's page parts: its facts are about to be written (again)."""
+    for folder in _load_folders(spark, parts_path(root), load_id):
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def facts_of(spark: SparkSession, root: str, table: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The facts of some (day, load) folders of a table, as ``read_facts`` gives them."""
+    path = _table_path(root, table)
+    schema = T.StructType([f for f in STORED_FACTS.fields if f.name != "table"])
+    cols = [f.name for f in FACT_SCHEMAS[table].fields]
+    return (spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/event_date={d}/load_id={i}" for d, i in pairs])
+            .select(*cols, "event_date", "load_id"))
+
+
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """The malformed lines of every load (``line``, ``load_id``)."""
     return _read_table(spark, root, QUARANTINE).select("line", "load_id")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators import decode as D
+from usagelens.sources.parts import fill_parts
 from usagelens.sources.store import path_exists, stored_rows, write_facts
 
 
@@ -48,10 +49,12 @@ def start_incremental_load(
     available_now: bool = True,
     spread_input: bool = False,
     counted: dict[str, dict[str, int]] | None = None,
+    parts: bool = False,
 ) -> StreamingQuery:
     """``spread_input`` rebalances a batch's raw lines before the decode, for large files
     that cannot be split (gzip). ``checkpoint`` must name the same folder on every run.
-    ``counted`` gets the counters of every batch written, by its load_id."""
+    ``counted`` gets the counters of every batch written, by its load_id. ``parts`` writes a
+    batch's page parts behind its facts (``sources/parts.py``)."""
     if checkpoint is None:
         checkpoint = f"{stream_folder(root, name)}/checkpoint"
         _own(spark, root, name, source_dir)
@@ -69,6 +72,8 @@ def start_incremental_load(
         counters = [c.alias(n) for n, c in D.count_columns().items()]
         load_id = f"{name}-{mark}-{batch_id}"
         write_facts(stored_rows(D.decode_with_lines(raw).observe(obs, *counters)), root, load_id=load_id)
+        if parts:
+            fill_parts(spark, root, load_id)
         counts = [(load_id, k, int(v)) for k, v in obs.get.items()]
         spark.createDataFrame(counts, "load_id string, counter string, n bigint").coalesce(1).write.mode(
             "overwrite").parquet(f"{stream_folder(root, name)}/counts/batch={mark}-{batch_id}")
