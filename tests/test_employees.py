@@ -1,6 +1,8 @@
 """S2, S3, S8, J4 on FIXTURES §4.4."""
 
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from usagelens.sources import employees as E
 from usagelens.sources import store
@@ -51,6 +53,43 @@ def test_insert_or_ignore_across_loads(spark, scratch):
     assert rows == {"a@x": "Ann", "b@x": "Bob"}
 
 
+def test_two_loads_side_by_side_keep_one_row_per_email(spark, scratch, monkeypatch):
+    root = f"{scratch}/store"
+    head = "email,full_name,practice,level,location\n"
+    for k in (0, 1):
+        write_text(f"{scratch}/l{k}/e.csv", head + "".join(f"u{i}@x,Load{k},ML,L1,Paris\n" for i in range(k * 10, k * 10 + 30)))
+    both, decide = threading.Barrier(2), store.insert_or_ignore
+
+    def together(stored, incoming):
+        assert stored is None
+        both.wait(120)
+        return decide(stored, incoming)
+
+    monkeypatch.setattr(store, "insert_or_ignore", together)
+    with ThreadPoolExecutor(2) as pool:
+        added = list(pool.map(lambda k: store.append_employees(spark, root, f"{scratch}/l{k}"), (0, 1)))
+    assert added == [30, 30]
+    monkeypatch.undo()
+    rows = store.read_employees(spark, root).collect()
+    assert sorted(r.email for r in rows) == sorted(f"u{i}@x" for i in range(40))
+    shared = {r.full_name for r in rows if 10 <= int(r.email[1:-2]) < 30}
+    assert len(shared) == 1  # of one load, the same for every reader
+    assert store.append_employees(spark, root, f"{scratch}/l1") == 0
+    write_text(f"{scratch}/l2/e.csv", head + "new@x,New,ML,L1,Paris\nu0@x,Late,ML,L1,Paris\n")
+    assert store.append_employees(spark, root, f"{scratch}/l2") == 1
+    assert {r.full_name for r in store.read_employees(spark, root).collect() if r.email == "u0@x"} == {"Load0"}
+
+
+def test_files_of_stores_made_before_loads_had_names_are_read_first(spark, scratch):
+    root = f"{scratch}/store"
+    old = spark.createDataFrame([("a@x", "Old", "ML", "L1", "Paris")], "email string, full_name string, practice string, "
+                                "level string, location string")
+    old.write.parquet(store.employees_path(root))
+    write_text(f"{scratch}/l1/e.csv", "email,full_name,practice,level,location\na@x,New,ML,L1,Paris\nb@x,Bob,ML,L2,Rome\n")
+    assert store.append_employees(spark, root, f"{scratch}/l1") == 1
+    assert {r.email: r.full_name for r in store.read_employees(spark, root).collect()} == {"a@x": "Old", "b@x": "Bob"}
+
+
 def test_csv_round_trip(spark, scratch):
     df = spark.createDataFrame([("a@x", "Doe, Jane", " ML ", "L1", "Paris")],
                                "email string, full_name string, practice string, level string, location string")

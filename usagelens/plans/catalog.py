@@ -194,6 +194,21 @@ def _employee_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_employees(spark, root)
 
 
+def _employee_two_loaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 with two loads that did not see each other: the files of ``employee_append``, both compared
+    with the still empty store before either is stored, the later load's rows first."""
+    from usagelens.sources import store
+
+    emp, root = _tables(spark, sf_dir).employees, scratch_path(spark, "loaders-db")
+    first, later = scratch_path(spark, "loaders-a"), scratch_path(spark, "loaders-b")
+    write_employee_csv(emp.where(F.col("email").cast("bigint") % 2 == 0), first)
+    write_employee_csv(emp.withColumn("full_name", F.concat("full_name", F.lit("-later"))), later)
+    loads = [store.stage_employees(spark, root, path)[0] for path in (first, later)]
+    for load_id in reversed(loads):
+        store.publish_employees(spark, root, load_id)
+    return store.read_employees(spark, root)
+
+
 def _stored_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5's calls in SQL over the stored tables, with bound parameters."""
     from usagelens.sources import store
@@ -371,6 +386,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "employee_dim": (_employee_dim, oracle.employee_dim),
     "error_labels": (_error_labels, lambda: oracle.error_labels(DEFAULT)),
     "employee_append": (_employee_append, oracle.employee_append),
+    "employee_two_loaders": (_employee_two_loaders, oracle.employee_append),
     "extreme_costs": (_extreme_costs, oracle.extreme_costs),
     "stored_sql": (_stored_sql, lambda: oracle.daily_calls(WHOLE_DAYS)),
     "stream_load": (_stream_load, oracle.stream_load),

@@ -2,7 +2,7 @@
 
 Layout::
 
-    <root>/employees/                       the dimension (small files)
+    <root>/employees/<load_id>--part-*      the dimension (small files); ``_employees``: loads on their way in
     <root>/facts/table=<name>/event_date=<d>/load_id=<id>/part-*.parquet
     <root>/parts/                           sums of the API requests (``sources/parts.py``)
     <root>/_stream/<name>/                  what an incremental load remembers
@@ -26,6 +26,7 @@ Only a folder that does not exist reads as an empty table; every other error
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 from typing import Sequence
@@ -44,6 +45,7 @@ PARTITIONS = ["table", "event_date", "load_id"]
 MALFORMED = "malformed"
 QUARANTINE = "_quarantine"
 DECIDED = "decided.json"
+LOAD_END = "--"
 STORED_FACTS = T.StructType(
     list(DECODED.fields)
     + [T.StructField("line", T.StringType()),
@@ -127,26 +129,68 @@ def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
     return sorted(d for d in days if d[:1].isdigit())
 
 
+def _employee_files(spark: SparkSession, root: str) -> list[str]:
+    """Names of the files of the dimension; one listing."""
+    p = employees_path(root)
+    if not path_exists(spark, p):
+        return []
+    fs, folder = _folder(spark, p)
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return [n for n in names if n[0] not in "_."]
+
+
 def read_employees(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored dimension, one row per email. Where several loads have files (each file is named
+    after its load), two of them may have run side by side and both brought an email:
+    then the row of the earlier load_id is the email's, for every reader."""
     p = employees_path(root)
-    return spark.read.schema(EMPLOYEES).parquet(p) if path_exists(spark, p) else None
+    if not path_exists(spark, p):
+        return None
+    loads = {n.partition(LOAD_END)[0] if LOAD_END in n else "" for n in _employee_files(spark, root)}
+    if len(loads) < 2:
+        return spark.read.schema(EMPLOYEES).parquet(p)
+    rows = spark.read.schema(T.StructType([*EMPLOYEES.fields, T.StructField("load_id", T.StringType())])).parquet(p)
+    others = [c for c in EMPLOYEES.names if c != "email"]
+    first = rows.groupBy("email").agg(F.min_by(F.struct(*others), F.coalesce("load_id", F.lit(""))).alias("r"))
+    return first.select(*[F.col("email") if c == "email" else F.col(f"r.{c}").alias(c) for c in EMPLOYEES.names])
+
+
+def stage_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[str]) -> tuple[str, int]:
+    """S2 + S3 + J4: the emails of the CSV files that are not stored yet, written beside the
+    dimension. Returns the load_id, which starts with the time, and the number of rows."""
+    load_id = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
+    incoming = first_per_email(read_employee_csv(spark, csv_paths))
+    place = f"{root.rstrip('/')}/_employees/{load_id}"
+    new = insert_or_ignore(read_employees(spark, root), incoming)
+    new.select(*EMPLOYEES.names, F.lit(load_id).alias("load_id")).write.parquet(place)
+    return load_id, spark.read.schema(EMPLOYEES).parquet(place).count()
 
 
-def append_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[str]) -> int:
-    """S2 + S3 + J4: add the emails of the CSV files that are not stored yet.
+def publish_employees(spark: SparkSession, root: str, load_id: str) -> None:
+    """Move a staged load's files into the dimension, file by file under names of their own, so loads
+    side by side do not touch each other. After a stop midway the load can be published, or
+    appended, again."""
+    place = f"{root.rstrip('/')}/_employees/{load_id}"
+    fs, p = _folder(spark, place)
+    target = employees_path(root)
+    fs.mkdirs(_folder(spark, target)[1])
+    for f in fs.listStatus(p):
+        name = f.getPath().getName()
+        if name.startswith("part-") and not fs.rename(f.getPath(), _folder(spark, f"{target}/{load_id}{LOAD_END}{name}")[1]):
+            raise RuntimeError(f"{f.getPath()} could not be moved to {target}")
+    fs.delete(p, True)
 
-    The new rows are staged under the checkpoint folder first, so the append never
-    reads and writes the same folder in one job. Returns the number added."""
-    from usagelens.session import scratch_path
 
-    incoming = first_per_email(read_employee_csv(spark, csv_paths))
-    new = insert_or_ignore(read_employees(spark, root), incoming)
-    stage = scratch_path(spark, "employees")
-    new.write.parquet(stage)
-    staged = spark.read.schema(EMPLOYEES).parquet(stage)
-    n = staged.count()
+def append_employees(spark: SparkSession, root: str, csv_paths: str | Sequence[str]) -> int:
+    """S2 + S3 + J4: add the emails of the CSV files that are not stored yet. Returns how many
+    rows were added; of an email that another load added at the same time, one row is
+    read (``read_employees``). A table that ``declare_tables`` declares shows both."""
+    load_id, n = stage_employees(spark, root, csv_paths)
     if n:
-        staged.write.mode("append").parquet(employees_path(root))
+        publish_employees(spark, root, load_id)
+    else:
+        fs, place = _folder(spark, f"{root.rstrip('/')}/_employees/{load_id}")
+        fs.delete(place, True)
     return n
 
 
