@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from usagelens.functions.labels import error_label, heatmap_day_order, model_short_name, weekday_name
 from usagelens.operators.costs import BinnedCosts, PlainCosts, half_up_quotient, measure_costs
 from usagelens.operators.filters import UsageFilters, date_bounds
+from usagelens.operators.mailfilter import MailFilter, build_mail_filter
 from usagelens.operators.star import DEFAULT_LIMIT_BYTES, broadcast_allowed, join_employees
 from usagelens.tables import UsageTables
 
@@ -84,6 +85,15 @@ class UsagePage:
         """How this page's costs are summed: one small job over one column, when first needed."""
         return measure_costs(self._requests())
 
+    @cached_property
+    def mail_filter(self) -> MailFilter | None:
+        """The picked employees' emails for the fact scans; None where the dimension is
+        broadcast, nothing is picked, or the picks keep most of it."""
+        f = self.filters
+        if self.broadcast or (f.practices is None and f.levels is None and f.locations is None):
+            return None
+        return build_mail_filter(self.tables.employees, f.employee_predicate())
+
     def _requests(self) -> DataFrame:
         facts = self.tables.api_requests
         return facts.where(self.filters.time_predicate(facts) & self.filters.model_predicate())
@@ -148,6 +158,8 @@ class UsagePage:
             facts = facts.where(pred)
             if "cost_n" in parts:
                 facts = self.costs.prepare(facts)
+        if self.mail_filter is not None:
+            facts = facts.where(self.mail_filter.passes("user_email"))
         if grain:
             facts = facts.withColumns(dict(grain))
         emp = self.tables.employees.where(f.employee_predicate())

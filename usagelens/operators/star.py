@@ -14,6 +14,10 @@ Two physical shapes, chosen by a measured size of the (filtered) dimension:
 Callers describe the work as additive *parts* (a count is ``lit(1)``, a sum its
 value) and aggregate the joined rows with ``sum(part)``: the final aggregate is the
 same expression on either shape, so both give the same numbers.
+
+Two things spare the shuffle shape work: facts and dimension stored in buckets
+(``sources/buckets.py``) need no shuffle on either side, and a filter of the picked emails
+(``operators/mailfilter.py``) drops the other employees' rows before the aggregate.
 """
 
 from __future__ import annotations
@@ -28,6 +32,9 @@ DEFAULT_LIMIT_BYTES = 128 * 1024 * 1024
 # Per-row overhead added to the payload bytes when sizing a broadcast: the row
 # header and string offsets of Spark's row format, plus hash-table slots.
 _ROW_OVERHEAD = 64
+# Tables stored in buckets (``sources/buckets.py``) cut a hot email into several by this column.
+SALT = "bucket_salt"
+
 
 def dimension_bytes(employees: DataFrame) -> int:
     """Exact payload size of the dimension: one aggregate job, no rows to the driver."""
@@ -66,15 +73,19 @@ def join_employees(
     is always kept).
     """
     emp_cols = ["email"] + [c for c in employee_columns if c != "email"]
-    dim = employees.select(*emp_cols)
     keys = ["user_email"] + [g for g in grain if g != "user_email"]
+    salt = [SALT] if SALT in facts.columns and SALT in employees.columns else []
+    if SALT in employees.columns and not salt:
+        employees = employees.where(F.col(SALT) == 0)  # one row per email
+    dim = employees.select(*emp_cols, *[F.col(s).alias(f"dim_{s}") for s in salt])
     if broadcast:
-        narrow = facts.select(*keys, *[c.alias(n) for n, c in parts.items()])
-        joined = narrow.join(F.broadcast(dim), narrow.user_email == dim.email, "inner")
+        left, right = facts.select(*keys, *salt, *[c.alias(n) for n, c in parts.items()]), F.broadcast(dim)
     else:
-        pre = facts.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in parts.items()])
+        left = facts.groupBy(*keys, *salt).agg(*[F.sum(c).alias(n) for n, c in parts.items()])
         # Our measure said the dimension is too big to ship: keep Spark's planner
         # from broadcasting it on a smaller estimate. Sort-merge needs no hash table
         # of the dimension side, and AQE splits a skewed partition.
-        joined = pre.join(dim.hint("merge"), pre.user_email == dim.email, "inner")
+        right = dim.hint("merge")
+    on = [F.col("user_email") == F.col("email")] + [F.col(s) == F.col(f"dim_{s}") for s in salt]
+    joined = left.join(right, on, "inner")
     return StarJoin(joined.select(*keys, *parts.keys(), *emp_cols), broadcast)

@@ -9,6 +9,7 @@ for that before they return.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import replace
 from typing import Callable
 
@@ -284,6 +285,33 @@ def _parts_page(method: str, filters: UsageFilters) -> Builder:
     return _from_parts(lambda spark, root: getattr(parts.stored_page(spark, root, filters), method)())
 
 
+def _large_dimension(method: str) -> Builder:
+    """A narrowed page whose dimension is taken as too large to broadcast: the picked emails reach
+    the fact scan."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        page = _defined(spark, sf_dir, "large-dimension", lambda: UsagePage(_tables(spark, sf_dir), NARROWED, broadcast=False))
+        return getattr(page, method)()
+
+    return build
+
+
+def _bucketed(method: str, filters: UsageFilters) -> Builder:
+    """The same over API requests and employees stored in buckets of the email."""
+    from usagelens.sources import buckets
+
+    def make(spark: SparkSession, sf_dir: str):
+        name, facts = f"usage_{uuid.uuid4().hex[:12]}", ("api_requests",)
+        t = _tables(spark, sf_dir)
+        buckets.write_buckets(spark, t, name, scratch_path(spark, "buckets"), 8, facts)
+        return buckets.bucketed_tables(spark, t, name, facts)
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = _defined(spark, sf_dir, "buckets", lambda: make(spark, sf_dir))
+        return getattr(UsagePage(stored, filters, broadcast=False), method)()
+
+    return build
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _defined(spark, sf_dir, "decoded", lambda: D.decode_lines(_log_lines(spark, sf_dir)))
 
@@ -394,6 +422,10 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "parts_daily_usage": (_parts_page("daily_usage", WHOLE_DAYS), lambda: oracle.daily_usage(WHOLE_DAYS)),
     "parts_tokens_by_level": (_parts_page("tokens_by_level", DEFAULT), lambda: oracle.tokens_by_level(DEFAULT)),
     "parts_filter_options": (_from_parts(_parts_options), oracle.filter_options),
+    "large_dimension_kpi": (_large_dimension("kpi"), lambda: oracle.kpi(NARROWED)),
+    "large_dimension_tool_success": (_large_dimension("tool_success"), lambda: oracle.tool_success(NARROWED)),
+    "bucketed_cost_by_location": (_bucketed("cost_by_location", DEFAULT), lambda: oracle.cost_by_location(DEFAULT)),
+    "bucketed_top_engineers": (_bucketed("top_engineers", NARROWED), lambda: oracle.top_engineers(NARROWED)),
     "stored_daily_usage": (_stored_daily_usage, lambda: oracle.daily_usage(WHOLE_DAYS)),
 }
 
