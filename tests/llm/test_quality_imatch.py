@@ -1,10 +1,16 @@
 import hashlib
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import xxhash
 from odd import PROSE, SF_SMALL, odd_documents, odd_rows
+from pyspark.sql import functions as F
 
-from usagelens.llm import imatch, quality
+from usagelens.llm import imatch, quality, termclasses
+
+M64 = (1 << 64) - 1
 
 
 def test_scores_tell_held_out_quality(spark):
@@ -103,15 +109,80 @@ def test_fingerprints_of_odd_rows(spark):
     assert imatch.fingerprints(odd_documents(spark, [])).count() == 0
 
 
-def test_document_frequencies_equal_brute_force(spark):
+def band_by_hand(texts, low=imatch.MIN_IDF, high=imatch.MAX_IDF):
+    words = Counter(w for t in texts for w in set(t.encode().lower().split()))
+    return {w for w, n in words.items() if low <= math.log(len(texts) / n) <= high}
+
+
+def scramble(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M64
+    return x ^ x >> 31
+
+
+def fingerprint_by_hand(text, band):
+    """I-Match word by word, in plain integers."""
+    words = set(text.encode().lower().split())
+    kept = words & band
+    hashes = sorted(xxhash.xxh64_intdigest(w, 7) for w in (kept if len(kept) >= 4 else words))
+    out = []
+    for rung, bits in enumerate((4, 6, 8, 10, 12, 14), 1):
+        lists = {}
+        for h in hashes:
+            dealt = scramble(h ^ scramble(rung * 0x9E3779B97F4A7C15 & M64))
+            lists.setdefault(dealt >> 64 - bits, []).append(dealt)
+        for cell in range(min(32, 1 << bits)):
+            marks = [scramble(d + place & M64) for place, d in enumerate(lists.get(cell, []))]
+            out.append(scramble(sum(marks) & M64) % 255 + 1 if marks else 0)
+    return bytes(out).hex()
+
+
+def test_document_frequencies_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "TERMS_HELD", 5)
+    got = {r.term: r.n for r in imatch.document_frequencies(odd_documents(spark)).collect()}
+    words = Counter(w for r in odd_rows() for w in set((r[1] or "").encode().lower().split()))
+    assert got == {np.uint64(xxhash.xxh64_intdigest(w, 7)).astype(np.int64): n for w, n in words.items()}
+
+
+def test_class_frequencies_equal_brute_force(spark):
     rows = odd_rows()
-    total, n = imatch.document_frequencies(odd_documents(spark))
+    total, n = termclasses.class_frequencies(odd_documents(spark))
     want = np.zeros_like(total)
     for r in rows:
-        want[np.unique(imatch.slots(imatch.terms(r[1] or "")))] += 1
+        want[np.unique(termclasses.slots(imatch.terms(r[1] or "")))] += 1
     assert n == len(rows) and np.array_equal(total, want)
 
 
+def test_fingerprints_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = docs.collect()
+    band = band_by_hand([r.text or "" for r in rows])
+    assert 100 < len(band)
+    want = {r.doc_id: fingerprint_by_hand(r.text or "", band) for r in rows}
+    assert {r.doc_id: r.fingerprint for r in imatch.fingerprints(docs).collect()} == want
+
+
+def test_rare_and_common_terms_are_outside_the_band(spark):
+    """e^9 is 8103: in 10,000 documents a term of one document is rare, of two it is not."""
+    n = 10000
+    text = F.concat_ws(" ", F.lit("common"), F.concat(F.lit("once"), "doc_id"),
+                       F.concat(F.lit("pair"), F.floor(F.col("doc_id") / 2)),
+                       *[F.concat(F.lit(f"g{k}x"), F.floor(F.col("doc_id") / (40 + k))) for k in range(6)])
+    docs = spark.range(n).select(F.col("id").alias("doc_id")).withColumn("text", text)
+    words = imatch.lexicon(docs)
+    texts = [r.text for r in docs.collect()]
+    band = band_by_hand(texts)
+    assert set(words.tolist()) == {xxhash.xxh64_intdigest(w, 7) for w in band}
+    assert not any(w.startswith((b"once", b"common")) for w in band) and any(w.startswith(b"pair") for w in band)
+    a, b = texts[0], texts[0].replace("once0", "once-other")
+    assert np.array_equal(imatch.fingerprint(a, words), imatch.fingerprint(b, words))
+    assert not np.array_equal(imatch.fingerprint(a, words), imatch.fingerprint(a.replace("pair0", "pair7"), words))
+    # No room for the pairs: the upper edge comes down until the band fits.
+    few = imatch.lexicon(docs, most=3000)
+    assert 0 < len(few) <= 3000 and set(few) < set(words)
+    assert set(few.tolist()) == {xxhash.xxh64_intdigest(w, 7) for w in band if not w.startswith(b"pair")}
+
+
 def test_place_keys_sort_as_triples():
     import random
 

@@ -1,15 +1,18 @@
 """I-Match document fingerprints over randomised lexicons.
 
-Terms are words (runs of bytes other than ASCII white space, A-Z lower-cased). The
-lexicon keeps terms whose inverse document frequency ln(N / df) lies in [MIN_IDF,
-MAX_IDF]; df is counted over all documents for 2^SLOT_BITS classes of terms by hash, so
-the lexicon is a bitmap of fixed size whatever the vocabulary. A text with fewer than
-MIN_TERMS such terms uses all its terms.
+Terms are words (runs of bytes other than ASCII white space, A-Z lower-cased), by 64-bit
+hash. The number of documents that hold a term is counted for every term over all documents. The
+lexicon keeps terms whose inverse document frequency ln(N / df) is at least MIN_IDF and at most the upper
+edge: the largest multiple of 1 / EDGE_STEPS, MAX_IDF at most, that leaves no more than MOST_TERMS
+terms (8 MB). Terms of the band are in at least N / e^MAX_IDF documents, so there are at most
+e^MAX_IDF (8103) times as many as a text has terms on average, however many documents. Terms
+in so few documents (misspellings, numbers) decide nothing, nor do those in more than one of 20. A
+text with fewer than MIN_TERMS terms of the band uses all its terms.
 
 A fingerprint holds one byte for each of SUBSETS random lexicons. They come in rungs: at
 a rung of 2^b cells a hash deals every term to one cell and the first CELLS cells are
 lexicons of it, so the lexicons of a rung keep a 2^-b share of the terms each. Of a
-text's distinct terms, sorted, those in a lexicon are hashed to a byte (0: none). Small
+text's distinct terms, sorted, those in a lexicon are hashed, in that order, to a byte (0: none). Small
 rungs have many terms a lexicon and agree only for nearly equal texts; large ones have
 few and still agree for texts that share a part.
 
@@ -41,9 +44,11 @@ from pyspark.sql import functions as F
 from usagelens.llm.common import ship, stage, text_or_empty, width
 from usagelens.llm.neardup import HASHES, mix
 
-SLOT_BITS = 18
 MIN_IDF = 3.0
-MAX_IDF = 16.0
+MAX_IDF = 9.0
+EDGE_STEPS = 16
+MOST_TERMS = 1 << 20
+TERMS_HELD = 1 << 22
 MIN_TERMS = 4
 RUNGS = (4, 6, 8, 10, 12, 14)
 CELLS = 32
@@ -64,16 +69,14 @@ def terms(text: str) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join(map(HASHES.__getitem__, found)), "<u8"))
 
 
-def slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> _U(64 - SLOT_BITS)).astype(np.int64)
-
-
 def fingerprint(text: str, lexicon: np.ndarray) -> np.ndarray:
-    """SUBSETS bytes; ``lexicon`` marks the term classes in the band."""
+    """SUBSETS bytes; ``lexicon`` holds the terms of the band, sorted."""
     t = terms(text)
-    inside = t[lexicon[slots(t)]]
-    if len(inside) >= MIN_TERMS:
-        t = inside
+    if len(lexicon):
+        at = np.minimum(np.searchsorted(lexicon, t), len(lexicon) - 1)
+        inside = t[lexicon[at] == t]
+        if len(inside) >= MIN_TERMS:
+            t = inside
     out = np.zeros(SUBSETS, np.uint8)
     if not len(t):
         return out
@@ -88,9 +91,11 @@ def fingerprint(text: str, lexicon: np.ndarray) -> np.ndarray:
     if not len(cell):
         return out
     order = np.argsort(cell, kind="stable")  # terms of a lexicon stay in sorted order
-    cell, mark = cell[order], mix(mark[order])
+    cell, mark = cell[order], mark[order]
     first = np.flatnonzero(np.diff(cell, prepend=-1))
-    sums = mix(np.add.reduceat(mark, first))
+    # A term's place in its lexicon's sorted list goes into its hash.
+    place = np.arange(len(cell)) - np.repeat(first, np.diff(np.append(first, len(cell))))
+    sums = mix(np.add.reduceat(mix(mark + place.astype(np.uint64)), first))
     out[cell[first]] = (sums % _U(255) + _U(1)).astype(np.uint8)
     return out
 
@@ -109,35 +114,46 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << SLOT_BITS, np.int64)
-    docs = 0
+    """Texts -> (term, documents that hold it), summed over as many texts as TERMS_HELD terms allow."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def counted() -> pa.RecordBatch:
+        term, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+
     for batch in batches:
         for t in batch.column(0):
-            total[np.unique(slots(terms(t.as_py())))] += 1
-            docs += 1
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], docs))],
-                                     names=["slot", "n"])
+            held.append(terms(t.as_py()))
+            size += len(held[-1])
+            if size >= TERMS_HELD:
+                yield counted()
+                held, size = [], 0
+    if held:
+        yield counted()
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per term class, and documents in all; summed over all rows."""
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(term, n): the documents that hold each term, over all rows; ``term`` is its hash."""
     ship(docs.sparkSession)
-    rows = (docs.select(text_or_empty().alias("t")).mapInArrow(count_batches, "slot long, n long")
-            .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())  # 2^SLOT_BITS + 1 rows at most
-    total, docs_n = np.zeros(1 << SLOT_BITS, np.int64), 0
-    for slot, n in zip(rows["slot"].to_numpy(), rows["n"].to_numpy()):
-        if slot < 0:
-            docs_n = int(n)
-        else:
-            total[slot] = n
-    return total, docs_n
-
-
-def lexicon(docs: DataFrame, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> np.ndarray:
-    df, n = document_frequencies(docs)
-    idf = np.log(max(n, 1) / np.maximum(df, 1))
-    return (df > 0) & (idf >= min_idf) & (idf <= max_idf)
+    return (docs.select(text_or_empty().alias("t")).mapInArrow(count_batches, "term long, n long")
+            .groupBy("term").agg(F.sum("n").alias("n")))
+
+
+def lexicon(docs: DataFrame, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF, most: int = MOST_TERMS) -> np.ndarray:
+    """The terms of the band, sorted: ``most`` at most."""
+    idf = F.log(F.lit(float(docs.count())) / F.col("n"))
+    step = F.greatest(F.ceil(idf * EDGE_STEPS), F.ceil(F.lit(min_idf * EDGE_STEPS)))
+    band = stage(document_frequencies(docs).where((idf >= min_idf) & (idf <= max_idf))
+                 .select("term", step.cast("int").alias("step")), "band")
+    edge = room = 0
+    for r in sorted(band.groupBy("step").count().collect()):  # a row for each step of the band
+        room += r["count"]
+        if room > most:
+            break
+        edge = r["step"]
+    found = band.where(F.col("step") <= edge).select("term").toPandas()["term"].to_numpy(np.int64)
+    return np.sort(found.view(_U))
 
 
 def pair_batches(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -190,7 +206,7 @@ def fingerprints(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
     ship(spark)
     if words is None:
         words = lexicon(docs)
-    shared = spark.sparkContext.broadcast(words)  # 2^SLOT_BITS marks
+    shared = spark.sparkContext.broadcast(words)  # MOST_TERMS hashes
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).select(
         "doc_id", F.xxhash64("t").alias("h"), "t")
     # Cut the order into runs: the first key of each of a range partitioning's parts.

@@ -55,8 +55,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import ship, stage, text_or_empty
-from usagelens.llm.imatch import document_frequencies, slots
 from usagelens.llm.neardup import HASHES
+from usagelens.llm.termclasses import class_frequencies, slots
 
 MIN_PIECE = 16
 MIN_RUN = 12
@@ -344,7 +344,7 @@ def labelled_batches(batches: Iterator[pa.RecordBatch], dictionary: np.ndarray)
 def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Scanner:
     spark = docs.sparkSession
     ship(spark)
-    df, n = document_frequencies(docs)
+    df, n = class_frequencies(docs)
     dictionary = df >= max(2.0, DICTIONARY_SHARE * n)
     shared = spark.sparkContext.broadcast(dictionary)  # one mark per term class
     found = stage(docs.select(text_or_empty().alias("t")).mapInArrow(lambda it: labelled_batches(it, shared.value),
