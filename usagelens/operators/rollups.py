@@ -14,7 +14,7 @@ same for every join shape and restated by the DuckDB oracle:
 from __future__ import annotations
 
 from functools import cached_property
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from usagelens.operators.costs import BinnedCosts, PlainCosts, half_up_quotient,
 from usagelens.operators.filters import UsageFilters, date_bounds
 from usagelens.operators.mailfilter import MailFilter, build_mail_filter
 from usagelens.operators.star import DEFAULT_LIMIT_BYTES, broadcast_allowed, join_employees
+from usagelens.session import stage_table
 from usagelens.tables import UsageTables
 
 
@@ -45,6 +46,8 @@ def p_success() -> Column:
 
 
 HOURS = list(range(24))
+# Hash buckets of error messages that one task counts (``top_errors_free_text``).
+ERROR_BUCKETS = 1 << 16
 
 
 def percent_1dp(hits: str, total: str) -> Column:
@@ -144,6 +147,7 @@ class UsagePage:
         employee_columns: Sequence[str] = (),
         model_filter: bool = True,
         extra: Column | None = None,
+        keep: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         f = self.filters
         if self._base is not None and fact == "api_requests" and model_filter and extra is None:
@@ -160,6 +164,8 @@ class UsagePage:
                 facts = self.costs.prepare(facts)
         if self.mail_filter is not None:
             facts = facts.where(self.mail_filter.passes("user_email"))
+        if keep is not None:
+            facts = keep(facts)
         if grain:
             facts = facts.withColumns(dict(grain))
         emp = self.tables.employees.where(f.employee_predicate())
@@ -267,10 +273,10 @@ class UsagePage:
         )
 
     # -- Q10 / Q13 -----------------------------------------------------------
-    def top_errors(self, top: int = 10) -> DataFrame:
+    def top_errors(self, top: int = 10, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
         j = self.joined(
             "api_errors", {"model": F.col("model"), "error_message": F.col("error_message")},
-            {"n": p_n()}, model_filter=False,
+            {"n": p_n()}, model_filter=False, keep=keep,
         )
         return (
             j.groupBy("model", "error_message").agg(F.sum("n").alias("occurrences"))
@@ -279,6 +285,36 @@ class UsagePage:
             .limit(top)
         )
 
+    def top_errors_free_text(self, top: int = 10, buckets: int = ERROR_BUCKETS) -> DataFrame:
+        """``top_errors`` where messages are free text (request ids, times), so that nearly every
+        row is a group of its own: the same rows without shuffling a group per message.
+
+        1. Rows are counted per hash bucket of (model, message): at most ``buckets`` rows leave a
+           task. A group's count is at most its bucket's.
+        2. The groups of the fullest ``4 * top`` buckets are counted exactly; the count at place ``top``
+           is a floor (0 if there are fewer groups).
+        3. A group that reaches the floor lies in a bucket that does: the groups of those
+           buckets alone are counted exactly, and the top of them is the answer, ties included.
+
+        Three scans; how many groups step 3 counts falls with the share of the top messages. With
+        no frequent message at all every bucket passes, and step 3 is ``top_errors``."""
+        facts = self.tables.api_errors
+        facts = facts.where(self.filters.time_predicate(facts))
+        if self.mail_filter is not None:
+            facts = facts.where(self.mail_filter.passes("user_email"))
+        bucket = F.pmod(F.xxhash64("model", "error_message"), F.lit(buckets))
+        # An upper bound: employees that the join leaves out only lower a group's count.
+        most = stage_table(facts.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("most")), "error-buckets")
+
+        def within(chosen: DataFrame) -> Callable[[DataFrame], DataFrame]:
+            listed = F.broadcast(chosen.select(F.col("bucket").alias("listed")))  # at most ``buckets`` rows
+            return lambda rows: rows.join(listed, bucket == F.col("listed"), "left_semi")
+
+        fullest = most.orderBy(F.desc("most"), "bucket").limit(4 * top)
+        last = self.top_errors(top, within(fullest)).agg(F.min("occurrences").alias("least"), F.count(F.lit(1)).alias("n")).first()
+        floor = last["least"] if last["n"] == top else 0
+        return self.top_errors(top, within(most.where(F.col("most") >= floor)))
+
     def error_label_totals(self, top: int = 10) -> DataFrame:
         """The top errors with their bar label and the label's summed length, which
         orders the bars ("total ascending"); a label can span several models."""

@@ -27,8 +27,8 @@ from usagelens.operators.filters import UsageFilters, date_bounds, filter_option
 from usagelens.operators.costs import measure_costs
 from usagelens.operators.rollups import UsagePage
 from usagelens.plans import oracle
-from usagelens.sources.standin import (MODEL_HEAD, MODEL_TAIL, dirty_number, extreme_requests, read_table,
-                                       standin_tables)
+from usagelens.sources.standin import (MODEL_HEAD, MODEL_TAIL, dirty_number, extreme_requests, free_text_errors,
+                                       read_table, standin_tables)
 from usagelens.sources.telemetry import spread
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +285,12 @@ def _parts_page(method: str, filters: UsageFilters) -> Builder:
     return _from_parts(lambda spark, root: getattr(parts.stored_page(spark, root, filters), method)())
 
 
+def _top_errors_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10 where most messages hold a request id."""
+    t = _tables(spark, sf_dir)
+    return UsagePage(replace(t, api_errors=free_text_errors(t.api_errors)), DEFAULT).top_errors_free_text()
+
+
 def _large_dimension(method: str) -> Builder:
     """A narrowed page whose dimension is taken as too large to broadcast: the picked emails reach
     the fact scan."""
@@ -424,6 +430,7 @@ EXTRA: dict[str, tuple[Builder, Callable[[], str]]] = {
     "parts_filter_options": (_from_parts(_parts_options), oracle.filter_options),
     "large_dimension_kpi": (_large_dimension("kpi"), lambda: oracle.kpi(NARROWED)),
     "large_dimension_tool_success": (_large_dimension("tool_success"), lambda: oracle.tool_success(NARROWED)),
+    "top_errors_free_text": (_top_errors_free_text, oracle.top_errors_free_text),
     "bucketed_cost_by_location": (_bucketed("cost_by_location", DEFAULT), lambda: oracle.cost_by_location(DEFAULT)),
     "bucketed_top_engineers": (_bucketed("top_engineers", NARROWED), lambda: oracle.top_engineers(NARROWED)),
     "stored_daily_usage": (_stored_daily_usage, lambda: oracle.daily_usage(WHOLE_DAYS)),

@@ -207,6 +207,14 @@ def top_errors(f: UsageFilters, top: int = 10) -> str:
     return page("SELECT * FROM te", f, "api_errors", False, _errors(top))
 
 
+def top_errors_free_text() -> str:
+    """``standin.free_text_errors`` restated."""
+    free = """free_errors AS (
+  SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 3 <> 0 THEN error_message || ' (request ' || event_id || ')'
+                    ELSE error_message END AS error_message) FROM api_errors)"""
+    return page("SELECT * FROM te", UsageFilters(), "free_errors", False, _errors(10), free)
+
+
 LABEL = "left(error_message, 45) || '...'"
 
 
