@@ -63,6 +63,51 @@ def test_family_whose_members_meet_only_in_tiles(spark):
     assert found(got) == brute(rows, 2)[0]
 
 
+def site(pages, seed=4):
+    """Pages of one template (150 of 190 words), every tenth with a partner that is linked with it."""
+    rng = random.Random(seed)
+    head, rows = [f"t{k}" for k in range(150)], []
+    for p in range(pages):
+        own = [f"p{rng.randrange(10 ** 9)}" for _ in range(40)]
+        if p % 10 == 9:
+            own = rows[-1][1].split()[150:]
+            for _ in range(4):
+                own[rng.randrange(40)] = f"q{rng.randrange(10 ** 9)}"
+        rows.append(doc(p, " ".join(head + own)))
+    return rows
+
+
+def test_pages_of_one_template_make_rows_in_proportion(spark, monkeypatch):
+    """A crowded bucket of texts that are alike but not linked: rows to compare grow with the
+    pages, not with their square, and no link is lost."""
+    counts = []
+    count = neardup._row_count
+    monkeypatch.setattr(neardup, "_row_count", lambda open_, tile: counts.append(count(open_, tile)) or counts[-1])
+    before, after = {}, {}
+    for pages in (300, 1200):
+        rows = site(pages)
+        got = neardup.near_duplicates(odd_documents(spark, rows), 2, tile=16)
+        comps = {r.doc_id: r.component_id for r in got.collect()}
+        assert all(comps[p] == (p - 1 if p % 10 == 9 else p) for p in comps)
+        if pages == 300:
+            assert found(got) == brute(rows, 2)[0]
+        before[pages], after[pages] = counts[-2:]
+    assert before[1200] > 8 * before[300]               # as band buckets: with the square
+    assert after[1200] < 6 * max(after[300], 20) and after[1200] < before[1200] / 10
+
+
+def test_crowded_buckets_of_linked_families(spark):
+    """Families around the limit inside a crowd: dealing anew or not, all links are found."""
+    rng = random.Random(6)
+    base, rows = [f"w{i}" for i in range(90)], []
+    for i in range(160):
+        w = list(base if i < 80 else rows[rng.randrange(len(rows))][1].split())
+        for _ in range(rng.randrange(1, 9)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append(doc(i, " ".join(w)))
+    assert found(neardup.near_duplicates(odd_documents(spark, rows), 2, tile=4)) == brute(rows, 2)[0]
+
+
 def test_deduplicate_keeps_one_row_of_each_group(spark):
     rows = odd_rows() + [doc(20 + k, PROSE) for k in range(30)]
     frame = odd_documents(spark, rows)

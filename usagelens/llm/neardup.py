@@ -26,7 +26,12 @@ documents are groups.
    components, the bucket is cut into tiles of at most about TILE members a side, and a
    tile compares its members across components in memory: estimate, then full sets.
    Only links leave it. So every pair that shares a bucket is decided, whatever the
-   size of the bucket, and no list of pairs is ever written.
+   size of the bucket, and no list of pairs is ever written. A bucket of more than two
+   blocks has a row for each member and block. Texts of one template fill such buckets without
+   being linked, so the members of crowded buckets are first dealt out anew, by the rarest of
+   their runs as the short sets are (by classes of runs counted among these members): linked ones
+   share one for certain, and runs that no other component shares leave nothing to compare. The
+   new buckets take the place of the crowded ones wherever that makes fewer rows.
 5. *Components* of all links by least-neighbour labels with pointer jumping.
 
 Full sets (48 bits of each hash) are computed again from the texts for the nodes that
@@ -207,6 +212,30 @@ def first_runs(hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarr
     return hashes[order[:len(hashes) + (-percent * len(hashes)) // 100 + 1]]
 
 
+def packed_runs(data: bytes) -> np.ndarray:
+    """A packed set's hashes, the bits that were not kept zero."""
+    return unpack_set(data) << _U(16)
+
+
+def packed_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, packed set) -> (class, n): how many of the runs are of a class."""
+    total = np.zeros(1 << RUN_CLASS_BITS, np.int64)
+    for batch in batches:
+        for members in batch.column(1):
+            total += np.bincount(run_class(packed_runs(members.as_py())), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["class", "n"])
+
+
+def rare_run_batches(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """(node, packed set) -> (key, node): a bucket for each of a set's rarest runs."""
+    for batch in batches:
+        for node, members in zip(batch.column(0).to_pylist(), batch.column(1)):
+            keys = mix(first_runs(packed_runs(members.as_py()), counts, percent) + _U(0xD1B54A32D192ED03))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), node))],
+                                             names=["key", "node"])
+
+
 def bucket_batches(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """(node, n, sketch, short) -> (key, node)."""
     bands = REGISTERS // ROWS
@@ -331,6 +360,51 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("u", "l")
 
 
+def _several(left: DataFrame) -> DataFrame:
+    """(key, c) of the buckets that hold several components, one of those with the very same members."""
+    return (left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"),
+                                    F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"))
+            .where("lo != hi").groupBy("c", "members", "lo", "hi").agg(F.min("key").alias("key")).select("key", "c"))
+
+
+def _row_count(open_: DataFrame, tile: int) -> int:
+    """Rows that ``tile_rows`` makes of these buckets."""
+    return open_.agg(F.sum(F.col("c") * F.ceil(F.col("c") / F.lit(tile)))).first()[0] or 0
+
+
+def open_buckets(left: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """(key, node, label) and (key, c) of the buckets to compare in tiles: those that still hold
+    several components, the crowded ones dealt out anew by rare runs where that makes fewer rows."""
+    open_ = stage(_several(left), "open")
+    crowded, spark = open_.where(F.col("c") > 2 * tile), left.sparkSession
+    before = _row_count(crowded, tile)
+    if not before:
+        return left, open_
+    crowd = stage(left.join(crowded, "key").select("node").distinct(), "crowd")
+    members = sets.join(crowd, "node").select("node", "members")
+    counts = np.zeros(1 << RUN_CLASS_BITS, np.int64)  # a number a class, whatever the corpus
+    found = members.mapInArrow(packed_count_batches, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toPandas()
+    counts[found["class"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast(counts)
+    dealt = stage(members.mapInArrow(lambda it: rare_run_batches(it, shared.value, percent), "key long, node long")
+                  .join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "rare-runs")
+    anew = stage(_several(dealt), "open-rare-runs")
+    if _row_count(anew, tile) >= before:
+        return left, open_
+    few = open_.where(F.col("c") <= 2 * tile)
+    return left.join(few.select("key"), "key").union(dealt.join(anew.select("key"), "key")), few.union(anew)
+
+
+def tile_rows(left: DataFrame, open_: DataFrame, nodes: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
+    """A row for each member of an open bucket and tile that it is in."""
+    blocks = F.ceil(F.col("c") / F.lit(tile))
+    return (left.join(open_, "key").join(nodes.select("node", "sketch"), "node").join(sets, "node")
+            .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "node", "label", "sketch", "members"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, keeper, tkey: one row per document. ``kept``
     is doc_id = component_id; ``keeper`` marks exactly one row of every group."""
@@ -370,16 +444,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     labels = components(first)
     left = stage(buckets.where("c > 2 and node != least").join(labels, "node", "left")
                  .select("key", "node", F.coalesce("label", "node").alias("label")), "open-buckets")
-    # Buckets that still hold several components, one of those with the very same members.
-    open_ = (left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"),
-                                     F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"))
-             .where("lo != hi").groupBy("c", "members", "lo", "hi").agg(F.min("key").alias("key")).select("key", "c"))
-    blocks = F.ceil(F.col("c") / F.lit(tile))
-    rows = (left.join(open_, "key").join(nodes.select("node", "sketch"), "node").join(sets, "node")
-            .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "node", "label", "sketch", "members"))
+    left, open_ = open_buckets(left, labels, sets, percent, tile)
+    rows = tile_rows(left, open_, nodes, sets, tile)
     more = stage(rows.repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
                  .mapInArrow(lambda it: tile_batches(it, percent), "a long, b long"), "tile-links")
     whole = components(first.union(more))
