@@ -11,7 +11,8 @@ as the bucket shares they fill, and the dimension has a row for each salt, at mo
 rollups need no other change. Rows without an email, which join nothing, are spread too.
 
 The tables are a copy of what the facts held when they were written; write them again after a
-load. ``tables`` names what to write; a missing fact reads as given.
+load. ``facts`` names the fact tables to store; the others stay as they were given. Copies of one
+event (same id and time) share a salt.
 """
 
 from __future__ import annotations
