@@ -107,6 +107,24 @@ def test_tokenizer_cache_equals_the_library():
         assert tok.ids(t).tolist() == tok.t.encode(t, add_special_tokens=False).ids
 
 
+def test_forms_of_a_word_share_one_cache_entry():
+    tok, made = WordTokenizer(), []
+    for cache in [v for v in vars(tok).values() if hasattr(v, "make")]:
+        cache.make = (lambda make: lambda w: made.append(w) or make(w))(cache.make)
+    words = [a + b + c for a in "bdfg" for b in "aeiou" for c in "klmn"]
+    text = " ".join(f"{w} {w.upper()}. {w}, {w.capitalize()}!" for w in words)
+    assert tok.ids(text).tolist() == tok.t.encode(text, add_special_tokens=False).ids
+    assert len(made) <= len(words) + 3
+
+
+def test_any_mix_of_pieces_equals_the_library():
+    rng, tok = np.random.default_rng(3), WordTokenizer(limit=20)
+    chars = list("aabzZ09.,'&-_ \n\t") + ["'s", "'ll", "é", "ÀB", "×", "ÿ", "\xa0", "\x85", "\u3000", "\x01", "\x7f", "Σ", "İ", "日本", "😀", "e\u0301"]
+    for _ in range(3000):
+        text = "".join(rng.choice(chars, rng.integers(0, 25)))
+        assert tok.ids(text).tolist() == tok.t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_copies_of_one_key_are_unfolded_by_many_tasks(spark, monkeypatch):
     from odd import doc
 

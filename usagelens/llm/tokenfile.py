@@ -48,6 +48,8 @@ _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _MASK = np.uint64((1 << PRECISION) - 1)
 _SHIFT = np.uint64(PRECISION)
+_SLOTS = np.uint64(1 << PRECISION)
+_ROOM = np.uint64(63 - PRECISION)
 _MAGIC = b"UTB1"
 # magic, documents, ids, lanes, steps, words, checkpoints, crc of the frequencies, of the ids, of the rest
 _HEADER = struct.Struct("<4sIQIIIIIII")
@@ -94,11 +96,12 @@ def encode_ids(ids: np.ndarray, table: Frequencies, lanes: int, every: int):
     for t in range(steps - 1, -1, -1):
         step = ids[t * lanes:(t + 1) * lanes]
         f, s = table.freq[step], x[:len(step)]
-        full = s >= (f << np.uint64(63 - PRECISION))
-        out[t] = s[full].astype(np.uint32)
-        s = np.where(full, s >> _WORD, s)
+        full = np.flatnonzero(s >= (f << _ROOM))
+        moved = s[full]
+        out[t] = moved.astype(np.uint32)
+        s[full] = moved >> _WORD
         q = s // f
-        x[:len(step)] = (q << _SHIFT) + (s - q * f) + table.first[step]
+        s += q * (_SLOTS - f) + table.first[step]  # (q << PRECISION) + (s - q * f) + first
         if t % every == 0:
             states[t] = x.copy()
     before = np.concatenate([[0], np.cumsum([len(w) for w in out])])
@@ -149,20 +152,20 @@ class Block:
         first, pos, states = self.marks[k]
         last = self.marks[k + 1][0] if k + 1 < len(self.marks) else self.steps
         x, t = states.astype(np.uint64), self.table
+        slots = t.slots
         out = np.empty(min(last * self.lanes, self.n_ids) - first * self.lanes, np.uint32)
         for at in range(0, len(out), self.lanes):
-            w = min(self.lanes, len(out) - at)
-            s = x[:w]
+            s = x[:min(self.lanes, len(out) - at)]
             slot = s & _MASK
-            ids = t.slots[slot.astype(np.int64)]
-            out[at:at + w] = ids
-            s = t.freq[ids] * (s >> _SHIFT) + slot - t.first[ids]
-            need = s < _LOW
-            taken = int(need.sum())
-            if taken:
-                s[need] = (s[need] << _WORD) | self.words[pos:pos + taken]
-                pos += taken
-            x[:w] = s
+            ids = slots[slot.view(np.int64)]
+            out[at:at + len(s)] = ids
+            s >>= _SHIFT
+            s *= t.freq[ids]
+            slot -= t.first[ids]
+            s += slot
+            need = np.flatnonzero(s < _LOW)
+            s[need] = (s[need] << _WORD) | self.words[pos:pos + len(need)]
+            pos += len(need)
         return out
 
     def ids(self) -> np.ndarray:

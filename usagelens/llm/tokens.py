@@ -2,15 +2,15 @@
 
 ``WordTokenizer.ids(text)`` equals ``Tokenizer.encode(text, add_special_tokens=False)``
 for a vocabulary whose pre-tokenizer never joins text across white space
-(word_bpe_49k.json: white space is dropped). It encodes each distinct white-space
-delimited piece once and keeps the result in a cache of bounded size, since the
-library's own time goes to normalising and splitting the same words again and again.
+(word_bpe_49k.json: white space is dropped). It encodes each distinct word once and keeps
+the result in a cache of bounded size, since the library's own time goes to normalising and
+splitting the same words again and again.
 
 * A text holding the string of an added token, or a control character that Python
   splits at and the vocabulary doesn't (U+001C to U+001F), is encoded whole.
-* A piece of letters of ASCII and Latin-1, digits and ASCII punctuation is lower-cased
-  and cut here with the vocabulary's own split pattern, so `The`, `the,` and `the.`
-  share one encoded unit; any other piece is given to the library as it is.
+* White-space delimited pieces of letters of ASCII and Latin-1, digits and ASCII punctuation are
+  lower-cased and cut here as the vocabulary's own split pattern does, whole stretches of text at once, so
+  `The`, `the,` and `the.` share one encoded unit; any other piece is given to the library as it is.
 """
 
 from __future__ import annotations
@@ -24,10 +24,16 @@ import numpy as np
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 
-_PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PLAIN = "\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_OTHER = re.compile(f"[^\\s{_PLAIN}]")
+# Neighbouring pieces that each hold such a character; tried where a piece begins.
+_OTHER_PIECE = f"[{_PLAIN}]*+[^\\s{_PLAIN}]\\S*+"
+_OTHER_PIECES = re.compile(f"(?<!\\S){_OTHER_PIECE}(?:\\s++{_OTHER_PIECE})*+")
 # The split pattern of the vocabulary file (a fixed value), its classes cut down to
 # the characters of _PLAIN.
 _UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\\sa-z\xdf-\xf6\xf8-\xff0-9]+")
+# A letter always ends a unit where punctuation other than ' follows.
+_AFTER_LETTER = re.compile("([!-&(-/:-@\\[-`{-~])(?<=[a-z\xdf-\xf6\xf8-\xff].)")
 _SPLIT_ONLY_HERE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -39,24 +45,24 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class _Cache(dict):
-    """Piece -> bytes of its ids, for the first ``limit`` short pieces met; others are
+    """Word -> bytes of its ids, for the first ``limit`` short words met; others are
     encoded each time."""
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit = make, limit
 
-    def __missing__(self, piece: str) -> bytes:
-        got = self.make(piece)
-        if len(piece) <= 64 and len(self) < self.limit:
-            self[piece] = got
+    def __missing__(self, word: str) -> bytes:
+        got = self.make(word)
+        if len(self) < self.limit and len(word) <= 64:
+            self[word] = got
         return got
 
 
 class WordTokenizer:
-    """Encoder with caches of at most ``limit`` pieces and as many units (about 200 bytes each)."""
+    """Encoder with a cache of at most ``limit`` words (about 200 bytes each)."""
 
-    def __init__(self, name: str = VOCABULARY, limit: int = 150_000):
+    def __init__(self, name: str = VOCABULARY, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -69,8 +75,7 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2") if self.size <= 65536 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.added = tuple(x.content for x in self.t.get_added_tokens_decoder().values())
-        self.units = _Cache(self._unit, limit)
-        self.pieces = _Cache(self._piece, limit)
+        self.words = _Cache(self._word, limit)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -81,22 +86,31 @@ class WordTokenizer:
             unit = unit.translate(self.byte_level)
         return array(self.code, [x.id for x in self.model.tokenize(unit)]).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        units = self.units
-        if piece.isascii() and piece.isalpha():
-            return units[piece.lower()]
-        head, last = piece[:-1], piece[-1]
-        if last in ",." and head.isascii() and head.isalpha():
-            return units[head.lower()] + units[last]
-        if _PLAIN.fullmatch(piece) is None:
-            return self._encode(piece)
-        return b"".join([units[u] for u in _UNITS.findall(piece.lower())])
+    def _word(self, word: str) -> bytes:
+        """A lower-cased word of _PLAIN characters, mostly one unit, or any other piece."""
+        if word.isascii() and word.isalpha():
+            return array(self.code, [x.id for x in self.model.tokenize(word)]).tobytes()
+        if _OTHER.search(word) is not None:
+            return self._encode(word)
+        units = _UNITS.findall(word)
+        return self._unit(word) if len(units) == 1 else b"".join([self.words[u] for u in units])
+
+    def _plain(self, text: str) -> bytes:
+        """Pieces of _PLAIN characters and the white space between them."""
+        return b"".join(map(self.words.__getitem__, _AFTER_LETTER.sub(r" \1", text.lower()).split()))
 
     def raw(self, text: str) -> bytes:
         """The ids as little-endian integers of ``self.dtype``, one after another."""
         if any(c in text for c in _SPLIT_ONLY_HERE) or any(a in text for a in self.added):
             return self._encode(text)
-        return b"".join(map(self.pieces.__getitem__, text.split()))
+        if _OTHER.search(text) is None:
+            return self._plain(text)
+        out, at = [], 0
+        for other in _OTHER_PIECES.finditer(text):
+            out.append(self._plain(text[at:other.start()]))
+            out += map(self.words.__getitem__, other[0].split())
+            at = other.end()
+        return b"".join([*out, self._plain(text[at:])])
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), self.dtype)
