@@ -75,3 +75,22 @@ def test_edges(spark, tmp_path):
         E.read_employee_csv(spark, f"{tmp_path}/d")
     with pytest.raises(ValueError, match="no employee CSV"):
         E.read_employee_csv(spark, f"{tmp_path}/d/a.csv")
+
+
+def test_a_task_joins_records_while_its_lines_pass(spark, tmp_path):
+    import pyarrow as pa
+
+    taken = []
+
+    def batches():
+        for k in range(50):
+            taken.append(k)
+            value = ['q,"a', 'b"', f"x{k},y"] * 10
+            yield pa.RecordBatch.from_pydict({"path_no": [0] * 30, "file": ["f"] * 30, "block": [0] * 30, "value": value,
+                                              "odd": [v.count('"') % 2 for v in value], "base": [0] * 30})
+
+    first = next(E._record_batches(batches()))
+    assert len(taken) == 1 and first.num_rows == 20 and first["record"][0].as_py() == 'q,"a\nb"'
+    written(f"{tmp_path}/a.csv", [(f"e{i}", 'a\n"b"', "p", "l", "z") for i in range(50)])
+    stages = E.csv_records(spark, [str(tmp_path)])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in stages

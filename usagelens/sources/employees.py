@@ -11,10 +11,11 @@
 * Across loads the stored rows win (insert-or-ignore): only emails not yet
   stored are appended (``left_anti``).
 
-Files are split like any text, also inside quoted fields: lines are read in blocks, a prefix
-sum over the blocks of a file (and inside each block) of the lines with an odd number of quotes
-tells of every line whether it starts inside a quoted field, and the lines of one record are
-joined again. Headers are found in the same pass, so the number of jobs does not depend on
+Files are split like any text, also inside quoted fields: lines are read in blocks, and a prefix
+sum over the blocks of a file of the lines with an odd number of quotes tells whether a block starts
+inside a quoted field. A task then passes over its blocks line by line and joins the lines of
+each record, holding one record at a time; only records that cross a block's edge are joined by a
+shuffle. Headers are found in the same pass, so the number of jobs does not depend on
 the number of files. A file with a quote inside an unquoted field, where counting quotes
 says nothing, is read whole by one task as before.
 """
@@ -22,9 +23,10 @@ says nothing, is read whole by one task as before.
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Iterator, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,37 +48,73 @@ _FILE = ["path_no", "file"]
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Every line with its place: path number, file, the block it was read in, and a number that
-    grows inside the block; and whether it has an odd number of quotes."""
+    """Every line with its path number, file and the block it was read in, in the order read; and
+    whether it has an odd number of quotes."""
     odd = (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))) % 2
     frames = [spark.read.option("lineSep", "\n").text(path).select(
         F.lit(i).alias("path_no"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value", odd.alias("odd"))
-        for i, path in enumerate(paths)]
+        F.col("_metadata.file_block_start").alias("block"), "value", odd.alias("odd")) for i, path in enumerate(paths)]
     return reduce(DataFrame.unionByName, frames)
 
 
+_PIECES = "path_no int, file string, at long, record string, pair long"
+
+
+def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's lines, in the order read -> records, with ``pair`` null, and the pieces of those that
+    cross a block's edge, with the number that all pieces of one record share. ``at`` = 2 * block + line grows
+    along a file: a block has no more lines than bytes, and one."""
+    key, line, before, first, held, whole = None, 0, 0, 0, [], True
+    out: list[tuple] = []
+
+    def give() -> pa.RecordBatch:
+        cols = list(zip(*out)) or [()] * 5
+        types = [pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                          names=["path_no", "file", "at", "record", "pair"])
+
+    for batch in batches:
+        for path_no, file, block, value, odd, base in zip(*[c.to_pylist() for c in batch.columns]):
+            if (path_no, file, block) != key:
+                if held:
+                    out.append((*key[:2], 2 * key[2] + first, "\n".join(held), before // 2))
+                key, line, before, first, held, whole = (path_no, file, block), 0, base, 0, [], base % 2 == 0
+            if before % 2 == 0 and not odd:
+                out.append((path_no, file, 2 * block + line, value, None))
+            else:
+                if not held:
+                    first = line
+                held.append(value)
+                if odd and before % 2:
+                    out.append((path_no, file, 2 * block + first, "\n".join(held), None if whole else before // 2))
+                    held, whole = [], True
+                before += odd
+            line += 1
+        yield give()
+    if held:
+        out.append((*key[:2], 2 * key[2] + first, "\n".join(held), before // 2))
+    yield give()
+
+
 def csv_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path_no, file, block, line, record): the records of all files, quoted line breaks inside,
-    with the place of their first line; blank ones are dropped."""
+    """(path_no, file, at, record): the records of all files, quoted line breaks inside,
+    with the place of their first line in the file; blank ones are dropped."""
     lines = _lines(spark, paths)
     block = [*_FILE, "block"]
     earlier = W.partitionBy(*_FILE).orderBy("block").rowsBetween(W.unboundedPreceding, -1)  # a row a block
-    bases = lines.groupBy(*block).agg(F.sum("odd").alias("n")).select(
-        *block, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    inside = W.partitionBy(*block).orderBy("line").rowsBetween(W.unboundedPreceding, -1)
-    placed = lines.withColumn("here", F.coalesce(F.sum("odd").over(inside), F.lit(0))).join(bases, block)
-    placed = placed.withColumn("before", F.col("base") + F.col("here"))
-    # An even number of odd lines before, and an even line: a record by itself.
-    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
-    single = placed.where(alone).select(*block, "line", F.col("value").alias("record"))
-    # The others come in runs from one odd line to the next; a pair of odd lines has one number.
-    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))  # the lines of one record
-    joined = (placed.where(~alone).groupBy(*_FILE, F.floor(F.col("before") / 2).alias("pair")).agg(parts.alias("parts"))
-              .select(*_FILE, F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"),
-                      F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("record")))
+    bases = lines.groupBy(*block).agg(F.sum("odd").alias("n")).select(*block, F.sum("n").over(earlier).alias("base"))
+    # A row for every block behind a quote: a join that moved the lines would lose their order.
+    placed = lines.join(F.broadcast(bases.where("base > 0")), block, "left")
+    pieces = stage_table(placed.select(*block, "value", "odd", F.coalesce("base", F.lit(0).cast("long")).alias("base"))
+                         .mapInArrow(_record_batches, _PIECES), "employee-records")
+    cut = F.array_sort(F.collect_list(F.struct("at", "record")))  # the pieces of one record: one a block
+    joined = (pieces.where("pair IS NOT NULL").groupBy(*_FILE, "pair").agg(cut.alias("parts"))
+              .select(*_FILE, F.col("parts")[0]["at"].alias("at"),
+                      F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record")))
     whole = F.regexp_replace(F.col("record"), "^\\uFEFF|\\r$", "")
-    return single.unionByName(joined).withColumn("record", whole).where(F.length("record") > 0)
+    records = pieces.where("pair IS NULL").select(*_FILE, "at", "record").unionByName(joined)
+    return records.withColumn("record", whole).where(F.length("record") > 0)
 
 
 def _fields(record: Column) -> Column:
@@ -86,12 +124,11 @@ def _fields(record: Column) -> Column:
         F.substring(f, F.lit(2), F.length(f) - F.lit(2)), F.lit('""'), F.lit('"'))).otherwise(f))
 
 
-def _read_whole(spark: SparkSession, path_no: int, file: str) -> DataFrame:
+def _read_whole(spark: SparkSession, file_no: int, file: str) -> DataFrame:
     """One file by one task, with Spark's own rules for quotes in unquoted fields."""
     raw = spark.read.options(**STANDARD_CSV).csv(unquote(file))
     _require(file, raw.columns)
-    order = F.struct(F.lit(path_no).alias("path_no"), F.lit(file).alias("file"), F.lit(0).cast("long").alias("block"),
-                     F.monotonically_increasing_id().alias("line"))
+    order = F.struct(F.lit(file_no).alias("file_no"), F.monotonically_increasing_id().alias("at"))
     return raw.select(*[F.coalesce(strip_ws(F.col(f"`{c}`")), F.lit("")).alias(c) for c in FIELDS], order.alias("_order"))
 
 
@@ -103,13 +140,15 @@ def _require(file: str, header: Sequence[str]) -> None:
 
 def read_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows of one or more CSV files or folders (with header), stripped, with an order key
-    ``_order`` = (path number, file, block, line)."""
+    ``_order`` = (number of the file by path and name, place in the file)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    records = stage_table(csv_records(spark, paths), "employee-records")
-    place = F.struct("block", "line")
-    files = records.groupBy(*_FILE).agg(
-        F.min(place).alias("first"), F.min_by("record", place).alias("header"),
-        F.max(~F.col("record").rlike(_WELL_FORMED)).alias("odd")).withColumn("names", F.when(~F.col("odd"), _fields(F.col("header"))))
+    records = csv_records(spark, paths)
+    # By numbers and flags, which a hash aggregate holds: no sort of the records.
+    firsts = records.groupBy(*_FILE).agg(F.min("at").alias("first"), F.max(~F.col("record").rlike(_WELL_FORMED)).alias("odd"))
+    head = records.select(*_FILE, F.col("at").alias("first"), F.col("record").alias("header"))
+    files = stage_table(head.join(F.broadcast(firsts), [*_FILE, "first"]).select(
+        *_FILE, "first", "odd", F.row_number().over(W.orderBy(*_FILE)).alias("file_no"),  # a row a file
+        F.when(~F.col("odd"), _fields(F.col("header"))).alias("names")), "employee-files")
     short = F.size(F.array_except(F.array(*[F.lit(c) for c in FIELDS]), "names")) > 0
     found = files.agg(F.count(F.lit(1)).alias("n"), F.max("odd").alias("odd"),
                       F.min(F.when(short, F.struct(*_FILE, "names"))).alias("short")).first()
@@ -117,11 +156,11 @@ def read_employee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
         raise ValueError(f"no employee CSV with a header under {paths}")
     if found["short"]:
         _require(found["short"]["file"], found["short"]["names"])
-    rows = records.join(files.where(~F.col("odd")), _FILE).where(place != F.col("first")).withColumn("_f", _fields(F.col("record")))
+    rows = records.join(files.where(~F.col("odd")), _FILE).where("at != first").withColumn("_f", _fields(F.col("record")))
     values = [F.coalesce(strip_ws(F.get("_f", F.array_position("names", c).cast("int") - 1)), F.lit("")).alias(c) for c in FIELDS]
-    out = rows.select(*values, F.struct("path_no", "file", "block", "line").alias("_order"))
-    whole = files.where("odd").orderBy(*_FILE).select(*_FILE).collect() if found["odd"] else []  # files outside of the standard
-    return reduce(DataFrame.unionByName, [_read_whole(spark, r["path_no"], r["file"]) for r in whole], out)
+    out = rows.select(*values, F.struct("file_no", "at").alias("_order"))
+    whole = files.where("odd").orderBy("file_no").select("file_no", "file").collect() if found["odd"] else []  # files outside of the standard
+    return reduce(DataFrame.unionByName, [_read_whole(spark, r["file_no"], r["file"]) for r in whole], out)
 
 
 def first_per_email(rows: DataFrame) -> DataFrame:
