@@ -74,3 +74,26 @@ def test_registered_stream_load_restart_adds_nothing(spark):
     t = catalog.tables(spark, SF_SMALL)
     # Two sources, each loaded once.
     assert rows == {n: 2 * t.fact(n).count() for n in ("api_requests", "user_prompts", "tool_events", "api_errors")}
+
+
+def test_log_lines_are_kept_once_and_packed(spark):
+    path = catalog._log_files(spark, SF_SMALL)
+    files = catalog._log_lines(spark, SF_SMALL).inputFiles()
+    folder = path.rpartition("/")[2]
+    assert files and all(f"/{folder}/" in f and f.endswith(".gz") for f in files)
+
+
+def test_wide_cost_sums_are_not_expanded_with_distinct_counts(spark):
+    from dataclasses import replace
+
+    from usagelens.operators.costs import BinnedCosts
+    from usagelens.operators.filters import UsageFilters
+    from usagelens.sources.standin import extreme_requests
+
+    t = catalog.tables(spark, SF_SMALL)
+    page = UsagePage(replace(t, api_requests=extreme_requests(t.api_requests, True)), UsageFilters())
+    plan = page.kpi()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and not any("Expand" in x and "cost_" in x for x in plan.splitlines())
+    # The text of a cost is made once, however many pieces are cut from it.
+    prepared = BinnedCosts().prepare(t.api_requests)._jdf.queryExecution().optimizedPlan().toString()
+    assert prepared.count("format_string") <= 2

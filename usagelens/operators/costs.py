@@ -145,16 +145,17 @@ def _half_up(digits: Column, drop: int, scale: int) -> Column:
     return F.concat(_let(whole, rounded), F.lit(f"E-{scale}")).cast("double")
 
 
-def _shortest(size: Column) -> Column:
-    """The shortest text that reads back as the same double. Java's own (before 19) may have 16 or
-    17 digits where 15 or 16 would do."""
-    text = size.cast("string")
-
-    def shorter(digits: int) -> Column:
-        less = F.format_string(f"%.{digits - 1}e", size)
-        return F.when(less.cast("double") == size, F.upper(less))
-
-    return F.when(F.length(F.substring_index(text, "E", 1)) > 16, F.coalesce(shorter(15), shorter(16), text)).otherwise(text)
+def _with_shortest(facts: DataFrame) -> DataFrame:
+    """``facts`` with ``_text``, the shortest text that reads back as the same double (NULL if not finite).
+    Java's own (before 19) may have 16 or 17 digits where 15 or 16 would do. Each step is a column of its own,
+    so that none is computed again wherever it is used."""
+    size = F.abs("cost_usd")
+    facts = facts.withColumn("_java", F.when(_finite(), size.cast("string")))
+    long = F.length(F.substring_index("_java", "E", 1)) > 16
+    facts = facts.withColumn("_15", F.when(long, F.upper(F.format_string("%.14e", size))))
+    facts = facts.withColumn("_16", F.when(F.col("_15").cast("double") != size, F.upper(F.format_string("%.15e", size))))
+    shorter = F.when(F.col("_16").isNull(), F.col("_15")).when(F.col("_16").cast("double") == size, F.col("_16"))
+    return facts.withColumn("_text", F.coalesce(shorter, "_java")).drop("_java", "_15", "_16")
 
 
 class BinnedCosts:
@@ -167,17 +168,22 @@ class BinnedCosts:
 
     def prepare(self, facts: DataFrame) -> DataFrame:
         """``facts`` with each cost's lowest bin and its three pieces."""
-        text = _shortest(F.abs("cost_usd"))
-        mantissa = F.substring_index(text, "E", 1)
-        exponent = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
-        whole, fraction = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
-        last = exponent - F.length(fraction)
-        shift = F.pmod(last, F.lit(STEP))
-        digits = F.lpad(F.concat(whole, fraction, F.repeat(F.lit("0"), shift)), 3 * STEP, "0")
+        text, mantissa, exponent = F.col("_text"), F.col("_mantissa"), F.col("_exponent")
         sign = F.when(F.col("cost_usd") < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
-        pieces = F.array(*[F.substring(digits, 1 + STEP * (2 - i), STEP).cast("long") * sign for i in range(3)])
-        lowest = ((last - shift) / STEP).cast("int")
-        return facts.withColumn("_cost_bins", F.when(_finite(), F.struct(lowest.alias("bin"), pieces.alias("pieces"))))
+        pieces = F.array(*[F.substring("_digits", 1 + STEP * (2 - i), STEP).cast("long") * sign for i in range(3)])
+        steps = [  # columns, as in _with_shortest
+            {"_mantissa": F.substring_index(text, "E", 1),
+             "_exponent": F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)},
+            {"_whole": F.substring_index(mantissa, ".", 1), "_fraction": F.substring_index(mantissa, ".", -1)},
+            {"_last": exponent - F.length("_fraction")},
+            {"_shift": F.pmod("_last", F.lit(STEP))},
+            {"_digits": F.lpad(F.concat("_whole", "_fraction", F.repeat(F.lit("0"), F.col("_shift"))), 3 * STEP, "0")},
+            {"_cost_bins": F.when(text.isNotNull(), F.struct(((F.col("_last") - F.col("_shift")) / STEP).cast("int").alias("bin"),
+                                                             pieces.alias("pieces")))}]
+        out = _with_shortest(facts)
+        for step in steps:
+            out = out.withColumns(step)
+        return out.select(*facts.columns, "_cost_bins")
 
     def parts(self) -> dict[str, Column]:
         lowest, pieces = F.col("_cost_bins.bin"), F.col("_cost_bins.pieces")

@@ -175,22 +175,22 @@ class UsagePage:
     def kpi(self, approx_distinct: bool = False) -> DataFrame:
         """Q1. ``approx_distinct`` counts sessions and users with HyperLogLog++
         (about 2% error, fixed memory) instead of exact distinct counts."""
-        j = self.joined(
-            "api_requests", {"session_id": F.col("session_id")},
-            {"n": p_n(), **self.costs.parts(), "tokens": tokens()},
-        )
-        # One row per (user, session) first: the distinct counts then expand few rows.
-        j = j.groupBy("user_email", "session_id").agg(
-            *[F.sum(c).alias(c) for c in ("n", *self.costs.names, "tokens")])
         distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
-        return j.agg(
-            distinct("session_id").alias("total_sessions"),
-            F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_api_calls"),
-            self.costs.money().alias("total_cost"),
-            self.costs.average(4).alias("avg_cost_per_call"),
-            F.sum("tokens").alias("total_tokens"),
-            distinct("user_email").alias("active_users"),
-        )
+        sums = {"n": p_n(), **self.costs.parts(), "tokens": tokens()}
+        heads = {"total_sessions": distinct("session_id"), "active_users": distinct("user_email")}
+        totals = {"total_api_calls": F.coalesce(F.sum("n"), F.lit(0).cast("long")), "total_cost": self.costs.money(),
+                  "avg_cost_per_call": self.costs.average(4), "total_tokens": F.sum("tokens")}
+        session = {"session_id": F.col("session_id")}
+        if isinstance(self.costs, BinnedCosts):
+            # Dozens of sums: not grouped and expanded with the distinct counts, which have a scan of two columns.
+            total = self.joined("api_requests", {}, sums).agg(*[c.alias(n) for n, c in totals.items()])
+            j = self.joined("api_requests", session, {"n": p_n()}).groupBy("user_email", "session_id").agg(F.sum("n").alias("n"))
+            row = total.crossJoin(j.agg(*[c.alias(n) for n, c in heads.items()]))
+        else:
+            # One row per (user, session) first: the distinct counts then expand few rows.
+            j = self.joined("api_requests", session, sums).groupBy("user_email", "session_id").agg(*[F.sum(c).alias(c) for c in sums])
+            row = j.agg(*[c.alias(n) for n, c in {**heads, **totals}.items()])
+        return row.select("total_sessions", *totals, "active_users")
 
     # -- Q2 ------------------------------------------------------------------
     def model_usage(self, prefix: str | None = None) -> DataFrame:
