@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import format_event_ts, parse_event_ts, safe_bool, safe_float, safe_int
 from usagelens.functions.labels import error_label, model_short_name, pseudonym
-from usagelens.session import checkpoint_dir, scratch_path, stage_table
+from usagelens.session import scratch_path, stage_table
 from usagelens.sources.employees import load_employee_csv, write_employee_csv
 from usagelens.operators import decode as D
 from usagelens.operators.envelopes import encode_facts, envelope_days, envelope_lines, pack_envelopes
@@ -34,9 +34,9 @@ from usagelens.sources.telemetry import spread
 Builder = Callable[[SparkSession, str], DataFrame]
 
 # Inputs that several queries share are made once per session and directory. Some are
-# plans; others are staged files (the employee view as Parquet, the log lines as a
-# checkpoint and as text), written when the first query that needs them is built. They
-# belong to the tables as they were then: the driver's tables are read-only.
+# plans; others are staged files (the employee view as Parquet, the log lines as gzipped
+# text), written when the first query that needs them is built. They belong
+# to the tables as they were then: the driver's tables are read-only.
 _DEFINED: dict[tuple, object] = {}
 
 
@@ -119,30 +119,24 @@ def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_bounds(_tables(spark, sf_dir).api_requests)
 
 
-def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in facts written out as log-batch JSON lines, staged once per session
-    with a reliable checkpoint in the shared checkpoint folder: the round-trip queries
-    decode these lines instead of re-packing the facts each time, and a lost executor
-    re-reads them instead of recomputing the pack."""
-    def make() -> DataFrame:
-        checkpoint_dir(spark)
-        lines = envelope_lines(pack_envelopes(encode_facts(_tables(spark, sf_dir)))).select("value")
-        return lines.checkpoint(eager=True)
-
-    return _defined(spark, sf_dir, "lines", make)
-
-
 def _log_files(spark: SparkSession, sf_dir: str) -> str:
-    """The staged JSON lines as text files in the shared folder (once per session):
-    the input folder of the incremental load."""
+    """The stand-in facts written out as log-batch files, as the log service leaves them: gzipped JSON
+    lines in the shared folder, packed once per session; the input folder of the loads."""
     def make() -> str:
         path = scratch_path(spark, "log-files")
-        _log_lines(spark, sf_dir).write.text(path)
+        lines = envelope_lines(pack_envelopes(encode_facts(_tables(spark, sf_dir)))).select("value")
+        lines.write.option("compression", "gzip").text(path)
         return path
 
     return _defined(spark, sf_dir, "log-files", make)
 
 
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the log files: the round-trip queries decode them instead of re-packing the facts
+    each time, and a lost executor re-reads them instead of recomputing the pack."""
+    return _defined(spark, sf_dir, "lines", lambda: spark.read.text(_log_files(spark, sf_dir)))
+
+
 def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log files loaded by the file stream (``availableNow``, two files per
     micro-batch) into a fresh store, then the same stream restarted, which must add
@@ -151,7 +145,7 @@ def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     from usagelens.streaming.incremental import run_incremental_load
 
     src, root, other = _log_files(spark, sf_dir), scratch_path(spark, "stream-db"), scratch_path(spark, "log-files-b")
-    spark.read.text(src).write.text(other)
+    spark.read.text(src).write.option("compression", "gzip").text(other)
     run_incremental_load(spark, src, root, max_files_per_trigger=2)
     run_incremental_load(spark, src, root)
     run_incremental_load(spark, other, root, name="other")
