@@ -181,7 +181,7 @@ class UsagePage:
         totals = {"total_api_calls": F.coalesce(F.sum("n"), F.lit(0).cast("long")), "total_cost": self.costs.money(),
                   "avg_cost_per_call": self.costs.average(4), "total_tokens": F.sum("tokens")}
         session = {"session_id": F.col("session_id")}
-        if isinstance(self.costs, BinnedCosts):
+        if isinstance(self.costs, BinnedCosts) and self._base is None:
             # Dozens of sums: not grouped and expanded with the distinct counts, which have a scan of two columns.
             total = self.joined("api_requests", {}, sums).agg(*[c.alias(n) for n, c in totals.items()])
             j = self.joined("api_requests", session, {"n": p_n()}).groupBy("user_email", "session_id").agg(F.sum("n").alias("n"))
